@@ -17,7 +17,7 @@ MONTH_DAY_YEAR = "MM.dd.yyyy"
 
 def parse_day_month_year(text: Column) -> Column:
     """``dd.mm.yyyy`` text to DATE; NULL for empty or invalid text (no exception)."""
-    return F.try_to_date(text, F.lit(DAY_MONTH_YEAR))
+    return F.try_to_date(text, DAY_MONTH_YEAR)
 
 
 def month_segment(text: Column) -> Column:
@@ -38,7 +38,7 @@ def swapped_due_date(due_text: Column) -> Column:
 
     The two steps cancel, so ``15.01.2024`` reads as 2024-01-15.
     """
-    return F.try_to_date(swap_day_month(due_text), F.lit(MONTH_DAY_YEAR))
+    return F.try_to_date(swap_day_month(due_text), MONTH_DAY_YEAR)
 
 
 def repaired_due_date(due_text: Column, competence_text: Column) -> Column:
