@@ -1,16 +1,20 @@
 """Row numbers within groups that stay distributed when one group is huge.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends each group to a single
-task.  :func:`row_number_in_groups` instead range-partitions the rows by
-``(g, o)`` — a hot group is cut into several ordered partitions by sampled
-boundaries — numbers rows locally per (partition, group), and adds the number
-of rows the same group has in earlier partitions.  Every step handles at most
-one range partition of one group, and the offset table has one row per
-(partition, group) pair, of which a hot group contributes at most one per
-partition.
-
-``strategy="window"`` gives the plain window form for inputs known to have no
-hot groups.
+task.  That is right for ordinary groups and wrong for a group holding a large
+share of the rows.  :func:`row_number_in_groups` therefore (``strategy="auto"``)
+counts rows per group with a map-side-combined aggregation, numbers ordinary
+groups with the plain window, and numbers only the hot groups (bounded list,
+broadcast) with the range method:
+
+range method
+    range-partition the rows by ``(g, o)`` — a hot group is cut into several
+    ordered partitions by sampled boundaries — number rows locally per
+    (partition, group), and add the number of rows the same group has in
+    earlier partitions.  Every step handles at most one range partition of one
+    group; the offset table has one row per (partition, group) pair.
+
+``strategy="window"`` / ``"range"`` force one method for all rows.
 """
 
 from __future__ import annotations
@@ -21,20 +25,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
+
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                         out_col: str, strategy: str = "range",
+                         out_col: str, strategy: str = "auto",
+                         hot_threshold: int = DEFAULT_HOT_THRESHOLD,
                          partitions: int | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each group in ``order`` (ties: as given).
 
     NULL group values form one group, as in SQL window partitions.
     """
     if strategy == "window":
-        w = Window.partitionBy(*group_cols).orderBy(*order)
-        return df.withColumn(out_col, F.row_number().over(w))
-    if strategy != "range":
+        return _by_window(df, group_cols, order, out_col)
+    if strategy == "range":
+        return _by_range(df, group_cols, order, out_col, partitions)
+    if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
+    tag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    tagged = df.join(tag, list(group_cols), "left")
+    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
+    heavy = tagged.where(F.col("_hot")).drop("_hot")
+    return (_by_window(cold, group_cols, order, out_col)
+            .unionByName(_by_range(heavy, group_cols, order, out_col, partitions)))
+
+
+def _by_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+               out_col: str) -> DataFrame:
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return df.withColumn(out_col, F.row_number().over(w))
+
 
+def _by_range(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+              out_col: str, partitions: int | None) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     group = [F.col(c).asc_nulls_first() for c in group_cols]
     # A fixed partition count: AQE does not coalesce this exchange, so the
@@ -51,8 +76,8 @@ def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequen
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
     )
     cond = reduce(lambda a, b: a & b,
-                  [local["_pid"] == offsets["_opid"]]
-                  + [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in group_cols])
+                  [F.col("_pid") == F.col("_opid")]
+                  + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group_cols])
     return (local.join(offsets, cond, "inner")
             .withColumn(out_col, (F.col("_lrn") + F.col("_off")).cast("int"))
             .drop("_pid", "_lrn", "_opid", "_off", *[f"_o_{c}" for c in group_cols]))

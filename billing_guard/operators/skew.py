@@ -8,10 +8,9 @@ replicated for those keys only.  Cold keys join exactly as before.
 
 Size bound of the broadcast hot-key list: a key is hot when it holds at least
 ``threshold`` rows, so there are at most ``rows / threshold`` hot keys.  The
-default ``threshold`` keeps that list to a few hundred thousand small rows even
-at 10^12 input rows; the list is additionally capped by ``max_hot_keys`` —
-beyond it the heaviest keys are salted first and any remaining keys fall back
-to AQE's skew-join split.
+default ``threshold`` keeps that list to at most 500,000 small rows even at
+10^12 input rows; the list is additionally capped by ``max_hot_keys`` — keys
+beyond the cap are joined unsalted and left to AQE's skew-join split.
 """
 
 from __future__ import annotations
@@ -37,14 +36,14 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
              max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Keys of ``counts`` (one row per key) holding at least ``threshold`` rows.
 
-    At most ``max_hot_keys`` rows, heaviest first, so the result is safe to
-    broadcast.  NULL keys are never hot (they are handled by the normal path).
+    At most ``max_hot_keys`` rows, so the result is safe to broadcast (with
+    ``threshold`` sized as above the cap is never reached in practice).  NULL
+    keys are never hot (they take the normal path).
     """
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (counts.where((F.col(count_col) >= threshold) & not_null)
-            .orderBy(F.col(count_col).desc())
-            .limit(max_hot_keys)
-            .select(*keys))
+            .select(*keys)
+            .limit(max_hot_keys))
 
 
 def _renamed(per_key: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[str, str]]:

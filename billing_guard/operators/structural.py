@@ -117,26 +117,28 @@ def classify_anomaly(df: DataFrame) -> DataFrame:
 def key_classes(df: DataFrame) -> DataFrame:
     """One row per distinct (invoice, case, amount): row count, flags and class.
 
-    Three map-side-combined aggregations (key -> pair -> invoice) and two joins
-    among the aggregated tables; the raw rows are scanned once, three columns wide.
+    The rows are first collapsed per key by a map-side-combined count (all
+    copies of a key, however many, become one row per map task).  The pair-
+    and invoice-level facts are then windows over that key table sharing one
+    exchange on ``invoice_id``; they see distinct keys, never raw copies.
     """
     per_key = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias(ROWS))
-    per_pair = per_key.groupBy(INVOICE, CASE).agg(
-        F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"))
-    per_invoice = per_pair.groupBy(INVOICE).agg(
-        F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"))
-    joined = salted_join(per_key, per_pair, [INVOICE, CASE], "left", null_safe=True)
-    joined = salted_join(joined, per_invoice, [INVOICE], "left", null_safe=True)
+    by_pair = Window.partitionBy(INVOICE, CASE)
+    by_invoice = Window.partitionBy(INVOICE)
     exact = F.col(ROWS) > 1
-    amount = _amount_flag(F.col("_amount_lo"), F.col("_amount_hi"))
-    case = _case_flag(F.col("_case_lo"), F.col("_case_hi"))
-    return joined.select(
+    amount = _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair))
+    case = _case_flag(F.min(CASE).over(by_invoice), F.max(CASE).over(by_invoice))
+    flagged = per_key.repartition(INVOICE).select(
         *KEYS,
         ROWS,
         exact.alias("exact_duplicate_flag"),
         amount.alias("amount_mismatch_flag"),
         case.alias("case_mismatch_flag"),
-        anomaly_type(case, amount, exact).alias("anomaly_type"),
+    )
+    return flagged.withColumn(
+        "anomaly_type",
+        anomaly_type(F.col("case_mismatch_flag"), F.col("amount_mismatch_flag"),
+                     F.col("exact_duplicate_flag")),
     )
 
 

@@ -58,8 +58,13 @@ def classify_descriptions(df: DataFrame) -> DataFrame:
     """Add ``motivo_erro`` and ``is_anomaly`` to parsed rows."""
     month_differs = F.col("competencia_pos4") != F.col("vencimento_pos4")
     negative = F.col("dpd_invoice") < 0
-    return df.withColumn(REASON, reason(month_differs, negative)) \
-        .withColumn("is_anomaly", F.col(REASON) != F.lit(CLEAN))
+    # is_anomaly is stated on the two tests rather than on the reason label, so
+    # a filter on it that Catalyst pushes below the projection inlines each
+    # parsed field once instead of the label's repeated branches.
+    return df.withColumns({
+        REASON: reason(month_differs, negative),
+        "is_anomaly": F.coalesce(month_differs, F.lit(False)) | F.coalesce(negative, F.lit(False)),
+    })
 
 
 def analyse_descriptions(df: DataFrame, ignore_case: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
 from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys, salted_join
+from billing_guard.session import work_path
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
 
@@ -215,7 +217,7 @@ def paid_per_case_day(agg: DataFrame) -> DataFrame:
 
 # 10 ------------------------------------------------------------------------
 def match_payments(payments_m: DataFrame, agg: DataFrame,
-                   rank_strategy: str = "range") -> DataFrame:
+                   rank_strategy: str = "auto") -> DataFrame:
     """Pair the n-th payment of a case (by date, id) with its n-th paid invoice
     (by invoice number, id)."""
     pg = row_number_in_groups(
@@ -261,42 +263,91 @@ def settlement_report(agg: DataFrame, ptp_r: DataFrame, debtors_c: DataFrame,
     )
 
 
-@dataclass
 class SettlementSteps:
-    cases: DataFrame
-    base_raw: DataFrame
-    base: DataFrame
-    dedup: DataFrame
-    debtors: DataFrame
-    ptp: DataFrame
-    bands: DataFrame
-    payments: DataFrame
-    aggregate: DataFrame
-    day_totals: DataFrame
-    matched: DataFrame
-    report: DataFrame
+    """Every intermediate of the settlement as a lazy DataFrame, built on first use.
+
+    The invoice aggregate feeds three consumers (day totals, the payment
+    match and the report).  Column pruning gives each consumer a different
+    plan, so Spark could not share the work; with ``materialize`` the
+    aggregate is written once as Parquet under the session's shared work
+    folder (``spark.checkpoint.dir``) and the consumers read it back, which
+    also cuts the lineage a lost executor would otherwise replay.
+    """
+
+    def __init__(self, inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,
+                 options: ParseOptions = ParseOptions(),
+                 hot_case_threshold: int | None = DEFAULT_HOT_THRESHOLD,
+                 rank_strategy: str = "auto", materialize: bool = True):
+        self.inputs, self.client_id, self.as_of = inputs, client_id, as_of
+        self.options, self.hot_case_threshold = options, hot_case_threshold
+        self.rank_strategy, self.materialize = rank_strategy, materialize
+
+    @cached_property
+    def cases(self) -> DataFrame:
+        return tenant_cases(self.inputs.cases, self.client_id)
+
+    @cached_property
+    def hot(self) -> DataFrame | None:
+        if not self.hot_case_threshold:
+            return None
+        return hot_cases(self.inputs.invoices, self.hot_case_threshold)
+
+    @cached_property
+    def base_raw(self) -> DataFrame:
+        return base_raw(self.cases, self.inputs.invoices, self.inputs.case_attributes,
+                        self.options, self.hot)
+
+    @cached_property
+    def base(self) -> DataFrame:
+        return base_dates(self.base_raw)
+
+    @cached_property
+    def dedup(self) -> DataFrame:
+        return dedup_by_title(self.base)
+
+    @cached_property
+    def debtors(self) -> DataFrame:
+        return case_debtors(self.cases, self.inputs.debtors, self.inputs.persons)
+
+    @cached_property
+    def ptp(self) -> DataFrame:
+        return promise_rollup(self.inputs.ptp, self.client_id)
+
+    @cached_property
+    def bands(self) -> DataFrame:
+        return active_bands(self.inputs.bands, self.client_id, self.as_of)
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return month_payments(self.inputs.payments, self.cases, self.as_of)
+
+    @cached_property
+    def aggregate(self) -> DataFrame:
+        agg = invoice_aggregate(self.dedup, self.as_of)
+        if not self.materialize:
+            return agg
+        spark = agg.sparkSession
+        path = work_path(spark, "base_agregada")
+        agg.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    @cached_property
+    def day_totals(self) -> DataFrame:
+        return paid_per_case_day(self.aggregate)
+
+    @cached_property
+    def matched(self) -> DataFrame:
+        return match_payments(self.payments, self.aggregate, self.rank_strategy)
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return settlement_report(self.aggregate, self.ptp, self.debtors, self.matched,
+                                 self.day_totals, self.bands, self.as_of, self.hot)
 
 
 def settlement_steps(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,
-                     options: ParseOptions = ParseOptions(),
-                     hot_case_threshold: int | None = DEFAULT_HOT_THRESHOLD,
-                     rank_strategy: str = "range") -> SettlementSteps:
-    """Every intermediate of the settlement as a lazy DataFrame."""
-    cases_t = tenant_cases(inputs.cases, client_id)
-    hot = hot_cases(inputs.invoices, hot_case_threshold) if hot_case_threshold else None
-    raw = base_raw(cases_t, inputs.invoices, inputs.case_attributes, options, hot)
-    base = base_dates(raw)
-    dedup = dedup_by_title(base)
-    debtors_c = case_debtors(cases_t, inputs.debtors, inputs.persons)
-    ptp_r = promise_rollup(inputs.ptp, client_id)
-    bands_a = active_bands(inputs.bands, client_id, as_of)
-    pays = month_payments(inputs.payments, cases_t, as_of)
-    agg = invoice_aggregate(dedup, as_of)
-    day_totals = paid_per_case_day(agg)
-    matched = match_payments(pays, agg, rank_strategy)
-    report = settlement_report(agg, ptp_r, debtors_c, matched, day_totals, bands_a, as_of, hot)
-    return SettlementSteps(cases_t, raw, base, dedup, debtors_c, ptp_r, bands_a, pays, agg,
-                           day_totals, matched, report)
+                     **kwargs) -> SettlementSteps:
+    return SettlementSteps(inputs, client_id, as_of, **kwargs)
 
 
 def settle(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,
