@@ -1,0 +1,56 @@
+"""Sources: CSV, JDBC push-down builder, stand-ins, required columns."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from billing_guard.session import work_path
+from billing_guard.sources import jdbc
+from billing_guard.sources.files import read_invoices_csv, write_csv
+from billing_guard.sources.schemas import missing_columns, require_valid
+
+
+def test_csv_round_trip_is_typed_without_inference(spark):
+    df = spark.createDataFrame(
+        [("INV-1", "CASE-1", 516, Decimal("500.00"), dt.date(2024, 1, 1), "IMPORTED", "ANT", "B1")],
+        "invoice_id string, case_id string, client_id int, amount decimal(19,2), "
+        "import_date date, status string, source_system string, batch_id string")
+    path = work_path(spark, "csv_test")
+    write_csv(df, path)
+    back = read_invoices_csv(spark, path)
+    assert dict(back.dtypes)["amount"] == "decimal(19,2)"
+    assert dict(back.dtypes)["import_date"] == "date"
+    assert back.first()["amount"] == Decimal("500.00")
+    assert missing_columns(back) == []
+
+
+def test_malformed_cells_become_null(spark):
+    path = work_path(spark, "csv_bad")
+    spark.createDataFrame([("INV-1", "x", "not-a-date")], "invoice_id string, amount string, "
+                          "import_date string").write.option("header", True).csv(path)
+    row = read_invoices_csv(spark, path).first()
+    assert row["amount"] is None and row["import_date"] is None
+    assert "case_id" in missing_columns(read_invoices_csv(spark, path))
+
+
+def test_require_valid_raises(spark):
+    empty = spark.createDataFrame([], "invoice_id string")
+    with pytest.raises(ValueError, match="Missing columns"):
+        require_valid(empty)
+
+
+def test_push_down_query_and_parallel_options():
+    q = jdbc.invoice_text_query(516)
+    assert "client_id = 516" in q
+    assert "CHARINDEX('Competencia:', i.description) > 0" in q
+    assert "CHARINDEX('Vencimento:', i.description) > 0" in q
+    assert q.endswith("AS invoice_subset")
+    opts = jdbc.jdbc_options("jdbc:x", "u", "p", 516, lower_bound=1, upper_bound=1000,
+                             num_partitions=16)
+    assert (opts["partitionColumn"], opts["numPartitions"], opts["fetchsize"]) == \
+        ("invoice_id", "16", "1000")
+    with pytest.raises(ValueError):
+        jdbc.jdbc_options("jdbc:x", "u", "p", 516, num_partitions=4)
+    with pytest.raises(TypeError):
+        jdbc.invoice_text_query("516 OR 1=1")
