@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
+from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys
 
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
@@ -43,7 +43,9 @@ def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequen
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
     counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
+    hot = find_hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
+    if hot is None:  # no hot group: the plain window is distributed enough
+        return _by_window(df, group_cols, order, out_col)
     tag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     tagged = df.join(tag, list(group_cols), "left")
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot")

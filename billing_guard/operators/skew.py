@@ -46,6 +46,23 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
             .limit(max_hot_keys))
 
 
+def find_hot_keys(counts: DataFrame, keys: list[str], count_col: str,
+                  threshold: int = DEFAULT_HOT_THRESHOLD,
+                  max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """Resolve :func:`hot_keys` now: ``None`` when no key is hot, else a small
+    DataFrame of the (at most ``max_hot_keys``) hot keys.
+
+    One aggregation job runs up front; in exchange the query plan only carries
+    the salting machinery when some key is actually hot.  Only the bounded key
+    list reaches the driver.
+    """
+    hot = hot_keys(counts, keys, count_col, threshold, max_hot_keys)
+    rows = hot.collect()
+    if not rows:
+        return None
+    return counts.sparkSession.createDataFrame(rows, hot.schema)
+
+
 def _renamed(per_key: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[str, str]]:
     """Give the per-key side private key names so the join never has to tell
     two same-named columns of a shared lineage apart."""

@@ -30,7 +30,7 @@ from billing_guard.functions.money import proportional_share, round_to_cents
 from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
-from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys, salted_join
+from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys, salted_join
 from billing_guard.session import work_path
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
@@ -71,10 +71,10 @@ def tenant_cases(cases: DataFrame, client_id: int) -> DataFrame:
         "case_id", "ref_number", "client_ref_number", "case_statute_id", "debtor_id")
 
 
-def hot_cases(invoices: DataFrame, threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """Cases with at least ``threshold`` invoice rows (bounded list, safe to broadcast)."""
-    counts = invoices.groupBy("case_id").agg(F.count(F.lit(1)).alias("_n"))
-    return hot_keys(counts, ["case_id"], "_n", threshold=threshold)
+def hot_cases(invoices: DataFrame, threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame | None:
+    """Cases with at least ``threshold`` invoice rows (bounded list), or None."""
+    counts = invoices.select("case_id").groupBy("case_id").agg(F.count(F.lit(1)).alias("_n"))
+    return find_hot_keys(counts, ["case_id"], "_n", threshold=threshold)
 
 
 # 2 -------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from billing_guard.session import local_path
@@ -52,6 +53,8 @@ EXPIRED_BAND = (0, 99999, "0.99", date(2023, 1, 1), date(2023, 12, 31))
 
 #: inputs with at most this many files are checked for scan parallelism
 _FEW_FILES = 64
+#: schemas already read, so repeated reads of a table skip footer inference
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def _row_groups(paths: list[str]) -> int | None:
@@ -73,7 +76,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     so the CPU-heavy text parsing downstream uses every core.  Large inputs
     (many files or row groups) are read as they are.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
     cores = spark.sparkContext.defaultParallelism
     files = df.inputFiles()
     if len(files) <= _FEW_FILES:
