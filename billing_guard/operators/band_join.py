@@ -7,12 +7,12 @@ back to an equi-join on a value bucket, where each band is expanded into the
 buckets it covers and the exact BETWEEN is re-checked.
 
 Overlapping bands match more than once, as a SQL BETWEEN join does;
-:func:`overlapping_bands` reports such pairs.
+:func:`overlapping_bands` reports such bands.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: most band rows that are broadcast
@@ -44,17 +44,14 @@ def _bucketed_band_join(df: DataFrame, bands: DataFrame, value: Column, lo: str,
 
 
 def overlapping_bands(bands: DataFrame, lo: str, hi: str, keys: list[str] | None = None) -> DataFrame:
-    """Pairs of bands (same ``keys``) whose ranges intersect; empty when consistent.
+    """Bands (within the same ``keys``) that start before an earlier band ends.
 
-    Band tables are small, so the pairwise check is over configuration rows,
-    never over data rows.
+    Bands are ordered by start; a band overlaps when its start is not after the
+    largest end among the bands before it.  Empty when the table is consistent.
+    A running maximum, so no pairs of bands are formed.
     """
     keys = keys or []
-    a = bands.select(*keys, F.col(lo).alias("a_lo"), F.col(hi).alias("a_hi"))
-    b = bands.select(*[F.col(k).alias(f"b_{k}") for k in keys],
-                     F.col(lo).alias("b_lo"), F.col(hi).alias("b_hi"))
-    cond = (F.col("a_lo") <= F.col("b_hi")) & (F.col("b_lo") <= F.col("a_hi")) & (
-        (F.col("a_lo") < F.col("b_lo")) | ((F.col("a_lo") == F.col("b_lo")) & (F.col("a_hi") < F.col("b_hi"))))
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"b_{k}"))
-    return F.broadcast(a).join(b, cond, "inner")
+    earlier = (Window.partitionBy(*keys).orderBy(F.col(lo), F.col(hi))
+               .rowsBetween(Window.unboundedPreceding, -1))
+    return (bands.select(*keys, lo, hi, F.max(hi).over(earlier).alias("earlier_max_hi"))
+            .where(F.col(lo) <= F.col("earlier_max_hi")))

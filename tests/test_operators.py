@@ -96,3 +96,14 @@ def test_partitioned_sink_round_trip_and_missing_path(spark):
     assert sorted((r["id"], r["cls"]) for r in back.collect()) == [(1, "A"), (2, "B"), (3, "A")]
     with pytest.raises(ValueError):
         read_partitioned(spark, path + "-missing")
+
+
+def test_dynamic_overwrite_replaces_only_written_classes(spark):
+    path = work_path(spark, "sink_dynamic")
+    write_partitioned(spark.createDataFrame([(1, "A"), (2, "B")], "id int, cls string"), path, "cls")
+    update = spark.createDataFrame([(3, "A")], "id int, cls string")
+    write_partitioned(update, path, "cls", dynamic_overwrite=True)
+    assert sorted((r["id"], r["cls"]) for r in read_partitioned(spark, path).collect()) == \
+        [(2, "B"), (3, "A")]
+    write_partitioned(update, path, "cls")   # static: every class replaced
+    assert [(r["id"], r["cls"]) for r in read_partitioned(spark, path).collect()] == [(3, "A")]

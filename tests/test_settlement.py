@@ -119,8 +119,8 @@ def test_proportional_share_is_exact(spark):
 def test_overlapping_band_check(spark):
     bands = spark.createDataFrame([(1, 1, 30), (1, 31, 60), (1, 50, 70), (2, 1, 100)],
                                   "client_id int, lo int, hi int")
-    pairs = overlapping_bands(bands, "lo", "hi", ["client_id"]).collect()
-    assert [(r["a_lo"], r["b_lo"]) for r in pairs] == [(31, 50)]
+    found = overlapping_bands(bands, "lo", "hi", ["client_id"]).collect()
+    assert [(r["client_id"], r["lo"], r["earlier_max_hi"]) for r in found] == [(1, 50, 60)]
 
 
 # --- steps on a hand-written fixture -------------------------------------------
