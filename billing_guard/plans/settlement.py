@@ -187,8 +187,8 @@ def invoice_aggregate(dedup: DataFrame, as_of: date = DEFAULT_AS_OF) -> DataFram
         F.max("vencimento_original").alias("vencimento_original"),
         F.max("vencimento_description").alias("data_vencimento"),
         F.max("update_date").alias("update_date"),
-        F.expr("listagg(codigo_titulo, ',') WITHIN GROUP (ORDER BY codigo_titulo)")
-        .alias("codigo_titulo"),
+        # titles of the invoice, sorted; NULLs skipped, '' kept (as STRING_AGG)
+        F.array_sort(F.collect_list("codigo_titulo")).alias("_titles"),
     )
     actual, original = F.col("actual_capital_total"), F.col("original_capital_total")
     overdue = dates.days_until(F.col("data_vencimento"), as_of)
@@ -203,7 +203,7 @@ def invoice_aggregate(dedup: DataFrame, as_of: date = DEFAULT_AS_OF) -> DataFram
         F.when(F.col("data_vencimento").isNotNull(), overdue)
         .when(F.col("dpd_invoice").isNull(), F.col("live_dpd"))
         .otherwise(F.col("dpd_invoice")).cast("int").alias("dpd_final"),
-        "codigo_titulo",
+        F.when(F.size("_titles") > 0, F.array_join("_titles", ",")).alias("codigo_titulo"),
         fase_label(overdue).alias("fase"),
     )
 
