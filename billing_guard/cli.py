@@ -3,7 +3,7 @@
     structural    --input invoices.csv --output DIR [--report-dir DIR] [--run-date D]
     descriptions  (--parquet PATH | --jdbc-url URL --db-user U --db-password P)
                   --output DIR [--report-dir DIR] [--client-id N] [--run-date D]
-    settlement    --tables-dir DIR --client-id N [--as-of D] --output DIR
+    settlement    --tables-dir DIR --client-id N --as-of D --output DIR
 
 Every job reads with explicit schemas, writes Parquet, and prints its metrics as
 ``KEY=value`` lines (the only rows brought to the driver are one-row metrics
@@ -103,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--output", required=True)
     s.add_argument("--report-dir")
     s.add_argument("--run-date", default=today)
-    s.add_argument("--strategy", default="aggregate", choices=["aggregate", "window"])
+    s.add_argument("--strategy", default="auto", choices=["auto", "aggregate", "window"])
 
     d = sub.add_parser("descriptions")
     d.add_argument("--parquet")
@@ -121,7 +121,7 @@ def main(argv: list[str] | None = None) -> int:
     c = sub.add_parser("settlement")
     c.add_argument("--tables-dir", required=True)
     c.add_argument("--client-id", type=int, required=True)
-    c.add_argument("--as-of", default=today)
+    c.add_argument("--as-of", required=True)
     c.add_argument("--output", required=True)
 
     args = parser.parse_args(argv)

@@ -14,7 +14,10 @@ the invoice is NULL.
 
 Strategies
 ----------
-``aggregate`` (default, skew-safe)
+``auto`` (default)
+    Count rows per invoice first; ``window`` when no invoice is hot, else
+    ``aggregate``.
+``aggregate`` (skew-safe)
     Count rows per key with a map-side-combined aggregation, derive the coarser
     facts from that (much smaller) key table, classify each *key*, then join
     the rows back to their key's class.  A key holding a third of all rows is
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from billing_guard.operators.skew import (
     DEFAULT_BUCKETS,
     DEFAULT_HOT_THRESHOLD,
+    find_hot_keys,
     hot_keys,
     salted_join,
 )
@@ -142,10 +146,20 @@ def key_classes(df: DataFrame) -> DataFrame:
     )
 
 
-def classify_structural(df: DataFrame, strategy: str = "aggregate",
+def classify_structural(df: DataFrame, strategy: str = "auto",
                         hot_threshold: int = DEFAULT_HOT_THRESHOLD,
                         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Every input row with its ``anomaly_type`` appended (flags not kept)."""
+    """Every input row with its ``anomaly_type`` appended (flags not kept).
+
+    ``auto`` first counts rows per invoice (one narrow, map-side-combined
+    aggregation; only the bounded list of hot invoices reaches the driver).
+    Without a hot invoice every invoice is bounded and the one-exchange window
+    form is used; otherwise the key-table form.
+    """
+    if strategy == "auto":
+        counts = df.groupBy(INVOICE).agg(F.count(F.lit(1)).alias("_n"))
+        hot_invoices = find_hot_keys(counts, [INVOICE], "_n", threshold=hot_threshold)
+        strategy = "window" if hot_invoices is None else "aggregate"
     if strategy == "window":
         return _classify_by_windows(df)
     if strategy != "aggregate":

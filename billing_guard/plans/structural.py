@@ -146,7 +146,7 @@ class StructuralRun:
 
 
 def run_structural(spark: SparkSession, input_csv: str, output_path: str,
-                   strategy: str = "aggregate") -> StructuralRun:
+                   strategy: str = "auto") -> StructuralRun:
     """End-to-end job: validate, classify, write partitioned by class, summarize."""
     df = read_invoices_csv(spark, input_csv)
     rows = require_valid(df)
