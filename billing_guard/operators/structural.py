@@ -83,25 +83,38 @@ def anomaly_type(case_flag: Column, amount_flag: Column, exact_flag: Column) ->
 # --------------------------------------------------------------------------
 # single flags (each adds one boolean column to the rows)
 # --------------------------------------------------------------------------
-def detect_exact_duplicates(df: DataFrame) -> DataFrame:
+def _flag_join(df: DataFrame, per_group: DataFrame, keys: list[str],
+               hot_threshold: int) -> DataFrame:
+    """Join rows back to their group's facts; groups holding at least
+    ``hot_threshold`` rows are salted (lazy, bounded broadcast list)."""
+    hot = hot_keys(per_group, keys, "_n", threshold=hot_threshold)
+    return salted_join(df, per_group.drop("_n"), keys, "left", hot=hot, null_safe=True)
+
+
+def detect_exact_duplicates(df: DataFrame,
+                            hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """``exact_duplicate_flag``: the row's (invoice, case, amount) occurs twice or more."""
     counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    return (salted_join(df, counts, KEYS, "left", null_safe=True)
-            .withColumn("exact_duplicate_flag", F.col("_n") > 1).drop("_n"))
+    return (_flag_join(df, counts.withColumn("_dups", F.col("_n")), KEYS, hot_threshold)
+            .withColumn("exact_duplicate_flag", F.col("_dups") > 1).drop("_dups"))
 
 
-def detect_amount_mismatch(df: DataFrame) -> DataFrame:
+def detect_amount_mismatch(df: DataFrame,
+                           hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """``amount_mismatch_flag``: the row's (invoice, case) has more than one amount."""
-    per_pair = df.groupBy(INVOICE, CASE).agg(F.min(AMOUNT).alias("_lo"), F.max(AMOUNT).alias("_hi"))
-    return (salted_join(df, per_pair, [INVOICE, CASE], "left", null_safe=True)
+    per_pair = df.groupBy(INVOICE, CASE).agg(
+        F.min(AMOUNT).alias("_lo"), F.max(AMOUNT).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    return (_flag_join(df, per_pair, [INVOICE, CASE], hot_threshold)
             .withColumn("amount_mismatch_flag", _amount_flag(F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 
 
-def detect_case_mismatch(df: DataFrame) -> DataFrame:
+def detect_case_mismatch(df: DataFrame,
+                         hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """``case_mismatch_flag``: the row's invoice is linked to more than one case."""
-    per_invoice = df.groupBy(INVOICE).agg(F.min(CASE).alias("_lo"), F.max(CASE).alias("_hi"))
-    return (salted_join(df, per_invoice, [INVOICE], "left", null_safe=True)
+    per_invoice = df.groupBy(INVOICE).agg(
+        F.min(CASE).alias("_lo"), F.max(CASE).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    return (_flag_join(df, per_invoice, [INVOICE], hot_threshold)
             .withColumn("case_mismatch_flag", _case_flag(F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 

@@ -30,7 +30,12 @@ from billing_guard.functions.money import proportional_share, round_to_cents
 from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
-from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys, salted_join
+from billing_guard.operators.skew import (
+    DEFAULT_HOT_THRESHOLD,
+    find_hot_keys,
+    hot_keys,
+    salted_join,
+)
 from billing_guard.session import work_path
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
@@ -238,15 +243,20 @@ def match_payments(payments_m: DataFrame, agg: DataFrame,
 # final ---------------------------------------------------------------------
 def settlement_report(agg: DataFrame, ptp_r: DataFrame, debtors_c: DataFrame,
                       matched: DataFrame, day_totals: DataFrame, bands_a: DataFrame,
-                      as_of: date = DEFAULT_AS_OF, hot: DataFrame | None = None) -> DataFrame:
+                      as_of: date = DEFAULT_AS_OF, hot: DataFrame | None = None,
+                      hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Invoices with paid value that were updated this month or got a payment,
     with promise, debtor, payment share and commission (34 columns)."""
     rows = agg.where(F.col("valor_pago") > 0)
     rows = salted_join(rows, ptp_r, ["case_id"], "left", hot=hot)
     rows = salted_join(rows, debtors_c, ["case_id"], "left", hot=hot)
     rows = salted_join(rows, matched.drop("case_id"), ["invoice_id"], "left")
+    # a case whose invoices were all updated on one day is a hot (case, day) key
+    day_keys = ["case_id", "update_date"]
+    hot_days = hot_keys(rows.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n")),
+                        day_keys, "_n", threshold=hot_threshold)
     rows = salted_join(rows, day_totals.withColumnRenamed("update_dia", "update_date"),
-                       ["case_id", "update_date"], "left")
+                       day_keys, "left", hot=hot_days)
     rows = band_join(rows, bands_a, F.col("dpd_final"),
                      "dpd_on_payment_day_from", "dpd_on_payment_day_to", "left")
     share = proportional_share(F.col("payed_capital"), F.col("valor_pago_invoice"),
@@ -342,7 +352,8 @@ class SettlementSteps:
     @cached_property
     def report(self) -> DataFrame:
         return settlement_report(self.aggregate, self.ptp, self.debtors, self.matched,
-                                 self.day_totals, self.bands, self.as_of, self.hot)
+                                 self.day_totals, self.bands, self.as_of, self.hot,
+                                 self.hot_case_threshold or DEFAULT_HOT_THRESHOLD)
 
 
 def settlement_steps(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,

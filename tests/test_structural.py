@@ -224,3 +224,20 @@ def test_window_strategy_uses_a_single_exchange(spark):
         .executedPlan().toString()
     # one hash exchange on invoice_id serves all three window specs
     assert plan_text.count("Exchange hashpartitioning") == 1
+
+
+def test_single_flags_with_hot_groups_salted(spark):
+    rows = [("INV-HOT", "C1", 1, 100.0, "d", "s", "ANT", "b")] * 120 + [
+        ("INV-HOT", "C2", 1, 100.0, "d", "s", "ANT", "b"),
+        ("INV-HOT", "C1", 1, 150.0, "d", "s", "ANT", "b"),
+        (None, "C1", 1, 1.0, "d", "s", "ANT", "b"),
+        ("INV-3", "C3", 1, 5.0, "d", "s", "ANT", "b"),
+    ]
+    df = make_df(spark, rows)
+    for fn, col in ((ops.detect_exact_duplicates, "exact_duplicate_flag"),
+                    (ops.detect_amount_mismatch, "amount_mismatch_flag"),
+                    (ops.detect_case_mismatch, "case_mismatch_flag")):
+        def result(**kw):
+            return sorted((r["invoice_id"] or "", r["case_id"], str(r["amount"]), str(r[col]))
+                          for r in fn(df, **kw).collect())
+        assert result(hot_threshold=10) == result(), col
