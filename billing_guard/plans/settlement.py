@@ -111,6 +111,18 @@ def base_raw(cases_t: DataFrame, invoices: DataFrame, attributes: DataFrame,
     )
 
 
+def duplicate_attributes(attributes: DataFrame,
+                         type_id: int = LIVE_DPD_ATTRIBUTE) -> DataFrame:
+    """Data check: cases with more than one attribute of ``type_id``.
+
+    Such cases duplicate their untitled invoice rows in the settlement (the
+    original joins them as they are); an empty result means no fan-out.
+    """
+    return (attributes.where(F.col("case_attribute_type_id") == type_id)
+            .groupBy("case_id").agg(F.count(F.lit(1)).alias("attribute_rows"))
+            .where(F.col("attribute_rows") > 1))
+
+
 # 3 -------------------------------------------------------------------------
 def base_dates(raw: DataFrame) -> DataFrame:
     """Parse competence and due date; repair swapped due dates."""

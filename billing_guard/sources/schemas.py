@@ -13,7 +13,6 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
-    TimestampType,
 )
 
 MONEY = DecimalType(19, 2)

@@ -187,6 +187,13 @@ def test_duplicate_attributes_fan_out_untitled_rows(spark):
     assert row["live_dpd"] == 6
 
 
+def test_duplicate_attribute_check(spark):
+    attrs = spark.createDataFrame([(1, 560, "5"), (1, 560, "6"), (2, 560, "1"), (2, 561, "x")],
+                                  schemas.CASE_ATTRIBUTE)
+    assert [(r["case_id"], r["attribute_rows"]) for r in C.duplicate_attributes(attrs).collect()] \
+        == [(1, 2)]
+
+
 def test_aggregate_status_dpd_and_titles(spark):
     inputs = _inputs(spark, [
         _inv(1, 40, "NN: 2\nCompetencia: 01.01.2024\nVencimento: 01.01.2024\nDPD: 3", "10.00", "0.00"),
