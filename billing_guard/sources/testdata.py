@@ -114,7 +114,7 @@ def structural_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(F.ceil(F.col("l_quantity") / 10) * 100).alias("amount"),
         F.col("l_shipdate").cast("date").alias("import_date"),
         F.when(F.col("l_linestatus") == "O", "IMPORTED").otherwise("PROCESSED").alias("status"),
-        F.when(F.col("l_returnflag") == "R", "DENTAL").otherwise("ANT").alias("source_system"),
+        F.when(F.col("l_returnflag") == "R", "PARTNER").otherwise("ANT").alias("source_system"),
         F.concat(F.lit("BATCH-"), F.lpad((F.col("l_suppkey") % 1000).cast("string"), 4, "0"))
         .alias("batch_id"),
     )
