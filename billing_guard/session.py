@@ -44,22 +44,29 @@ def build_session(
     return spark
 
 
+_FALLBACK_ROOT: str | None = None
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``.  Only when a session has none (local
-    tests) is a fresh private folder created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Only when a session has neither (local tests) is a private folder created
+    and registered as the context's checkpoint folder; the configuration entry
+    itself cannot be changed at runtime and is left alone.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    global _FALLBACK_ROOT
+    context = spark.sparkContext
+    configured = (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+                  or "").rstrip("/")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="billing_guard-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    # Keep the RDD checkpoint location in step with the configured folder.
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured.rstrip("/")
+        if _FALLBACK_ROOT is None:
+            _FALLBACK_ROOT = tempfile.mkdtemp(prefix="billing_guard-")
+        context.setCheckpointDir(_FALLBACK_ROOT)
+        configured = _FALLBACK_ROOT
+    elif not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def work_path(spark: SparkSession, name: str) -> str:
