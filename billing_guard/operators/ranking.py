@@ -12,7 +12,8 @@ range method
     ordered partitions by sampled boundaries — number rows locally per
     (partition, group), and add the number of rows the same group has in
     earlier partitions.  Every step handles at most one range partition of one
-    group; the offset table has one row per (partition, group) pair.
+    group; the offset table has one row per (partition, group) pair.  The
+    locally numbered rows are checkpointed so both uses see one partitioning.
 
 ``strategy="window"`` / ``"range"`` force one method for all rows.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys
+from billing_guard.session import work_root
 
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
@@ -62,13 +64,16 @@ def _by_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column]
 
 def _by_range(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
               out_col: str, partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = [F.col(c).asc_nulls_first() for c in group_cols]
-    # A fixed partition count: AQE does not coalesce this exchange, so the
-    # partition id below means the same thing to every consumer of `ranged`.
     ranged = df.repartitionByRange(n, *group, *order).withColumn("_pid", F.spark_partition_id())
     local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
-    local = ranged.withColumn("_lrn", F.row_number().over(local_w))
+    # The local numbers and the per-partition sizes must come from the same
+    # range boundaries (they are sampled per exchange): a reliable checkpoint
+    # in the shared work folder fixes them once, also across executor loss.
+    work_root(spark)
+    local = ranged.withColumn("_lrn", F.row_number().over(local_w)).checkpoint()
     sizes = local.groupBy("_pid", *group_cols).agg(F.max("_lrn").alias("_n"))
     earlier = (Window.partitionBy(*group_cols).orderBy("_pid")
                .rowsBetween(Window.unboundedPreceding, -1))
