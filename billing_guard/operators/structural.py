@@ -19,9 +19,10 @@ Strategies
     ``aggregate``.
 ``aggregate`` (skew-safe)
     Count rows per key with a map-side-combined aggregation, derive the coarser
-    facts from that (much smaller) key table, classify each *key*, then join
-    the rows back to their key's class.  A key holding a third of all rows is
-    collapsed before the shuffle; the one row-level join salts hot keys.
+    facts from that (much smaller) key table by further aggregations joined
+    back with hot-group salting, classify each *key*, then join the rows back
+    to their key's class.  A key holding a third of all rows is collapsed
+    before the shuffle; every join salts its hot groups.
     Reports never need the row-level join: they are weighted sums over keys.
 ``window``
     Three window aggregates sharing one exchange on ``invoice_id``.  One
@@ -131,31 +132,65 @@ def classify_anomaly(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # fused classification
 # --------------------------------------------------------------------------
-def key_classes(df: DataFrame) -> DataFrame:
+def hot_invoices(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame | None:
+    """Invoices with at least ``hot_threshold`` rows (bounded list), or None.
+
+    One narrow, map-side-combined count; only the hot list reaches the driver.
+    """
+    counts = df.groupBy(INVOICE).agg(F.count(F.lit(1)).alias("_n"))
+    return find_hot_keys(counts, [INVOICE], "_n", threshold=hot_threshold)
+
+
+def key_classes(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                strategy: str = "auto") -> DataFrame:
     """One row per distinct (invoice, case, amount): row count, flags and class.
 
     The rows are first collapsed per key by a map-side-combined count (all
-    copies of a key, however many, become one row per map task).  The pair-
-    and invoice-level facts are then windows over that key table sharing one
-    exchange on ``invoice_id``; they see distinct keys, never raw copies.
+    copies of a key, however many, become one row per map task).  Pair- and
+    invoice-level facts then come from that key table:
+
+    * ``window``: windows over the key table sharing one exchange on
+      ``invoice_id`` (an invoice's distinct keys meet in one task);
+    * ``join``: further aggregations joined back with hot-group salting (no
+      task ever holds a whole invoice);
+    * ``auto``: ``window`` unless some invoice has ``hot_threshold`` rows (an
+      invoice has at least as many rows as distinct keys), else ``join``.
     """
+    if strategy == "auto":
+        strategy = "window" if hot_invoices(df, hot_threshold) is None else "join"
     per_key = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias(ROWS))
-    by_pair = Window.partitionBy(INVOICE, CASE)
-    by_invoice = Window.partitionBy(INVOICE)
     exact = F.col(ROWS) > 1
-    amount = _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair))
-    case = _case_flag(F.min(CASE).over(by_invoice), F.max(CASE).over(by_invoice))
-    flagged = per_key.repartition(INVOICE).select(
+    if strategy == "window":
+        by_pair = Window.partitionBy(INVOICE, CASE)
+        by_invoice = Window.partitionBy(INVOICE)
+        amount = _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair))
+        case = _case_flag(F.min(CASE).over(by_invoice), F.max(CASE).over(by_invoice))
+        flagged = per_key.repartition(INVOICE).select(
+            *KEYS, ROWS, exact.alias("exact_duplicate_flag"),
+            amount.alias("amount_mismatch_flag"), case.alias("case_mismatch_flag"))
+        return flagged.withColumn(
+            "anomaly_type",
+            anomaly_type(F.col("case_mismatch_flag"), F.col("amount_mismatch_flag"),
+                         F.col("exact_duplicate_flag")))
+    if strategy != "join":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    per_pair = per_key.groupBy(INVOICE, CASE).agg(
+        F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"),
+        F.count(F.lit(1)).alias("_n"))
+    per_invoice = per_pair.groupBy(INVOICE).agg(
+        F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"),
+        F.sum("_n").alias("_n"))
+    flagged = _flag_join(per_key, per_pair, [INVOICE, CASE], hot_threshold)
+    flagged = _flag_join(flagged, per_invoice, [INVOICE], hot_threshold)
+    amount = _amount_flag(F.col("_amount_lo"), F.col("_amount_hi"))
+    case = _case_flag(F.col("_case_lo"), F.col("_case_hi"))
+    return flagged.select(
         *KEYS,
         ROWS,
         exact.alias("exact_duplicate_flag"),
         amount.alias("amount_mismatch_flag"),
         case.alias("case_mismatch_flag"),
-    )
-    return flagged.withColumn(
-        "anomaly_type",
-        anomaly_type(F.col("case_mismatch_flag"), F.col("amount_mismatch_flag"),
-                     F.col("exact_duplicate_flag")),
+        anomaly_type(case, amount, exact).alias("anomaly_type"),
     )
 
 
@@ -170,14 +205,12 @@ def classify_structural(df: DataFrame, strategy: str = "auto",
     form is used; otherwise the key-table form.
     """
     if strategy == "auto":
-        counts = df.groupBy(INVOICE).agg(F.count(F.lit(1)).alias("_n"))
-        hot_invoices = find_hot_keys(counts, [INVOICE], "_n", threshold=hot_threshold)
-        strategy = "window" if hot_invoices is None else "aggregate"
+        strategy = "window" if hot_invoices(df, hot_threshold) is None else "aggregate"
     if strategy == "window":
         return _classify_by_windows(df)
     if strategy != "aggregate":
         raise ValueError(f"unknown strategy {strategy!r}")
-    classes = key_classes(df)
+    classes = key_classes(df, hot_threshold, strategy="join")
     hot = hot_keys(classes, KEYS, ROWS, threshold=hot_threshold)
     return salted_join(df, classes.select(*KEYS, "anomaly_type"), KEYS, "left",
                        hot=hot, buckets=buckets, null_safe=True)

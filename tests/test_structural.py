@@ -241,3 +241,15 @@ def test_single_flags_with_hot_groups_salted(spark):
             return sorted((r["invoice_id"] or "", r["case_id"], str(r["amount"]), str(r[col]))
                           for r in fn(df, **kw).collect())
         assert result(hot_threshold=10) == result(), col
+
+
+def test_invoice_with_many_distinct_keys_is_salted(spark):
+    rows = [("INV-WIDE", f"C{i % 3}", 1, float(i), "d", "s", "ANT", "b") for i in range(150)]
+    rows += [("INV-WIDE", "C0", 1, 0.0, "d", "s", "ANT", "b"), ("INV-9", "C9", 1, 1.0, "d", "s", "ANT", "b")]
+    df = make_df(spark, rows)
+    low = ops.key_classes(df, hot_threshold=20)            # auto -> salted joins
+    default = ops.key_classes(df, strategy="window")
+    as_rows = lambda k: sorted(tuple(str(v) for v in r) for r in k.collect())
+    assert as_rows(low) == as_rows(default)
+    assert {r["anomaly_type"] for r in low.collect() if r["invoice_id"] == "INV-WIDE"} == \
+        {"CASE_MISMATCH"}
