@@ -30,12 +30,7 @@ from billing_guard.functions.money import proportional_share, round_to_cents
 from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
-from billing_guard.operators.skew import (
-    DEFAULT_HOT_THRESHOLD,
-    find_hot_keys,
-    hot_keys,
-    salted_join,
-)
+from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys, salted_join
 from billing_guard.session import work_path
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
@@ -263,10 +258,11 @@ def settlement_report(agg: DataFrame, ptp_r: DataFrame, debtors_c: DataFrame,
     rows = salted_join(rows, ptp_r, ["case_id"], "left", hot=hot)
     rows = salted_join(rows, debtors_c, ["case_id"], "left", hot=hot)
     rows = salted_join(rows, matched.drop("case_id"), ["invoice_id"], "left")
-    # a case whose invoices were all updated on one day is a hot (case, day) key
+    # a case whose invoices were all updated on one day is a hot (case, day)
+    # key; the aggregate is a written table, so resolving the list is one scan
     day_keys = ["case_id", "update_date"]
-    hot_days = hot_keys(rows.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n")),
-                        day_keys, "_n", threshold=hot_threshold)
+    hot_days = find_hot_keys(rows.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n")),
+                             day_keys, "_n", threshold=hot_threshold)
     rows = salted_join(rows, day_totals.withColumnRenamed("update_dia", "update_date"),
                        day_keys, "left", hot=hot_days)
     rows = band_join(rows, bands_a, F.col("dpd_final"),
