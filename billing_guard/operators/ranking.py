@@ -48,7 +48,7 @@ def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequen
     hot = find_hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
     if hot is None:  # no hot group: the plain window is distributed enough
         return _by_window(df, group_cols, order, out_col)
-    tag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    tag = F.broadcast(hot.select(*group_cols).withColumn("_hot", F.lit(True)))
     tagged = df.join(tag, list(group_cols), "left")
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
     heavy = tagged.where(F.col("_hot")).drop("_hot")

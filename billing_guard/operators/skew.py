@@ -2,9 +2,14 @@
 
 A key that holds a large share of the rows would send all of them to one
 reduce task.  The helpers here find such keys from a pre-aggregated count
-(map-side combined, so the count itself is skew-proof), and join with the hot
-keys' rows spread over ``buckets`` salt values while the per-key side is
-replicated for those keys only.  Cold keys join exactly as before.
+(map-side combined, so the count itself is skew-proof), and join with each hot
+key's rows spread over salt buckets while the per-key side is replicated for
+those keys only.  Cold keys join exactly as before.
+
+Bucket count: a hot key with ``n`` rows gets ``ceil(n / ROWS_PER_BUCKET)``
+buckets (at least 2, at most ``MAX_BUCKETS``), so a bucket holds about a
+task's worth of rows however large the key grows; a key holding a third of
+10^12 rows gets the full 100,000 buckets of ~3 M rows each.
 
 Size bound of the broadcast hot-key list: a key is hot when it holds at least
 ``threshold`` rows, so there are at most ``rows / threshold`` hot keys.  The
@@ -22,10 +27,16 @@ from pyspark.sql import functions as F
 
 #: rows per key above which a key is salted
 DEFAULT_HOT_THRESHOLD = 2_000_000
-#: salt values a hot key's rows are spread over
+#: rows one salt bucket of a hot key should hold (about one task's input)
+ROWS_PER_BUCKET = 1_000_000
+#: most salt buckets for one key
+MAX_BUCKETS = 100_000
+#: salt buckets used when a hot-key list carries no row counts
 DEFAULT_BUCKETS = 64
 #: upper bound on the broadcast hot-key list
 MAX_HOT_KEYS = 100_000
+#: column of a hot-key list holding the key's row count
+HOT_ROWS = "_hot_rows"
 
 _SALT = "_salt"
 _HOT = "_hot_buckets"
@@ -34,7 +45,8 @@ _HOT = "_hot_buckets"
 def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
              threshold: int = DEFAULT_HOT_THRESHOLD,
              max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys of ``counts`` (one row per key) holding at least ``threshold`` rows.
+    """Keys of ``counts`` (one row per key) holding at least ``threshold`` rows,
+    with their row count in ``HOT_ROWS``.
 
     At most ``max_hot_keys`` rows, so the result is safe to broadcast (with
     ``threshold`` sized as above the cap is never reached in practice).  NULL
@@ -42,7 +54,7 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
     """
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (counts.where((F.col(count_col) >= threshold) & not_null)
-            .select(*keys)
+            .select(*keys, F.col(count_col).cast("long").alias(HOT_ROWS))
             .limit(max_hot_keys))
 
 
@@ -76,31 +88,43 @@ def _key_condition(keys: list[str], names: dict[str, str], null_safe: bool) -> C
     return reduce(lambda a, b: a & b, parts)
 
 
+def _bucket_count(hot: DataFrame, buckets: int | None) -> Column:
+    if buckets is not None:
+        return F.lit(buckets)
+    if HOT_ROWS not in hot.columns:
+        return F.lit(DEFAULT_BUCKETS)
+    per_rows = F.ceil(F.col(HOT_ROWS) / F.lit(ROWS_PER_BUCKET))
+    return F.least(F.greatest(per_rows, F.lit(2)), F.lit(MAX_BUCKETS))
+
+
 def salted_join(big: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
-                hot: DataFrame | None = None, buckets: int = DEFAULT_BUCKETS,
+                hot: DataFrame | None = None, buckets: int | None = None,
                 null_safe: bool = False) -> DataFrame:
     """``big ⋈ per_key`` on ``keys`` with hot keys' rows spread over salt buckets.
 
     ``per_key`` columns other than the keys are appended to ``big``'s rows.
     Without ``hot`` this is a plain join (AQE may still split skew at runtime).
-    ``how`` is ``inner`` or ``left`` (``big`` is the preserved side).
+    Each hot key gets buckets in proportion to its row count unless
+    ``buckets`` fixes the number.  ``how`` is ``inner`` or ``left`` (``big``
+    is the preserved side).
     """
     if hot is None:
         right, names = _renamed(per_key, keys)
         return big.join(right, _key_condition(keys, names, null_safe), how) \
             .drop(*names.values())
 
-    tag = F.broadcast(hot.select(*keys).withColumn(_HOT, F.lit(buckets)))
+    tag = F.broadcast(hot.select(*keys, _bucket_count(hot, buckets).cast("int").alias(_HOT)))
     # Round-robin salt for hot rows: any salt value is correct because every
     # salt of a hot key finds a replica of its per-key row.
     big_s = (big.join(tag, keys, "left")
              .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(),
-                                       F.monotonically_increasing_id() % buckets)
+                                       F.monotonically_increasing_id() % F.col(_HOT))
                          .otherwise(F.lit(0)).cast("int"))
              .drop(_HOT))
     per_key_s = (per_key.join(tag, keys, "left")
                  .withColumn("_pk_salt", F.explode(
-                     F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                     F.when(F.col(_HOT).isNotNull(),
+                            F.sequence(F.lit(0), F.col(_HOT) - F.lit(1)))
                      .otherwise(F.array(F.lit(0)))))
                  .drop(_HOT))
     right, names = _renamed(per_key_s, keys)

@@ -36,7 +36,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billing_guard.operators.skew import (
-    DEFAULT_BUCKETS,
     DEFAULT_HOT_THRESHOLD,
     find_hot_keys,
     hot_keys,
@@ -196,7 +195,7 @@ def key_classes(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
 
 def classify_structural(df: DataFrame, strategy: str = "auto",
                         hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
     """Every input row with its ``anomaly_type`` appended (flags not kept).
 
     ``auto`` first counts rows per invoice (one narrow, map-side-combined

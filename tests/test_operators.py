@@ -107,3 +107,11 @@ def test_dynamic_overwrite_replaces_only_written_classes(spark):
         [(2, "B"), (3, "A")]
     write_partitioned(update, path, "cls")   # static: every class replaced
     assert [(r["id"], r["cls"]) for r in read_partitioned(spark, path).collect()] == [(3, "A")]
+
+
+def test_salt_buckets_grow_with_the_hot_key(spark):
+    from billing_guard.operators import skew
+    hot = spark.createDataFrame([("a", 2_000_000), ("b", 5_500_000), ("c", 10**12)],
+                                f"g string, {skew.HOT_ROWS} long")
+    got = {r["g"]: r["b"] for r in hot.select("g", skew._bucket_count(hot, None).alias("b")).collect()}
+    assert got == {"a": 2, "b": 6, "c": skew.MAX_BUCKETS}
