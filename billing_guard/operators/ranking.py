@@ -20,13 +20,19 @@ range method
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys
+from billing_guard.operators.skew import (
+    DEFAULT_HOT_THRESHOLD,
+    HOT_ROWS,
+    ROWS_PER_BUCKET,
+    find_hot_keys,
+)
 from billing_guard.session import work_root
 
 
@@ -48,6 +54,11 @@ def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequen
     hot = find_hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
     if hot is None:  # no hot group: the plain window is distributed enough
         return _by_window(df, group_cols, order, out_col)
+    if partitions is None:
+        # about ROWS_PER_BUCKET rows per range partition, however large the groups
+        hot_rows = hot.agg(F.sum(HOT_ROWS)).first()[0]
+        partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                         math.ceil(hot_rows / ROWS_PER_BUCKET))
     tag = F.broadcast(hot.select(*group_cols).withColumn("_hot", F.lit(True)))
     tagged = df.join(tag, list(group_cols), "left")
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
