@@ -39,3 +39,18 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert len(df.columns) == 34
     assert df.count() > 0
+
+
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+               "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", _names())
+def test_result_types_match_oracle(spark, con, name):
+    from __spark_entry__ import oracle_sql, queries
+    spark_types = {f.name: f.dataType.simpleString()
+                   for f in queries()[name](spark, SF).schema.fields}
+    cur = con.execute(f"SELECT * FROM ({oracle_sql()[name]}) LIMIT 0")
+    duck_types = {d[0]: str(d[1]).upper() for d in cur.description}
+    for col, t in spark_types.items():
+        assert duck_types[col] == _DUCK_TYPES.get(t, t.upper()), (name, col, t, duck_types[col])
