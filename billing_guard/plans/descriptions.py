@@ -128,6 +128,9 @@ def anomaly_detail(classified: DataFrame) -> DataFrame:
     order = [F.col(REASON).asc_nulls_first()]
     if "insert_date" in present:
         order.append(F.col("insert_date").desc_nulls_last())
+    # a final tie-breaker lets the range partitioner split rows that share a
+    # reason and date (one import batch can hold a large share of anomalies)
+    order += [F.col(c).asc_nulls_first() for c in ("invoice_id", "case_id") if c in present]
     # The rebalance boundary makes the sort's range-sampling pass read the
     # shuffled anomaly rows instead of parsing every description a second time.
     return (classified.where(F.col("is_anomaly")).select(*present)

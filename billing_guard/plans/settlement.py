@@ -374,4 +374,5 @@ def settle(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF
     """The settlement report, ordered by case and invoice number."""
     report = settlement_steps(inputs, client_id, as_of, **kwargs).report
     return report.orderBy(F.col("case_id").asc_nulls_first(),
-                          F.col("invoice_number").asc_nulls_first())
+                          F.col("invoice_number").asc_nulls_first(),
+                          F.col("invoice_id").asc_nulls_first())
