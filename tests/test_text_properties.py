@@ -92,3 +92,40 @@ def test_line_parsers_follow_the_line_rules(spark, batch):
         assert r["comp"] == line_model(r["d"], "Competencia:"), repr(r["d"])
         assert r["due"] == line_model(r["d"], "Vencimento:"), repr(r["d"])
         assert r["dpd"] == dpd_line_model(r["d"]), repr(r["d"])
+
+
+def _dmy_text():
+    part = st.integers(min_value=0, max_value=35).flatmap(
+        lambda v: st.sampled_from([str(v), f"{v:02d}"]))
+    year = st.integers(min_value=1990, max_value=2030).map(str)
+    good = st.tuples(part, part, year).map(".".join)
+    return st.one_of(good, st.sampled_from(["", "x", "15/01/2024", "1.2.24", "01.2024"]))
+
+
+def _parse_model(x):
+    import datetime as dt
+    m = re.fullmatch(r"(\d{1,2})\.(\d{1,2})\.(\d{4})", x)
+    if not m:
+        return None
+    try:
+        return dt.date(int(m.group(3)), int(m.group(2)), int(m.group(1)))
+    except ValueError:
+        return None
+
+
+def _swap_model(x):
+    return x[3:5] + "." + x[0:2] + "." + x[6:10]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pairs=st.lists(st.tuples(_dmy_text(), _dmy_text()), min_size=1, max_size=40))
+def test_due_date_repair_follows_the_rule(spark, pairs):
+    from billing_guard.functions import dates
+    df = spark.createDataFrame(pairs, "due string, comp string")
+    rows = df.select("due", "comp", dates.repaired_due_date(F.col("due"), F.col("comp"))
+                     .alias("got")).collect()
+    for r in rows:
+        due, comp = r["due"], r["comp"]
+        candidate = _swap_model(due) if due[3:5] != comp[3:5] else due
+        expected = _parse_model(candidate) or _parse_model(_swap_model(comp))
+        assert r["got"] == expected, (due, comp)
