@@ -22,6 +22,13 @@ CLEAN = "CLEAN"
 # -------------------------------------------------------------------------------
 
 REASON = "motivo_erro"
+#: closing section of the report
+DEFINITIONS = (
+    "## Anomaly Definitions",
+    "- **MES DIVERGENTE**: the month of `Competencia:` differs from the month of `Vencimento:`.",
+    "- **DPD NEGATIVO**: the days past due in `DPD:` are negative.",
+    "- **AMBOS**: both conditions at once.",
+)
 #: alert when at least this many anomalies are found
 ANOMALY_COUNT_THRESHOLD = 1
 DETAIL_COLUMNS = ("invoice_id", "case_id", "invoice_number", "competencia_raw",
@@ -165,6 +172,7 @@ def report_lines(classified: DataFrame, run_date: str, client_id: int) -> DataFr
              .otherwise(F.lit("## Anomalies Detected"))),
         line(6, F.lit("| Motivo | Records | Unique Invoices |")),
         line(7, F.lit("|--------|---------|----------------|")),
+        *[line(200 + i, F.lit(text_)) for i, text_ in enumerate(DEFINITIONS)],
     )).alias("l")).select("l.line_no", "l.line")
     rows = reason_report(classified).select(
         (F.lit(100) + F.dense_rank().over(Window.orderBy(REASON))).alias("line_no"),

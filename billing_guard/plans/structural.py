@@ -30,6 +30,14 @@ from billing_guard.sources.schemas import MONEY, require_valid
 
 #: alert when more than this share of rows is anomalous
 ANOMALY_RATE_THRESHOLD = 0.10
+#: closing section of the report
+DEFINITIONS = (
+    "## Anomaly Definitions",
+    "- **EXACT_DUPLICATE**: the same invoice, case and amount imported more than once.",
+    "- **AMOUNT_MISMATCH**: the same invoice and case imported with different amounts.",
+    "- **CASE_MISMATCH**: the same invoice linked to more than one case.",
+    "- **CLEAN**: no anomaly found.",
+)
 CLASS_COL = "anomaly_type"
 
 
@@ -126,6 +134,7 @@ def report_lines(keys: DataFrame, run_date: str, client: str = "XYZ") -> DataFra
         _line(5, F.lit("## Breakdown by Anomaly Type")),
         _line(6, F.lit("| Anomaly Type | Records | Unique Invoices | Total Amount |")),
         _line(7, F.lit("|---|---|---|---|")),
+        *[_line(200 + i, F.lit(text)) for i, text in enumerate(DEFINITIONS)],
     )).alias("l")).select("l.line_no", "l.line")
     rows = class_report(keys).select(
         # a window over the (at most four) aggregated class rows, not over data
