@@ -229,7 +229,8 @@ def paid_per_case_day(agg: DataFrame) -> DataFrame:
 
 # 10 ------------------------------------------------------------------------
 def match_payments(payments_m: DataFrame, agg: DataFrame,
-                   rank_strategy: str = "auto") -> DataFrame:
+                   rank_strategy: str = "auto",
+                   invoice_rank_strategy: str | None = None) -> DataFrame:
     """Pair the n-th payment of a case (by date, id) with its n-th paid invoice
     (by invoice number, id)."""
     pg = row_number_in_groups(
@@ -241,7 +242,7 @@ def match_payments(payments_m: DataFrame, agg: DataFrame,
         agg.where(F.col("valor_pago_invoice") > 0).select("case_id", "invoice_id", "invoice_number"),
         ["case_id"],
         [F.col("invoice_number").asc_nulls_first(), F.col("invoice_id").asc_nulls_first()],
-        "rn", strategy=rank_strategy)
+        "rn", strategy=invoice_rank_strategy or rank_strategy)
     return (inv.join(pg, ["case_id", "rn"], "inner")
             .select("invoice_id", "case_id", "payment_id", "payment_date", "payed_capital",
                     *PAYMENT_DETAIL))
@@ -355,7 +356,14 @@ class SettlementSteps:
 
     @cached_property
     def matched(self) -> DataFrame:
-        return match_payments(self.payments, self.aggregate, self.rank_strategy)
+        # Paid invoices per case never outnumber the case's invoice rows (the
+        # aggregate has one row per invoice), so when no case is hot in the
+        # invoices, the invoice ranking needs no hot-group check of its own.
+        invoice_strategy = None
+        if (self.rank_strategy == "auto" and self.hot_case_threshold
+                and self.hot_case_threshold <= DEFAULT_HOT_THRESHOLD and self.hot is None):
+            invoice_strategy = "window"
+        return match_payments(self.payments, self.aggregate, self.rank_strategy, invoice_strategy)
 
     @cached_property
     def report(self) -> DataFrame:
