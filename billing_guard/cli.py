@@ -99,29 +99,31 @@ def main(argv: list[str] | None = None) -> int:
     today = date.today().isoformat()
 
     s = sub.add_parser("structural")
-    s.add_argument("--input", required=True)
-    s.add_argument("--output", required=True)
-    s.add_argument("--report-dir")
+    s.add_argument("--input", required=True, help="headed CSV of invoice imports")
+    s.add_argument("--output", required=True, help="Parquet folder, one directory per class")
+    s.add_argument("--report-dir", help="folder for the Markdown report")
     s.add_argument("--run-date", default=today)
     s.add_argument("--strategy", default="auto", choices=["auto", "aggregate", "window"])
 
     d = sub.add_parser("descriptions")
-    d.add_argument("--parquet")
+    d.add_argument("--parquet", help="Parquet invoice texts (instead of JDBC)")
     d.add_argument("--jdbc-url")
     d.add_argument("--db-user")
     d.add_argument("--db-password")
     d.add_argument("--lower-bound", type=int)
     d.add_argument("--upper-bound", type=int)
-    d.add_argument("--num-partitions", type=int, default=1)
+    d.add_argument("--num-partitions", type=int, default=1,
+                   help="parallel JDBC reads over invoice_id (needs the bounds)")
     d.add_argument("--client-id", type=int, default=1)
-    d.add_argument("--output", required=True)
+    d.add_argument("--output", required=True, help="Parquet folder of anomalies, one per reason")
     d.add_argument("--report-dir")
     d.add_argument("--run-date", default=today)
 
     c = sub.add_parser("settlement")
-    c.add_argument("--tables-dir", required=True)
+    c.add_argument("--tables-dir", required=True,
+                   help="folder with one Parquet table per settlement input")
     c.add_argument("--client-id", type=int, required=True)
-    c.add_argument("--as-of", required=True)
+    c.add_argument("--as-of", required=True, help="settlement date, YYYY-MM-DD")
     c.add_argument("--output", required=True)
 
     args = parser.parse_args(argv)

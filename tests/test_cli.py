@@ -47,3 +47,14 @@ def test_settlement_job(spark, capsys):
     printed = capsys.readouterr().out
     rows = int(printed.split("SETTLEMENT_ROWS=")[1].split()[0])
     assert rows == spark.read.parquet(out).count() > 0
+
+
+def test_run_structural_library_job(spark):
+    from billing_guard.plans.structural import run_structural
+    csv, out = work_path(spark, "lib_csv"), work_path(spark, "lib_out")
+    write_csv(td.structural_invoices(spark, SF), csv)
+    run = run_structural(spark, csv, out)
+    assert run.rows_read == run.classified.count() > 0
+    counts = {r["anomaly_type"]: r["record_count"] for r in run.counts.collect()}
+    assert sum(counts.values()) == run.rows_read
+    assert run.alert.first()["total_records"] == run.rows_read
