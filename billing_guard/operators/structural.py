@@ -91,17 +91,34 @@ def _flag_join(df: DataFrame, per_group: DataFrame, keys: list[str],
     return salted_join(df, per_group.drop("_n"), keys, "left", hot=hot, null_safe=True)
 
 
-def detect_exact_duplicates(df: DataFrame,
-                            hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+def _use_windows(df: DataFrame, strategy: str, hot_threshold: int) -> bool:
+    """Every flag group lies inside one invoice: without a hot invoice the
+    window form is bounded; ``auto`` checks that first."""
+    if strategy == "auto":
+        return hot_invoices(df, hot_threshold) is None
+    if strategy not in ("window", "aggregate"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return strategy == "window"
+
+
+def detect_exact_duplicates(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                            strategy: str = "auto") -> DataFrame:
     """``exact_duplicate_flag``: the row's (invoice, case, amount) occurs twice or more."""
+    if _use_windows(df, strategy, hot_threshold):
+        return df.withColumn("exact_duplicate_flag",
+                             F.count(F.lit(1)).over(Window.partitionBy(*KEYS)) > 1)
     counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
     return (_flag_join(df, counts.withColumn("_dups", F.col("_n")), KEYS, hot_threshold)
             .withColumn("exact_duplicate_flag", F.col("_dups") > 1).drop("_dups"))
 
 
-def detect_amount_mismatch(df: DataFrame,
-                           hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+def detect_amount_mismatch(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                           strategy: str = "auto") -> DataFrame:
     """``amount_mismatch_flag``: the row's (invoice, case) has more than one amount."""
+    if _use_windows(df, strategy, hot_threshold):
+        w = Window.partitionBy(INVOICE, CASE)
+        return df.withColumn("amount_mismatch_flag",
+                             _amount_flag(F.min(AMOUNT).over(w), F.max(AMOUNT).over(w)))
     per_pair = df.groupBy(INVOICE, CASE).agg(
         F.min(AMOUNT).alias("_lo"), F.max(AMOUNT).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     return (_flag_join(df, per_pair, [INVOICE, CASE], hot_threshold)
@@ -109,9 +126,13 @@ def detect_amount_mismatch(df: DataFrame,
             .drop("_lo", "_hi"))
 
 
-def detect_case_mismatch(df: DataFrame,
-                         hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+def detect_case_mismatch(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                         strategy: str = "auto") -> DataFrame:
     """``case_mismatch_flag``: the row's invoice is linked to more than one case."""
+    if _use_windows(df, strategy, hot_threshold):
+        w = Window.partitionBy(INVOICE)
+        return df.withColumn("case_mismatch_flag",
+                             _case_flag(F.min(CASE).over(w), F.max(CASE).over(w)))
     per_invoice = df.groupBy(INVOICE).agg(
         F.min(CASE).alias("_lo"), F.max(CASE).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     return (_flag_join(df, per_invoice, [INVOICE], hot_threshold)
