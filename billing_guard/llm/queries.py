@@ -101,8 +101,8 @@ _OP9 = f"""
 WITH RECURSIVE usable AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
   SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q
     ON p.label = q.label AND len(p.e) = len(q.e) AND p.vec_id <> q.vec_id
@@ -120,7 +120,7 @@ WITH RECURSIVE word AS (
   SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM documents),
 shingle AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
     WHEN trim(text) <> '' THEN ['#' || trim(text)] ELSE [] END) AS g FROM word),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
