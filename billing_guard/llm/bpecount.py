@@ -26,10 +26,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billing_guard.llm.common import WordCache
 from billing_guard.llm.encode import (
     WORD_BPE,
     Splitter,
-    WordCache,
     byte_symbols,
     tokenizer_path,
 )
@@ -73,7 +73,7 @@ def count_merges(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
 class Counter:
     """Counts the tokens of texts for one vocabulary file of words with end marks."""
 
-    def __init__(self, path: str | None = None, cache_words: int = 1_000_000):
+    def __init__(self, path: str | None = None, cache_words: int = 500_000):
         from tokenizers import Tokenizer
 
         file = path or tokenizer_path(WORD_BPE)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
+from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def words(text: str | None) -> list[str]:
     """Lower-cased words of a text; none for NULL."""
     return WORD.findall(text.lower()) if text else []
+
+
+class WordCache(dict):
+    """word -> value, filled in batches and emptied when it holds ``limit`` words."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+
+    def fill(self, pieces: Iterable[str], values) -> None:
+        """Add ``values(missing)`` for the pieces that are not held yet."""
+        pieces = set(pieces)
+        missing = [p for p in pieces if p not in self]
+        if missing:
+            if len(self) + len(missing) > self.limit:
+                self.clear()
+                missing = list(pieces)
+            self.update(zip(missing, values(missing)))
+
+
+def _digests(missing: list[str]) -> list[int]:
+    return [int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+            for w in missing]
+
+
+#: One per Python worker, for all operators that hash words.
+_HASHES = WordCache(200_000)
+
+
+def word_hashes(found: list[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    _HASHES.fill(found, _digests)
+    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))

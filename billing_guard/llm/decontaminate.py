@@ -29,9 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billing_guard.llm.common import words
-from billing_guard.llm.encode import WordCache
-from billing_guard.llm.jaccard import _word_hashes
+from billing_guard.llm.common import word_hashes, words
 
 #: Care positions of the masks; their ignored places differ.
 MASKS = ("11011010111", "11101100111", "11110011011")
@@ -44,13 +42,6 @@ _BITS = 20
 
 _rng = np.random.default_rng(4)
 _FACTORS = _rng.integers(2**62, 2**63, SPAN, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-_HASHES = WordCache(500_000)
-
-
-def word_hashes(text: str | None) -> np.ndarray:
-    found = words(text)
-    _HASHES.fill(found, _word_hashes)
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
 
 
 def seed_hashes(h: np.ndarray, mask: str) -> np.ndarray:
@@ -73,7 +64,7 @@ class Index:
 
     @classmethod
     def of(cls, items: list[tuple[int | None, str | None]]) -> Index:
-        kept = [(i, h) for i, h in ((i, word_hashes(t)) for i, t in items) if len(h)]
+        kept = [(i, h) for i, h in ((i, word_hashes(words(t))) for i, t in items) if len(h)]
         found: dict[str, list[tuple[np.ndarray, int]]] = {}
         for n, (_, h) in enumerate(kept):
             for mask in (MASKS if len(h) >= SPAN else ("1" * len(h),)):
@@ -153,7 +144,7 @@ def overlaps(index: Index, texts: list[str | None], least_words: int) -> list[li
 
     waiting = 0
     for k, text in enumerate(texts):
-        h = word_hashes(text)
+        h = word_hashes(words(text))
         if len(h):
             runs.append(h)
             owners.append(k)

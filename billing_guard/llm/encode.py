@@ -15,6 +15,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from billing_guard.llm.common import WordCache
+
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -44,24 +46,6 @@ def byte_symbols() -> dict[int, str]:
     return table | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(table)))}
 
 
-class WordCache(dict):
-    """word -> value, filled in batches and emptied when it holds ``limit`` words."""
-
-    def __init__(self, limit: int):
-        super().__init__()
-        self.limit = limit
-
-    def fill(self, pieces: Iterable[str], values) -> None:
-        """Add ``values(missing)`` for the pieces that are not held yet."""
-        pieces = set(pieces)
-        missing = [p for p in pieces if p not in self]
-        if missing:
-            if len(self) + len(missing) > self.limit:
-                self.clear()
-                missing = list(pieces)
-            self.update(zip(missing, values(missing)))
-
-
 class Splitter:
     """Splits Latin text as the vocabulary does; ``None`` where it cannot tell."""
 
@@ -81,7 +65,7 @@ class Splitter:
 class Encoder:
     """text -> little-endian unsigned 32-bit ids, as the library gives them."""
 
-    def __init__(self, name: str, path: str | None = None, cache_words: int = 400_000):
+    def __init__(self, name: str, path: str | None = None, cache_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -36,9 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billing_guard.llm.common import words, written
+from billing_guard.llm.common import word_hashes, words, written
 from billing_guard.llm.embeddings import TILE_ROWS, tile_links, with_components
-from billing_guard.llm.encode import WordCache
 from billing_guard.llm.graph import components, tile_places
 
 SHINGLE = 5
@@ -56,14 +55,6 @@ _B = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 _MIX = [np.uint64(int(m) | 1) for m in _rng.integers(2**62, 2**63, 64)]
 
 
-def _word_hashes(missing: list[str]) -> list[int]:
-    return [int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-            for w in missing]
-
-
-_WORDS = WordCache(500_000)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX[0]
     return x ^ (x >> np.uint64(29))
@@ -73,9 +64,7 @@ def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; none for a blank text."""
     if not text or text.isspace():
         return np.zeros(0, np.uint64)
-    found = words(text) or [text.strip()]
-    _WORDS.fill(found, _word_hashes)
-    h = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    h = word_hashes(words(text) or [text.strip()])
     size = min(n, len(h))
     total = np.zeros(len(h) - size + 1, np.uint64)
     for k in range(size):
