@@ -314,7 +314,7 @@ def training_sample(docs: DataFrame, keep: Column, plan: TrainingPlan = Training
     """At most ``plan.per_language`` rows of each language, in the order of a hash of
     the row, each cut to ``plan.span`` characters from a hashed place on."""
     order = F.xxhash64("doc_id", "text", F.lit(plan.seed))
-    rows = docs.where(keep & F.col("text").isNotNull() & F.col("lang").isNotNull()
+    rows = docs.where(keep & (F.length("text") > 0) & F.col("lang").isNotNull()
                       & (F.col("lang") != UNDETERMINED))
     place = F.lit(1) + F.pmod(order, F.greatest(F.length("text") - plan.span + 1, F.lit(1))).cast("int")
     cut = rows.select("lang", F.substring(F.col("text"), place, F.lit(plan.span)).alias("part"),
