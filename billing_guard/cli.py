@@ -19,13 +19,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billing_guard.operators.sinks import write_partitioned
+from billing_guard.operators.sinks import read_partitioned, write_partitioned
+from billing_guard.operators.structural import classify_structural
 from billing_guard.plans import descriptions as desc
 from billing_guard.plans import settlement as settle
 from billing_guard.plans import structural as struct
-from billing_guard.session import build_session
+from billing_guard.session import build_session, delete_work, work_count, written
 from billing_guard.sources import schemas
-from billing_guard.sources.files import read_invoices_csv
+from billing_guard.sources.files import MALFORMED, read_invoices_csv
 from billing_guard.sources.jdbc import read_invoice_text_jdbc
 from billing_guard.sources.testdata import SettlementInputs
 
@@ -36,17 +37,25 @@ SETTLEMENT_TABLES = ("cases", "invoice", "case_attribute", "debtor", "persons",
 def _write_lines(lines: DataFrame, path: str) -> None:
     # a report is a handful of aggregated lines: one file is the readable form
     lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
+    print(f"REPORT_PATH={path}")
 
 
 def run_structural_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    df = read_invoices_csv(spark, args.input)
+    """One pass over the input: it is landed, classified and written once; every report
+    comes from the written classes."""
+    landed = written(read_invoices_csv(spark, args.input, mark_malformed=True), "invoices")
+    malformed = landed.where(F.size(MALFORMED) > 0)
+    df = landed.where(F.size(MALFORMED) == 0).drop(MALFORMED)
     rows = schemas.require_valid(df)
     print(f"Total records loaded: {rows}")
-    keys = struct.key_classes(df)
+    bad = malformed.count()
+    print(f"MALFORMED_ROWS={bad}")
+    if bad:
+        malformed.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}_malformed")
+    write_partitioned(classify_structural(df, strategy=args.strategy), args.output, struct.CLASS_COL)
+    keys = written(struct.keys_of_classified(read_partitioned(spark, args.output)), "written_keys")
     struct.class_counts(keys).show()
     struct.amount_exposure(keys).show()
-    write_partitioned(struct.classify_structural(df, strategy=args.strategy), args.output,
-                      struct.CLASS_COL)
     if args.report_dir:
         _write_lines(struct.report_lines(keys, args.run_date), f"{args.report_dir}/report_{args.run_date}")
     alert = struct.rate_alert(struct.run_totals(keys)).first()
@@ -56,6 +65,7 @@ def run_structural_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_descriptions_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One read of the source: the classified rows are landed once, without the text."""
     if args.parquet:
         texts = spark.read.schema(schemas.INVOICE_TEXT).parquet(args.parquet)
     else:
@@ -63,13 +73,16 @@ def run_descriptions_job(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, url=args.jdbc_url, user=args.db_user, password=args.db_password,
             client_id=args.client_id, lower_bound=args.lower_bound, upper_bound=args.upper_bound,
             num_partitions=args.num_partitions)
-    classified = desc.analyse_descriptions(texts)
+    classified = written(desc.analyse_descriptions(texts), "classified_texts")
     desc.reason_counts(classified).show()
     desc.write_anomalies(classified, args.output)
     if args.report_dir:
         base = f"{args.report_dir}/description_anomalies_{args.run_date}"
-        _write_lines(desc.report_lines(classified, args.run_date, args.client_id), base)
-        desc.anomaly_detail(classified).write.mode("overwrite").parquet(base + "_detail")
+        m = desc.anomaly_metrics(classified).first()
+        detail = f"{base}_detail" if m["anomaly_count"] else None
+        if detail:
+            desc.anomaly_detail(classified).write.mode("overwrite").parquet(detail)
+        _write_lines(desc.report_lines(classified, args.run_date, args.client_id, detail), base)
     m = desc.anomaly_metrics(classified).first()
     print(f"ANOMALY_COUNT={m['anomaly_count']}")
     print(f"ANOMALY_RATE={m['anomaly_rate_text']}")
@@ -103,7 +116,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--output", required=True, help="Parquet folder, one directory per class")
     s.add_argument("--report-dir", help="folder for the Markdown report")
     s.add_argument("--run-date", default=today)
-    s.add_argument("--strategy", default="auto", choices=["auto", "aggregate", "window"])
+    s.add_argument("--strategy", default="aggregate", choices=["aggregate", "window"])
 
     d = sub.add_parser("descriptions")
     d.add_argument("--parquet", help="Parquet invoice texts (instead of JDBC)")
@@ -112,8 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--db-password")
     d.add_argument("--lower-bound", type=int)
     d.add_argument("--upper-bound", type=int)
-    d.add_argument("--num-partitions", type=int, default=1,
-                   help="parallel JDBC reads over invoice_id (needs the bounds)")
+    d.add_argument("--num-partitions", type=int,
+                   help="parallel JDBC reads over invoice_id (needs the bounds); 1 for a single connection")
     d.add_argument("--client-id", type=int, default=1)
     d.add_argument("--output", required=True, help="Parquet folder of anomalies, one per reason")
     d.add_argument("--report-dir")
@@ -130,8 +143,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "descriptions" and not (args.parquet or args.jdbc_url):
         parser.error("descriptions needs --parquet or --jdbc-url")
     spark = build_session(app_name=f"billing_guard_{args.job}")
-    {"structural": run_structural_job, "descriptions": run_descriptions_job,
-     "settlement": run_settlement_job}[args.job](spark, args)
+    made = work_count()
+    try:
+        {"structural": run_structural_job, "descriptions": run_descriptions_job,
+         "settlement": run_settlement_job}[args.job](spark, args)
+    finally:
+        delete_work(spark, made)
     return 0
 
 

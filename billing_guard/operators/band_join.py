@@ -1,10 +1,10 @@
 """Range (band) join: attach the band whose ``[lo, hi]`` contains a value.
 
-Band tables are configuration (tens of rows).  The join first proves that with
-a bounded count; within the bound it broadcasts the bands and lets every row
-test them in place (no shuffle of the large side).  Beyond the bound it falls
-back to an equi-join on a value bucket, where each band is expanded into the
-buckets it covers and the exact BETWEEN is re-checked.
+An equi-join on a value bucket, where each band is expanded into the buckets it
+covers and the exact BETWEEN is re-checked.  Spark broadcasts the bands while their
+known size is small and shuffles both sides otherwise (nothing is grouped by the bucket
+afterwards, so adaptive execution can split a large bucket); either way it is a hash or
+merge join, never a comparison of every row with every band.
 
 Overlapping bands match more than once, as a SQL BETWEEN join does;
 :func:`overlapping_bands` reports such bands.
@@ -15,32 +15,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: most band rows that are broadcast
-MAX_BROADCAST_BANDS = 100_000
-#: bucket width of the fallback equi-join
-FALLBACK_BUCKET_WIDTH = 256
+#: values in one bucket
+BUCKET_WIDTH = 64
 
 
 def band_join(df: DataFrame, bands: DataFrame, value: Column, lo: str, hi: str,
-              how: str = "left", max_broadcast_rows: int = MAX_BROADCAST_BANDS) -> DataFrame:
+              how: str = "left", width: int = BUCKET_WIDTH) -> DataFrame:
     """``df ⋈ bands ON value BETWEEN bands.lo AND bands.hi`` (``how``: left or inner)."""
-    n_bands = bands.limit(max_broadcast_rows + 1).count()
-    if n_bands <= max_broadcast_rows:
-        return df.join(F.broadcast(bands), value.between(bands[lo], bands[hi]), how)
-    return _bucketed_band_join(df, bands, value, lo, hi, how)
-
-
-def _bucketed_band_join(df: DataFrame, bands: DataFrame, value: Column, lo: str, hi: str,
-                        how: str) -> DataFrame:
-    width = FALLBACK_BUCKET_WIDTH
-    left = df.withColumn("_vbucket", F.floor(value / width).cast("long"))
+    left = df.withColumn("_value", value).withColumn("_bucket", F.floor(F.col("_value") / width).cast("long"))
     right = bands.withColumn(
-        "_bbucket",
+        "_band_bucket",
         F.explode(F.sequence(F.floor(F.col(lo) / width).cast("long"),
-                             F.floor(F.col(hi) / width).cast("long"))),
-    )
-    cond = (left["_vbucket"] == right["_bbucket"]) & value.between(right[lo], right[hi])
-    return left.join(right, cond, how).drop("_vbucket", "_bbucket")
+                             F.floor(F.col(hi) / width).cast("long"))))
+    cond = (F.col("_bucket") == F.col("_band_bucket")) & F.col("_value").between(right[lo], right[hi])
+    return left.join(right, cond, how).drop("_value", "_bucket", "_band_bucket")
 
 
 def overlapping_bands(bands: DataFrame, lo: str, hi: str, keys: list[str] | None = None) -> DataFrame:

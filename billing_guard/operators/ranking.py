@@ -1,44 +1,28 @@
 """Row numbers within groups that stay distributed when one group is huge.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends each group to a single
-task.  That is right for ordinary groups and wrong for a group holding a large
-share of the rows.  :func:`row_number_in_groups` therefore (``strategy="auto"``)
-counts rows per group with a map-side-combined aggregation, numbers ordinary
-groups with the plain window, and numbers only the hot groups (bounded list,
-broadcast) with the range method:
-
-range method
-    range-partition the rows by ``(g, o)`` — a hot group is cut into several
-    ordered partitions by sampled boundaries — number rows locally per
-    (partition, group), and add the number of rows the same group has in
-    earlier partitions.  Every step handles at most one range partition of one
-    group; the offset table has one row per (partition, group) pair.  The
-    locally numbered rows are checkpointed so both uses see one partitioning.
-
-``strategy="window"`` / ``"range"`` force one method for all rows.
+task.  The range method (default, at every size) does not: range-partition the rows
+by ``(g, o)`` - a hot group, a NULL group included, is cut into several ordered
+partitions by sampled boundaries - number rows locally per (partition, group), and add
+the number of rows the same group has in earlier partitions.  Every step handles at
+most one range partition of one group; the offset table has one row per (partition,
+group) pair.  The locally numbered rows are checkpointed so both uses see one
+partitioning.  ``strategy="window"`` is for groups known to be small.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import (
-    DEFAULT_HOT_THRESHOLD,
-    HOT_ROWS,
-    ROWS_PER_BUCKET,
-    find_hot_keys,
-)
 from billing_guard.session import work_root
 
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                         out_col: str, strategy: str = "auto",
-                         hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                         out_col: str, strategy: str = "range",
                          partitions: int | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each group in ``order`` (ties: as given).
 
@@ -46,25 +30,9 @@ def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequen
     """
     if strategy == "window":
         return _by_window(df, group_cols, order, out_col)
-    if strategy == "range":
-        return _by_range(df, group_cols, order, out_col, partitions)
-    if strategy != "auto":
+    if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    hot = find_hot_keys(counts, list(group_cols), "_n", threshold=hot_threshold)
-    if hot is None:  # no hot group: the plain window is distributed enough
-        return _by_window(df, group_cols, order, out_col)
-    if partitions is None:
-        # about ROWS_PER_BUCKET rows per range partition, however large the groups
-        hot_rows = hot.agg(F.sum(HOT_ROWS)).first()[0]
-        partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                         math.ceil(hot_rows / ROWS_PER_BUCKET))
-    tag = F.broadcast(hot.select(*group_cols).withColumn("_hot", F.lit(True)))
-    tagged = df.join(tag, list(group_cols), "left")
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot")
-    heavy = tagged.where(F.col("_hot")).drop("_hot")
-    return (_by_window(cold, group_cols, order, out_col)
-            .unionByName(_by_range(heavy, group_cols, order, out_col, partitions)))
+    return _by_range(df, group_cols, order, out_col, partitions)
 
 
 def _by_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],

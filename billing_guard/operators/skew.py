@@ -1,21 +1,16 @@
-"""Hot-key handling for joins of a large row set against a per-key table.
-
-A key that holds a large share of the rows would send all of them to one
-reduce task.  The helpers here find such keys from a pre-aggregated count
-(map-side combined, so the count itself is skew-proof), and join with each hot
-key's rows spread over salt buckets while the per-key side is replicated for
-those keys only.  Cold keys join exactly as before.
-
-Bucket count: a hot key with ``n`` rows gets ``ceil(n / ROWS_PER_BUCKET)``
-buckets (at least 2, at most ``MAX_BUCKETS``), so a bucket holds about a
-task's worth of rows however large the key grows; a key holding a third of
-10^12 rows gets the full 100,000 buckets of ~3 M rows each.
-
-Size bound of the broadcast hot-key list: a key is hot when it holds at least
-``threshold`` rows, so there are at most ``rows / threshold`` hot keys.  The
-default ``threshold`` keeps that list to at most 500,000 small rows even at
-10^12 input rows; the list is additionally capped by ``max_hot_keys`` — keys
-beyond the cap are joined unsalted and left to AQE's skew-join split.
+"""Joins of a large row set against a per-key table when a key may be hot.
+
+A key that holds a large share of the rows would send all of them to one reduce
+task.  :func:`hot_split_join` therefore splits the rows: those of hot keys meet
+their per-key facts in a broadcast join and are never shuffled, the others take the
+ordinary shuffle join.  There is no salt, so a retried task cannot place a row
+differently, and copies of one row need nothing to tell them apart.
+
+A key is hot when it holds at least ``1 / (HOT_PARTS x shuffle partitions)`` of all
+rows - the size of half an average partition.  So at most ``HOT_PARTS x partitions``
+keys are hot, whatever the data: that bound, not a cap, makes the list safe to
+broadcast.  The same plan is used at every size; the list may be empty.  NULL keys
+count like any other.
 """
 
 from __future__ import annotations
@@ -25,108 +20,44 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: rows per key above which a key is salted
-DEFAULT_HOT_THRESHOLD = 2_000_000
-#: rows one salt bucket of a hot key should hold (about one task's input)
-ROWS_PER_BUCKET = 1_000_000
-#: most salt buckets for one key
-MAX_BUCKETS = 100_000
-#: salt buckets used when a hot-key list carries no row counts
-DEFAULT_BUCKETS = 64
-#: upper bound on the broadcast hot-key list
-MAX_HOT_KEYS = 100_000
-#: column of a hot-key list holding the key's row count
-HOT_ROWS = "_hot_rows"
+#: a key is hot from this part of an average shuffle partition's rows on: 1 / HOT_PARTS
+HOT_PARTS = 2
 
-_SALT = "_salt"
-_HOT = "_hot_buckets"
 
+def hot_keys(counts: DataFrame, keys: list[str], count_col: str, parts: int | None = None) -> DataFrame:
+    """Keys of ``counts`` (one row per key) with at least ``1 / parts`` of all rows."""
+    if parts is None:
+        parts = HOT_PARTS * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.where(F.col(count_col) * F.lit(parts) >= total).select(*keys)
 
-def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
-             threshold: int = DEFAULT_HOT_THRESHOLD,
-             max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys of ``counts`` (one row per key) holding at least ``threshold`` rows,
-    with their row count in ``HOT_ROWS``.
 
-    At most ``max_hot_keys`` rows, so the result is safe to broadcast (with
-    ``threshold`` sized as above the cap is never reached in practice).  NULL
-    keys are never hot (they take the normal path).
-    """
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (counts.where((F.col(count_col) >= threshold) & not_null)
-            .select(*keys, F.col(count_col).cast("long").alias(HOT_ROWS))
-            .limit(max_hot_keys))
+def row_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key in ``_n`` (combined before the shuffle)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def find_hot_keys(counts: DataFrame, keys: list[str], count_col: str,
-                  threshold: int = DEFAULT_HOT_THRESHOLD,
-                  max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """Resolve :func:`hot_keys` now: ``None`` when no key is hot, else a small
-    DataFrame of the (at most ``max_hot_keys``) hot keys.
-
-    One aggregation job runs up front; in exchange the query plan only carries
-    the salting machinery when some key is actually hot.  Only the bounded key
-    list reaches the driver.
-    """
-    hot = hot_keys(counts, keys, count_col, threshold, max_hot_keys)
-    rows = hot.collect()
-    if not rows:
-        return None
-    return counts.sparkSession.createDataFrame(rows, hot.schema)
-
-
-def _renamed(per_key: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[str, str]]:
-    """Give the per-key side private key names so the join never has to tell
-    two same-named columns of a shared lineage apart."""
-    names = {k: f"_pk_{k}" for k in keys}
-    return per_key.withColumnsRenamed(names), names
-
-
-def _key_condition(keys: list[str], names: dict[str, str], null_safe: bool) -> Column:
-    parts = [F.col(k).eqNullSafe(F.col(names[k])) if null_safe else F.col(k) == F.col(names[k])
-             for k in keys]
+def _same(left: list[str], right: list[str], null_safe: bool) -> Column:
+    parts = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
+             for a, b in zip(left, right)]
     return reduce(lambda a, b: a & b, parts)
 
 
-def _bucket_count(hot: DataFrame, buckets: int | None) -> Column:
-    if buckets is not None:
-        return F.lit(buckets)
-    if HOT_ROWS not in hot.columns:
-        return F.lit(DEFAULT_BUCKETS)
-    per_rows = F.ceil(F.col(HOT_ROWS) / F.lit(ROWS_PER_BUCKET))
-    return F.least(F.greatest(per_rows, F.lit(2)), F.lit(MAX_BUCKETS))
+def hot_split_join(big: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
+                   hot: DataFrame | None = None, null_safe: bool = False) -> DataFrame:
+    """``big`` with the columns of ``per_key``, joined on ``keys``.
 
-
-def salted_join(big: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
-                hot: DataFrame | None = None, buckets: int | None = None,
-                null_safe: bool = False) -> DataFrame:
-    """``big ⋈ per_key`` on ``keys`` with hot keys' rows spread over salt buckets.
-
-    ``per_key`` columns other than the keys are appended to ``big``'s rows.
-    Without ``hot`` this is a plain join (AQE may still split skew at runtime).
-    Each hot key gets buckets in proportion to its row count unless
-    ``buckets`` fixes the number.  ``how`` is ``inner`` or ``left`` (``big``
-    is the preserved side).
+    ``hot`` lists the hot keys (:func:`hot_keys`; by default counted from ``big``).
+    ``how`` is ``inner`` or ``left`` (``big`` is the preserved side).  The broadcast
+    holds ``per_key``'s rows of the hot keys only.
     """
     if hot is None:
-        right, names = _renamed(per_key, keys)
-        return big.join(right, _key_condition(keys, names, null_safe), how) \
-            .drop(*names.values())
-
-    tag = F.broadcast(hot.select(*keys, _bucket_count(hot, buckets).cast("int").alias(_HOT)))
-    # Round-robin salt for hot rows: any salt value is correct because every
-    # salt of a hot key finds a replica of its per-key row.
-    big_s = (big.join(tag, keys, "left")
-             .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(),
-                                       F.monotonically_increasing_id() % F.col(_HOT))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop(_HOT))
-    per_key_s = (per_key.join(tag, keys, "left")
-                 .withColumn("_pk_salt", F.explode(
-                     F.when(F.col(_HOT).isNotNull(),
-                            F.sequence(F.lit(0), F.col(_HOT) - F.lit(1)))
-                     .otherwise(F.array(F.lit(0)))))
-                 .drop(_HOT))
-    right, names = _renamed(per_key_s, keys)
-    cond = _key_condition(keys, names, null_safe) & (F.col(_SALT) == F.col("_pk_salt"))
-    return big_s.join(right, cond, how).drop(*names.values(), "_pk_salt", _SALT)
+        hot = hot_keys(row_counts(big, keys), keys, "_n")
+    key_names, hot_names = [f"_pk_{k}" for k in keys], [f"_hk_{k}" for k in keys]
+    right = per_key.withColumnsRenamed(dict(zip(keys, key_names)))
+    listed = hot.withColumnsRenamed(dict(zip(keys, hot_names)))
+    facts = listed.join(right, _same(hot_names, key_names, null_safe), how).drop(*key_names)
+    warm = (big.join(F.broadcast(facts), _same(keys, hot_names, True), "inner").drop(*hot_names))
+    cold = (big.join(F.broadcast(listed), _same(keys, hot_names, True), "left_anti")
+            .join(right, _same(keys, key_names, null_safe), how).drop(*key_names))
+    return cold.unionByName(warm)

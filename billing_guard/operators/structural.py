@@ -14,20 +14,18 @@ the invoice is NULL.
 
 Strategies
 ----------
-``auto`` (default)
-    Count rows per invoice first; ``window`` when no invoice is hot, else
-    ``aggregate``.
-``aggregate`` (skew-safe)
+``aggregate`` (default, skew-safe)
     Count rows per key with a map-side-combined aggregation, derive the coarser
-    facts from that (much smaller) key table by further aggregations joined
-    back with hot-group salting, classify each *key*, then join the rows back
-    to their key's class.  A key holding a third of all rows is collapsed
-    before the shuffle; every join salts its hot groups.
-    Reports never need the row-level join: they are weighted sums over keys.
-``window``
-    Three window aggregates sharing one exchange on ``invoice_id``.  One
-    shuffle of the rows, but every invoice's rows meet in one task, so only
-    for inputs without hot invoices.
+    facts from that (much smaller) key table by further aggregations, classify each
+    *key*, then join the rows back to their key's class.  A key holding a third of
+    all rows is collapsed before the shuffle, and every join splits off its hot
+    groups (``operators/skew.py``), NULL groups included.  The key table and its
+    classes are written once.  Reports never need the row-level join: they are
+    weighted sums over keys.
+``window`` (on request)
+    Three window aggregates sharing one exchange on ``invoice_id``.  One shuffle of
+    the rows, but every invoice's rows meet in one task, so only for inputs known
+    to have no hot invoice.
 """
 
 from __future__ import annotations
@@ -35,12 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import (
-    DEFAULT_HOT_THRESHOLD,
-    find_hot_keys,
-    hot_keys,
-    salted_join,
-)
+from billing_guard.operators.skew import hot_keys, hot_split_join
+from billing_guard.session import written
 
 INVOICE, CASE, AMOUNT = "invoice_id", "case_id", "amount"
 KEYS = [INVOICE, CASE, AMOUNT]
@@ -83,59 +77,50 @@ def anomaly_type(case_flag: Column, amount_flag: Column, exact_flag: Column) ->
 # --------------------------------------------------------------------------
 # single flags (each adds one boolean column to the rows)
 # --------------------------------------------------------------------------
-def _flag_join(df: DataFrame, per_group: DataFrame, keys: list[str],
-               hot_threshold: int) -> DataFrame:
-    """Join rows back to their group's facts; groups holding at least
-    ``hot_threshold`` rows are salted (lazy, bounded broadcast list)."""
-    hot = hot_keys(per_group, keys, "_n", threshold=hot_threshold)
-    return salted_join(df, per_group.drop("_n"), keys, "left", hot=hot, null_safe=True)
-
-
-def _use_windows(df: DataFrame, strategy: str, hot_threshold: int) -> bool:
-    """Every flag group lies inside one invoice: without a hot invoice the
-    window form is bounded; ``auto`` checks that first."""
-    if strategy == "auto":
-        return hot_invoices(df, hot_threshold) is None
+def _flag_join(df: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
+    """Join rows back to their group's facts; ``_n`` counts the group's rows."""
+    hot = hot_keys(per_group, keys, "_n")
+    return hot_split_join(df, per_group.drop("_n"), keys, "left", hot=hot, null_safe=True)
+
+
+def _use_windows(strategy: str) -> bool:
     if strategy not in ("window", "aggregate"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return strategy == "window"
 
 
-def detect_exact_duplicates(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                            strategy: str = "auto") -> DataFrame:
+def detect_exact_duplicates(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """``exact_duplicate_flag``: the row's (invoice, case, amount) occurs twice or more."""
-    if _use_windows(df, strategy, hot_threshold):
+    if _use_windows(strategy):
         return df.withColumn("exact_duplicate_flag",
                              F.count(F.lit(1)).over(Window.partitionBy(*KEYS)) > 1)
     counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, counts.withColumn("_dups", F.col("_n")), KEYS, hot_threshold)
+    return (_flag_join(df, counts.withColumn("_dups", F.col("_n")), KEYS)
             .withColumn("exact_duplicate_flag", F.col("_dups") > 1).drop("_dups"))
 
 
-def detect_amount_mismatch(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                           strategy: str = "auto") -> DataFrame:
+def detect_amount_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """``amount_mismatch_flag``: the row's (invoice, case) has more than one amount."""
-    if _use_windows(df, strategy, hot_threshold):
+    if _use_windows(strategy):
         w = Window.partitionBy(INVOICE, CASE)
         return df.withColumn("amount_mismatch_flag",
                              _amount_flag(F.min(AMOUNT).over(w), F.max(AMOUNT).over(w)))
     per_pair = df.groupBy(INVOICE, CASE).agg(
         F.min(AMOUNT).alias("_lo"), F.max(AMOUNT).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, per_pair, [INVOICE, CASE], hot_threshold)
+    return (_flag_join(df, per_pair, [INVOICE, CASE])
             .withColumn("amount_mismatch_flag", _amount_flag(F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 
 
-def detect_case_mismatch(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                         strategy: str = "auto") -> DataFrame:
+def detect_case_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """``case_mismatch_flag``: the row's invoice is linked to more than one case."""
-    if _use_windows(df, strategy, hot_threshold):
+    if _use_windows(strategy):
         w = Window.partitionBy(INVOICE)
         return df.withColumn("case_mismatch_flag",
                              _case_flag(F.min(CASE).over(w), F.max(CASE).over(w)))
     per_invoice = df.groupBy(INVOICE).agg(
         F.min(CASE).alias("_lo"), F.max(CASE).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, per_invoice, [INVOICE], hot_threshold)
+    return (_flag_join(df, per_invoice, [INVOICE])
             .withColumn("case_mismatch_flag", _case_flag(F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 
@@ -152,35 +137,18 @@ def classify_anomaly(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # fused classification
 # --------------------------------------------------------------------------
-def hot_invoices(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame | None:
-    """Invoices with at least ``hot_threshold`` rows (bounded list), or None.
-
-    One narrow, map-side-combined count; only the hot list reaches the driver.
-    """
-    counts = df.groupBy(INVOICE).agg(F.count(F.lit(1)).alias("_n"))
-    return find_hot_keys(counts, [INVOICE], "_n", threshold=hot_threshold)
-
-
-def key_classes(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                strategy: str = "auto") -> DataFrame:
+def key_classes(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """One row per distinct (invoice, case, amount): row count, flags and class.
 
-    The rows are first collapsed per key by a map-side-combined count (all
-    copies of a key, however many, become one row per map task).  Pair- and
-    invoice-level facts then come from that key table:
-
-    * ``window``: windows over the key table sharing one exchange on
-      ``invoice_id`` (an invoice's distinct keys meet in one task);
-    * ``join``: further aggregations joined back with hot-group salting (no
-      task ever holds a whole invoice);
-    * ``auto``: ``window`` unless some invoice has ``hot_threshold`` rows (an
-      invoice has at least as many rows as distinct keys), else ``join``.
+    The rows are first collapsed per key by a map-side-combined count (all copies
+    of a key, however many, become one row per map task).  Pair- and invoice-level
+    facts then come from that key table: by windows sharing one exchange on
+    ``invoice_id`` (``window``), or by further aggregations joined back with their
+    hot groups split off (``aggregate``: no task ever holds a whole invoice).
     """
-    if strategy == "auto":
-        strategy = "window" if hot_invoices(df, hot_threshold) is None else "join"
     per_key = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias(ROWS))
     exact = F.col(ROWS) > 1
-    if strategy == "window":
+    if _use_windows(strategy):
         by_pair = Window.partitionBy(INVOICE, CASE)
         by_invoice = Window.partitionBy(INVOICE)
         amount = _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair))
@@ -192,16 +160,15 @@ def key_classes(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
             "anomaly_type",
             anomaly_type(F.col("case_mismatch_flag"), F.col("amount_mismatch_flag"),
                          F.col("exact_duplicate_flag")))
-    if strategy != "join":
-        raise ValueError(f"unknown strategy {strategy!r}")
+    per_key = written(per_key, "invoice_keys")
     per_pair = per_key.groupBy(INVOICE, CASE).agg(
         F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"),
         F.count(F.lit(1)).alias("_n"))
     per_invoice = per_pair.groupBy(INVOICE).agg(
         F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"),
-        F.sum("_n").alias("_n"))
-    flagged = _flag_join(per_key, per_pair, [INVOICE, CASE], hot_threshold)
-    flagged = _flag_join(flagged, per_invoice, [INVOICE], hot_threshold)
+        F.count(F.lit(1)).alias("_n"))
+    pairs = _flag_join(per_pair.withColumnRenamed("_n", "_keys"), per_invoice, [INVOICE])
+    flagged = _flag_join(per_key, pairs.withColumnRenamed("_keys", "_n"), [INVOICE, CASE])
     amount = _amount_flag(F.col("_amount_lo"), F.col("_amount_hi"))
     case = _case_flag(F.col("_case_lo"), F.col("_case_hi"))
     return flagged.select(
@@ -214,26 +181,13 @@ def key_classes(df: DataFrame, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
     )
 
 
-def classify_structural(df: DataFrame, strategy: str = "auto",
-                        hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                        buckets: int | None = None) -> DataFrame:
-    """Every input row with its ``anomaly_type`` appended (flags not kept).
-
-    ``auto`` first counts rows per invoice (one narrow, map-side-combined
-    aggregation; only the bounded list of hot invoices reaches the driver).
-    Without a hot invoice every invoice is bounded and the one-exchange window
-    form is used; otherwise the key-table form.
-    """
-    if strategy == "auto":
-        strategy = "window" if hot_invoices(df, hot_threshold) is None else "aggregate"
-    if strategy == "window":
+def classify_structural(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
+    """Every input row with its ``anomaly_type`` appended (flags not kept)."""
+    if _use_windows(strategy):
         return _classify_by_windows(df)
-    if strategy != "aggregate":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    classes = key_classes(df, hot_threshold, strategy="join")
-    hot = hot_keys(classes, KEYS, ROWS, threshold=hot_threshold)
-    return salted_join(df, classes.select(*KEYS, "anomaly_type"), KEYS, "left",
-                       hot=hot, buckets=buckets, null_safe=True)
+    classes = written(key_classes(df).select(*KEYS, ROWS, "anomaly_type"), "key_classes")
+    return hot_split_join(df, classes.drop(ROWS), KEYS, "left",
+                          hot=hot_keys(classes, KEYS, ROWS), null_safe=True)
 
 
 def _classify_by_windows(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from billing_guard.functions import dates, text
 from billing_guard.functions.formatting import fixed_4dp, markdown_row, percent_1dp
+from billing_guard.operators.skew import hot_split_join
 from billing_guard.operators.sinks import write_partitioned
 
 # --- fixed values: reasons ------------------------------------------------------
@@ -90,8 +91,8 @@ def tenant_text_invoices(invoices: DataFrame, cases: DataFrame, client_id: int,
     has_labels = F.lit(True)
     for label in labels:
         has_labels = has_labels & F.col("description").contains(label)
-    tenant = cases.where(F.col("client_id") == client_id).select("case_id")
-    return invoices.where(has_labels).join(tenant, "case_id", "left_semi")
+    tenant = cases.where(F.col("client_id") == client_id).select("case_id").distinct()
+    return hot_split_join(invoices.where(has_labels), tenant, ["case_id"], "inner")
 
 
 # --------------------------------------------------------------------------
@@ -149,10 +150,12 @@ def write_anomalies(classified: DataFrame, path: str) -> None:
     write_partitioned(classified.where(F.col("is_anomaly")), path, REASON)
 
 
-def report_lines(classified: DataFrame, run_date: str, client_id: int) -> DataFrame:
-    """Header, per-reason table and definitions as (line_no, line) rows (K4).
+def report_lines(classified: DataFrame, run_date: str, client_id: int,
+                 detail_path: str | None = None) -> DataFrame:
+    """Header, per-reason table, definitions and a link to the detail as (line_no, line)
+    rows (K4).
 
-    The detail section is :func:`anomaly_detail`, written next to it by the
+    The detail section is :func:`anomaly_detail`, written to ``detail_path`` by the
     caller; nothing here gathers rows on the driver.
     """
     m = anomaly_metrics(classified)
@@ -170,10 +173,13 @@ def report_lines(classified: DataFrame, run_date: str, client_id: int) -> DataFr
                          F.lit(" ("), percent_1dp(F.col("anomaly_rate")), F.lit(")  "))),
         line(5, F.when(F.col("anomaly_count") == 0, F.lit("## No anomalies detected"))
              .otherwise(F.lit("## Anomalies Detected"))),
-        line(6, F.lit("| Motivo | Records | Unique Invoices |")),
-        line(7, F.lit("|--------|---------|----------------|")),
+        # the table only exists when it has rows
+        line(6, F.when(F.col("anomaly_count") > 0, F.lit("| Motivo | Records | Unique Invoices |"))),
+        line(7, F.when(F.col("anomaly_count") > 0, F.lit("|--------|---------|----------------|"))),
         *[line(200 + i, F.lit(text_)) for i, text_ in enumerate(DEFINITIONS)],
-    )).alias("l")).select("l.line_no", "l.line")
+        *([line(300, F.lit("## Detail")), line(301, F.lit(f"[all anomalous records]({detail_path})"))]
+          if detail_path else []),
+    )).alias("l")).select("l.line_no", "l.line").where(F.col("line").isNotNull())
     rows = reason_report(classified).select(
         (F.lit(100) + F.dense_rank().over(Window.orderBy(REASON))).alias("line_no"),
         markdown_row(F.col(REASON), F.col("record_count"), F.col("unique_invoices")).alias("line"),

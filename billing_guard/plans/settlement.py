@@ -4,13 +4,13 @@ One function per step of the original script; each is a lazy DataFrame, and
 :func:`settle` composes them into a single plan.  Scale notes:
 
 * the case-level side tables are small per case, the invoice tables are not;
-  invoice-to-case joins salt the cases that hold very many invoices
-  (``hot_case_threshold``), so no reduce task receives a whole hot case;
+  invoice-to-case joins split off the cases that hold very many invoices
+  (``operators/skew.py``), so no reduce task receives a whole hot case;
 * the title dedup is a ``row_number() = 1`` filter, planned as a partial
   top-1 before the exchange;
 * the n-th payment ↔ n-th paid invoice match ranks with
   :func:`row_number_in_groups`, which stays distributed inside a huge case;
-* the band lookup is a broadcast range join over a size-checked band table;
+* the band lookup is an equi-join on value buckets;
 * all other aggregations are map-side combined.
 """
 
@@ -30,8 +30,8 @@ from billing_guard.functions.money import proportional_share, round_to_cents
 from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
-from billing_guard.operators.skew import DEFAULT_HOT_THRESHOLD, find_hot_keys, salted_join
-from billing_guard.session import work_path
+from billing_guard.operators.skew import hot_keys, hot_split_join, row_counts
+from billing_guard.session import written
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
 
@@ -71,15 +71,9 @@ def tenant_cases(cases: DataFrame, client_id: int) -> DataFrame:
         "case_id", "ref_number", "client_ref_number", "case_statute_id", "debtor_id")
 
 
-def hot_cases(invoices: DataFrame, threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame | None:
-    """Cases with at least ``threshold`` invoice rows (bounded list), or None."""
-    counts = invoices.select("case_id").groupBy("case_id").agg(F.count(F.lit(1)).alias("_n"))
-    return find_hot_keys(counts, ["case_id"], "_n", threshold=threshold)
-
-
 # 2 -------------------------------------------------------------------------
 def base_raw(cases_t: DataFrame, invoices: DataFrame, attributes: DataFrame,
-             options: ParseOptions = ParseOptions(), hot: DataFrame | None = None) -> DataFrame:
+             options: ParseOptions = ParseOptions()) -> DataFrame:
     """Tenant invoices with the case's live DPD and the parsed description fields.
 
     The attribute filter stays on the attribute side of the outer join; two
@@ -91,7 +85,7 @@ def base_raw(cases_t: DataFrame, invoices: DataFrame, attributes: DataFrame,
     case_info = (cases_t.select("case_id", "ref_number", "client_ref_number")
                  .join(live, "case_id", "left"))
     d = F.col("description")
-    rows = salted_join(invoices, case_info, ["case_id"], "inner", hot=hot)
+    rows = hot_split_join(invoices, case_info, ["case_id"], "inner")
     return rows.select(
         "case_id", "ref_number", "client_ref_number", "live_dpd", "invoice_id", "invoice_number",
         F.col("update_date").cast("date").alias("update_date"),
@@ -180,8 +174,8 @@ def active_bands(bands: DataFrame, client_id: int, as_of: date = DEFAULT_AS_OF)
 def month_payments(payments: DataFrame, cases_t: DataFrame,
                    as_of: date = DEFAULT_AS_OF) -> DataFrame:
     """The tenant's payments dated in ``as_of``'s month (range filter, pushable)."""
-    return (payments.where(dates.in_month_of(F.col("payment_date"), as_of))
-            .join(cases_t.select("case_id"), "case_id", "left_semi")
+    in_month = payments.where(dates.in_month_of(F.col("payment_date"), as_of))
+    return (hot_split_join(in_month, cases_t.select("case_id").distinct(), ["case_id"], "inner")
             .select("case_id", "payment_id", "payment_date", "payed_capital", *PAYMENT_DETAIL))
 
 
@@ -229,8 +223,7 @@ def paid_per_case_day(agg: DataFrame) -> DataFrame:
 
 # 10 ------------------------------------------------------------------------
 def match_payments(payments_m: DataFrame, agg: DataFrame,
-                   rank_strategy: str = "auto",
-                   invoice_rank_strategy: str | None = None) -> DataFrame:
+                   rank_strategy: str = "range") -> DataFrame:
     """Pair the n-th payment of a case (by date, id) with its n-th paid invoice
     (by invoice number, id)."""
     pg = row_number_in_groups(
@@ -242,7 +235,7 @@ def match_payments(payments_m: DataFrame, agg: DataFrame,
         agg.where(F.col("valor_pago_invoice") > 0).select("case_id", "invoice_id", "invoice_number"),
         ["case_id"],
         [F.col("invoice_number").asc_nulls_first(), F.col("invoice_id").asc_nulls_first()],
-        "rn", strategy=invoice_rank_strategy or rank_strategy)
+        "rn", strategy=rank_strategy)
     return (inv.join(pg, ["case_id", "rn"], "inner")
             .select("invoice_id", "case_id", "payment_id", "payment_date", "payed_capital",
                     *PAYMENT_DETAIL))
@@ -251,21 +244,19 @@ def match_payments(payments_m: DataFrame, agg: DataFrame,
 # final ---------------------------------------------------------------------
 def settlement_report(agg: DataFrame, ptp_r: DataFrame, debtors_c: DataFrame,
                       matched: DataFrame, day_totals: DataFrame, bands_a: DataFrame,
-                      as_of: date = DEFAULT_AS_OF, hot: DataFrame | None = None,
-                      hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                      as_of: date = DEFAULT_AS_OF) -> DataFrame:
     """Invoices with paid value that were updated this month or got a payment,
     with promise, debtor, payment share and commission (34 columns)."""
-    rows = agg.where(F.col("valor_pago") > 0)
-    rows = salted_join(rows, ptp_r, ["case_id"], "left", hot=hot)
-    rows = salted_join(rows, debtors_c, ["case_id"], "left", hot=hot)
-    rows = salted_join(rows, matched.drop("case_id"), ["invoice_id"], "left")
-    # a case whose invoices were all updated on one day is a hot (case, day)
-    # key; the aggregate is a written table, so resolving the list is one scan
+    paid = agg.where(F.col("valor_pago") > 0)
+    # Hot keys are counted on the written aggregate, before any join.
     day_keys = ["case_id", "update_date"]
-    hot_days = find_hot_keys(rows.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n")),
-                             day_keys, "_n", threshold=hot_threshold)
-    rows = salted_join(rows, day_totals.withColumnRenamed("update_dia", "update_date"),
-                       day_keys, "left", hot=hot_days)
+    hot_cases = hot_keys(row_counts(paid, ["case_id"]), ["case_id"], "_n")
+    hot_days = hot_keys(row_counts(paid, day_keys), day_keys, "_n")
+    per_case = ptp_r.join(debtors_c, "case_id", "full")
+    rows = hot_split_join(paid, day_totals.withColumnRenamed("update_dia", "update_date"),
+                          day_keys, "left", hot=hot_days)
+    rows = hot_split_join(rows, per_case, ["case_id"], "left", hot=hot_cases)
+    rows = rows.join(matched.drop("case_id"), "invoice_id", "left")
     rows = band_join(rows, bands_a, F.col("dpd_final"),
                      "dpd_on_payment_day_from", "dpd_on_payment_day_to", "left")
     share = proportional_share(F.col("payed_capital"), F.col("valor_pago_invoice"),
@@ -295,26 +286,19 @@ class SettlementSteps:
 
     def __init__(self, inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,
                  options: ParseOptions = ParseOptions(),
-                 hot_case_threshold: int | None = DEFAULT_HOT_THRESHOLD,
-                 rank_strategy: str = "auto", materialize: bool = True):
+                 rank_strategy: str = "range", materialize: bool = True):
         self.inputs, self.client_id, self.as_of = inputs, client_id, as_of
-        self.options, self.hot_case_threshold = options, hot_case_threshold
+        self.options = options
         self.rank_strategy, self.materialize = rank_strategy, materialize
 
     @cached_property
     def cases(self) -> DataFrame:
         return tenant_cases(self.inputs.cases, self.client_id)
 
-    @cached_property
-    def hot(self) -> DataFrame | None:
-        if not self.hot_case_threshold:
-            return None
-        return hot_cases(self.inputs.invoices, self.hot_case_threshold)
-
     @cached_property
     def base_raw(self) -> DataFrame:
         return base_raw(self.cases, self.inputs.invoices, self.inputs.case_attributes,
-                        self.options, self.hot)
+                        self.options)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -345,10 +329,7 @@ class SettlementSteps:
         agg = invoice_aggregate(self.dedup, self.as_of)
         if not self.materialize:
             return agg
-        spark = agg.sparkSession
-        path = work_path(spark, "base_agregada")
-        agg.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return written(agg, "invoice_aggregate")
 
     @cached_property
     def day_totals(self) -> DataFrame:
@@ -356,20 +337,12 @@ class SettlementSteps:
 
     @cached_property
     def matched(self) -> DataFrame:
-        # Paid invoices per case never outnumber the case's invoice rows (the
-        # aggregate has one row per invoice), so when no case is hot in the
-        # invoices, the invoice ranking needs no hot-group check of its own.
-        invoice_strategy = None
-        if (self.rank_strategy == "auto" and self.hot_case_threshold
-                and self.hot_case_threshold <= DEFAULT_HOT_THRESHOLD and self.hot is None):
-            invoice_strategy = "window"
-        return match_payments(self.payments, self.aggregate, self.rank_strategy, invoice_strategy)
+        return match_payments(self.payments, self.aggregate, self.rank_strategy)
 
     @cached_property
     def report(self) -> DataFrame:
         return settlement_report(self.aggregate, self.ptp, self.debtors, self.matched,
-                                 self.day_totals, self.bands, self.as_of, self.hot,
-                                 self.hot_case_threshold or DEFAULT_HOT_THRESHOLD)
+                                 self.day_totals, self.bands, self.as_of)
 
 
 def settlement_steps(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,

@@ -21,6 +21,7 @@ from billing_guard.operators.structural import (
     AMOUNT,
     CLEAN,
     INVOICE,
+    KEYS,
     ROWS,
     classify_structural,
     key_classes,
@@ -41,6 +42,11 @@ DEFINITIONS = (
 CLASS_COL = "anomaly_type"
 
 
+def keys_of_classified(classified: DataFrame) -> DataFrame:
+    """The key table of already classified rows, for the reports below."""
+    return classified.groupBy(*KEYS, CLASS_COL).agg(F.count(F.lit(1)).alias(ROWS))
+
+
 def _weighted(keys: DataFrame) -> DataFrame:
     """Per-key rows with the weights the reports sum."""
     n = F.col(ROWS)
@@ -155,7 +161,7 @@ class StructuralRun:
 
 
 def run_structural(spark: SparkSession, input_csv: str, output_path: str,
-                   strategy: str = "auto") -> StructuralRun:
+                   strategy: str = "aggregate") -> StructuralRun:
     """End-to-end job: validate, classify, write partitioned by class, summarize."""
     df = read_invoices_csv(spark, input_csv)
     rows = require_valid(df)

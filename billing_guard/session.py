@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a batch run of these pipelines wants.  AQE re-plans joins at runtime
 # (broadcast when a shuffle stage turns out small, split skewed partitions) and
@@ -45,6 +45,8 @@ def build_session(
 
 
 _FALLBACK_ROOT: str | None = None
+#: paths given out by :func:`work_path`, for :func:`delete_work`
+_MADE: list[str] = []
 
 
 def work_root(spark: SparkSession) -> str:
@@ -60,6 +62,9 @@ def work_root(spark: SparkSession) -> str:
     configured = (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
                   or "").rstrip("/")
     if not configured:
+        if not context.master.startswith("local"):
+            # every executor would write to a folder of its own: reads would miss rows
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _FALLBACK_ROOT is None:
             _FALLBACK_ROOT = tempfile.mkdtemp(prefix="billing_guard-")
         context.setCheckpointDir(_FALLBACK_ROOT)
@@ -71,7 +76,28 @@ def work_root(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under :func:`work_root` for a written table."""
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the work folder and read back (cuts the lineage)."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def work_count() -> int:
+    """How many paths :func:`work_path` has given out and not deleted."""
+    return len(_MADE)
+
+
+def delete_work(spark: SparkSession, since: int = 0) -> None:
+    """Delete the written tables that this process has made from number ``since`` on."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_MADE) > since:
+        hpath = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        hpath.getFileSystem(conf).delete(hpath, True)
 
 
 def local_path(path: str) -> str:
@@ -87,4 +113,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["build_session", "work_root", "work_path", "local_path", "path_exists"]
+__all__ = ["build_session", "work_root", "work_path", "written", "delete_work", "work_count", "local_path", "path_exists"]

@@ -9,24 +9,35 @@ from pyspark.sql.types import StructType
 from billing_guard.sources.schemas import INVOICE
 
 
+#: column of :func:`read_invoices_csv` naming a row's cells that do not parse
+MALFORMED = "_malformed"
+
+
 def read_invoices_csv(spark: SparkSession, path: str, schema: StructType = INVOICE,
-                      infer_schema: bool = False) -> DataFrame:
+                      infer_schema: bool = False, mark_malformed: bool = False) -> DataFrame:
     """Read a headed CSV export.
 
-    Columns are matched by header name and converted to ``schema``'s types
-    with ``try_cast`` (a malformed cell becomes NULL instead of failing the
-    job); columns of the schema missing from the file are left out, so the
-    required-column check can report them.  ``infer_schema`` keeps the
+    Columns are matched by header name and converted to ``schema``'s types with
+    ``try_cast``: a malformed cell becomes NULL instead of failing the job, and
+    ``mark_malformed`` adds the list of a row's malformed columns so that such rows
+    can be counted and kept apart.  All files of a folder must have one header: a
+    file whose columns differ, or come in another order, stops the job instead of
+    being read by position.  Columns of the schema missing from the file are left
+    out, so the required-column check can report them.  ``infer_schema`` keeps the
     original's inference (it costs an extra pass over the file).
     """
     reader = spark.read.option("header", "true")
     if infer_schema:
         return reader.option("inferSchema", "true").csv(path)
-    raw = reader.csv(path)
-    present = set(raw.columns)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name)
-             for f in schema.fields if f.name in present]
-    extra = [c for c in raw.columns if c not in {f.name for f in schema.fields}]
+    header = reader.csv(path).schema
+    raw = reader.option("enforceSchema", "false").schema(header).csv(path)
+    given = [f for f in schema.fields if f.name in set(raw.columns)]
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in given]
+    extra = [F.col(c) for c in raw.columns if c not in {f.name for f in schema.fields}]
+    if mark_malformed:
+        bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+               for f in given]
+        extra.append(F.array_compact(F.array(*bad)).alias(MALFORMED))
     return raw.select(*typed, *extra)
 
 

@@ -26,25 +26,19 @@ def invoice_text_query(client_id: int, invoice_table: str = "dbo.invoice",
     """Derived-table SQL selecting the tenant's invoices that carry every label."""
     if not isinstance(client_id, int):
         raise TypeError("client_id must be an int")
-    label_checks = "".join(
-        f"\n      AND CHARINDEX({_quote(label)}, i.description) > 0" for label in labels
-    )
-    columns = ", ".join(f"i.{c}" for c in TEXT_COLUMNS)
-    return (
-        f"(SELECT {columns}\n"
-        f"    FROM {invoice_table} i\n"
-        f"    WHERE i.case_id IN (SELECT case_id FROM {case_table} WHERE client_id = {client_id})"
-        f"{label_checks}\n"
-        f") AS invoice_subset"
-    )
+    wanted = [f"EXISTS (SELECT 1 FROM {case_table} t WHERE t.client_id = {client_id} AND t.case_id = src.case_id)",
+              *(f"CHARINDEX({_quote(label)}, src.description) > 0" for label in labels)]
+    chosen = ", ".join(f"src.{name}" for name in TEXT_COLUMNS)
+    return f"(SELECT {chosen} FROM {invoice_table} src WHERE {' AND '.join(wanted)}) tenant_texts"
 
 
 def jdbc_options(url: str, user: str, password: str, client_id: int,
                  partition_column: str = "invoice_id", lower_bound: int | None = None,
-                 upper_bound: int | None = None, num_partitions: int = 1,
+                 upper_bound: int | None = None, num_partitions: int | None = None,
                  fetch_size: int = 1000,
                  driver: str = "com.microsoft.sqlserver.jdbc.SQLServerDriver") -> dict[str, str]:
-    """Reader options; with bounds and ``num_partitions`` > 1 the read is parallel."""
+    """Reader options of a parallel read over ``partition_column``; ``num_partitions=1`` asks
+    for a single connection."""
     options = {
         "url": url,
         "dbtable": invoice_text_query(client_id),
@@ -53,9 +47,9 @@ def jdbc_options(url: str, user: str, password: str, client_id: int,
         "driver": driver,
         "fetchsize": str(fetch_size),
     }
-    if num_partitions > 1:
-        if lower_bound is None or upper_bound is None:
-            raise ValueError("a partitioned read needs lower_bound and upper_bound")
+    if num_partitions != 1:
+        if lower_bound is None or upper_bound is None or not num_partitions:
+            raise ValueError("a parallel read needs lower_bound, upper_bound and num_partitions")
         options.update({
             "partitionColumn": partition_column,
             "lowerBound": str(lower_bound),

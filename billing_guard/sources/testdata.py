@@ -12,10 +12,9 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
-from billing_guard.session import local_path, path_exists, work_path
+from billing_guard.session import written
 from billing_guard.sources.schemas import COMMISSION_BANDS, MONEY
 
 # --- fixed values of the stand-ins -----------------------------------------
@@ -51,46 +50,9 @@ EXPIRED_BAND = (0, 99999, "0.99", date(2023, 1, 1), date(2023, 12, 31))
 # ---------------------------------------------------------------------------
 
 
-#: inputs with at most this many files are checked for scan parallelism
-_FEW_FILES = 64
-#: schemas already read, so repeated reads of a table skip footer inference
-_SCHEMAS: dict[str, StructType] = {}
-
-
-def _row_groups(paths: list[str]) -> int | None:
-    """Row groups of a few local parquet files (footers only); None if unknown."""
-    try:
-        import pyarrow.parquet as pq
-
-        return sum(pq.ParquetFile(local_path(p)).metadata.num_row_groups for p in paths)
-    except Exception:  # non-local filesystem or unreadable footer: do not guess
-        return None
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the given tables.
-
-    A parquet scan runs one task per row group.  When a table comes as a few
-    files with fewer row groups than the session has cores (the generated
-    test tables are single-row-group files), the rows are spread round-robin
-    so the CPU-heavy text parsing downstream uses every core.  Large inputs
-    (many files or row groups) are read as they are.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-    _SCHEMAS.setdefault(path, df.schema)
-    if _needs_spread(spark, df):
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
-
-
-def _needs_spread(spark: SparkSession, df: DataFrame) -> bool:
-    files = df.inputFiles()
-    if len(files) > _FEW_FILES:
-        return False
-    groups = _row_groups(files)
-    return groups is not None and groups < spark.sparkContext.defaultParallelism
+    """Read one of the given tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _money(c: Column) -> Column:
@@ -183,26 +145,18 @@ def _text_invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: text-invoice tables already landed in this process, by source folder
-_LANDED: dict[str, str] = {}
-
-
 def text_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text invoices, landed once per process as a Parquet table.
+    """The text invoices, landed as a Parquet table.
 
     In the systems this engine serves, ``description`` is a stored column.
     Built on the fly, it would be a ten-expression string that Catalyst
-    inlines into every filter on a parsed field; landing it once (under the
-    shared work folder) gives the pipelines the stored column they are meant
-    to read.  Derived by Spark from lineitem ⋈ orders, so it grows with them.
+    inlines into every filter on a parsed field; landing it (under the shared work
+    folder, spread over the session's cores) gives the pipelines the stored column
+    they are meant to read.  Derived by Spark from lineitem ⋈ orders, so it grows
+    with them.  Every call lands it anew.
     """
-    key = sf_dir.rstrip("/")
-    path = _LANDED.get(key)
-    if path is None or not path_exists(spark, path):
-        path = work_path(spark, "text_invoices")
-        _text_invoice_rows(spark, sf_dir).write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(path)
+    rows = _text_invoice_rows(spark, sf_dir)
+    return written(rows.repartition(spark.sparkContext.defaultParallelism), "text_invoices")
 
 
 def description_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ def test_structural_job(spark, capsys):
                  "--run-date", "2024-01-31"]) == 0
     printed = capsys.readouterr().out
     assert "ANOMALY_COUNT=" in printed and "ALERT=" in printed
+    assert f"REPORT_PATH={rep}/report_2024-01-31" in printed and "MALFORMED_ROWS=0" in printed
     classes = {r["anomaly_type"] for r in spark.read.parquet(out).select("anomaly_type").collect()}
     assert "CLEAN" in classes
     lines = spark.read.text(f"{rep}/report_2024-01-31").collect()
@@ -35,6 +36,28 @@ def test_descriptions_job(spark, capsys):
     assert spark.read.parquet(out).count() == count
 
 
+def test_malformed_rows_are_kept_apart(spark, capsys):
+    csv, out = work_path(spark, "cli_bad"), work_path(spark, "cli_bad_out")
+    good = td.structural_invoices(spark, SF).limit(20)
+    write_csv(good.withColumn("amount", good["amount"].cast("string")).unionByName(
+        good.limit(2).selectExpr("* EXCEPT (amount)", "'12,x' AS amount")), csv)
+    main(["structural", "--input", csv, "--output", out])
+    assert "MALFORMED_ROWS=2" in capsys.readouterr().out
+    assert spark.read.parquet(out).count() == 20 and spark.read.parquet(out + "_malformed").count() == 2
+
+
+def test_report_without_anomalies_has_no_table(spark, capsys):
+    src, out, rep = (work_path(spark, n) for n in ("cli_clean", "cli_clean_out", "cli_clean_rep"))
+    td.description_invoices(spark, SF).limit(5).selectExpr(
+        "* EXCEPT (description)", "'Competencia: 01.01.2024\nVencimento: 05.01.2024\nDPD: 3' AS description") \
+        .write.parquet(src)
+    main(["descriptions", "--parquet", src, "--output", out, "--report-dir", rep, "--run-date", "2024-01-31"])
+    path = f"{rep}/description_anomalies_2024-01-31"
+    assert f"REPORT_PATH={path}" in capsys.readouterr().out
+    lines = [r["value"] for r in spark.read.text(path).collect()]
+    assert "## No anomalies detected" in lines and not [x for x in lines if x.startswith("|")]
+
+
 def test_settlement_job(spark, capsys):
     root, out = work_path(spark, "cli_tables"), work_path(spark, "cli_settle")
     inputs = td.settlement_inputs(spark, SF)

@@ -1,4 +1,4 @@
-"""Reusable operators: ranking, top-1 dedup, salted join, band join, sinks."""
+"""Reusable operators: ranking, top-1 dedup, split join, band join, sinks."""
 
 import random
 
@@ -9,7 +9,7 @@ from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
 from billing_guard.operators.sinks import read_partitioned, write_partitioned
-from billing_guard.operators.skew import hot_keys, salted_join
+from billing_guard.operators.skew import hot_keys, hot_split_join, row_counts
 from billing_guard.session import work_path
 
 
@@ -22,12 +22,11 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, k int, id int")
 
 
-@pytest.mark.parametrize("strategy", ["range", "auto"])
-def test_distributed_row_numbers_equal_window(spark, skewed, strategy):
+@pytest.mark.parametrize("partitions", [None, 6])
+def test_distributed_row_numbers_equal_window(spark, skewed, partitions):
     order = [F.col("k").asc(), F.col("id").asc()]
     plain = row_number_in_groups(skewed, ["g"], order, "rn", strategy="window")
-    other = row_number_in_groups(skewed, ["g"], order, "rn", strategy=strategy,
-                                 hot_threshold=100, partitions=6)
+    other = row_number_in_groups(skewed, ["g"], order, "rn", partitions=partitions)
     key = lambda r: (r["g"] or "", r["id"])
     assert sorted((key(r), r["rn"]) for r in plain.collect()) == \
         sorted((key(r), r["rn"]) for r in other.collect())
@@ -57,32 +56,61 @@ def test_top1_filter_is_planned_as_partial_group_limit(spark, skewed):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_salted_join_equals_plain_join(spark, skewed):
-    per_key = spark.createDataFrame([("hot", 1), ("g1", 2), ("g2", 3), (None, 4)],
-                                    "g string, v int")
-    counts = skewed.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, ["g"], "n", threshold=100)
-    assert [r["g"] for r in hot.collect()] == ["hot"]
+@pytest.mark.parametrize("hot_value", ["hot", None])
+def test_split_join_equals_plain_join(spark, skewed, hot_value):
+    if hot_value is None:  # a NULL key holds most rows
+        skewed = skewed.withColumn("g", F.when(F.col("g") != "hot", F.col("g")))
+    per_key = spark.createDataFrame([("hot", 1), ("g1", 2), ("g1", 7), ("g2", 3), (None, 4)], "g string, v int")
+    hot = hot_keys(row_counts(skewed, ["g"]), ["g"], "_n", parts=5)
+    assert [r["g"] for r in hot.collect()] == [hot_value]
     for how in ("left", "inner"):
         for null_safe in (False, True):
-            plain = salted_join(skewed, per_key, ["g"], how, null_safe=null_safe)
-            salted = salted_join(skewed, per_key, ["g"], how, hot=hot, buckets=8,
-                                 null_safe=null_safe)
-            assert sorted(map(tuple, plain.collect()), key=str) == \
-                sorted(map(tuple, salted.collect()), key=str), (how, null_safe)
-
-
-def test_band_join_fallback_equals_broadcast(spark):
+            cond = skewed["g"].eqNullSafe(per_key["g"]) if null_safe else skewed["g"] == per_key["g"]
+            plain = skewed.join(per_key, cond, how).drop(per_key["g"])
+            for listed in (hot, None):
+                split = hot_split_join(skewed, per_key, ["g"], how, hot=listed, null_safe=null_safe)
+                assert sorted(map(tuple, plain.collect()), key=str) == \
+                    sorted(map(tuple, split.collect()), key=str), (how, null_safe)
+
+
+def test_hot_keys_are_bounded_by_arithmetic(spark):
+    counts = spark.createDataFrame([(k, 1 + k % 50) for k in range(3000)], "k int, n long")
+    hot = hot_keys(counts, ["k"], "n", parts=2500)
+    assert 0 < hot.count() <= 2500
+
+
+def test_no_task_receives_a_hot_key(spark):
+    """Neither a NULL nor a named key with a third of the rows meets in one shuffle task."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
+        .otherwise(F.col("id").cast("string")).alias("g"), "id")
+    per_key = df.groupBy("g").agg(F.max("id").alias("top"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cold = hot_split_join(df, per_key, ["g"], "left", null_safe=True)
+        # broadcast rows stay in their scan task: the largest task holds scan-sized parts
+        sizes = cold.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 60_000
+        assert max(r["count"] for r in sizes) <= 2 * 60_000 / spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_band_join(spark):
     values = spark.createDataFrame([(v,) for v in [None, -3, 0, 1, 30, 31, 500, 99999, 100000]],
                                    "d int")
     bands = spark.createDataFrame([(1, 30, "a"), (31, 60, "b"), (61, 99999, "c"), (50, 70, "x")],
                                   "lo int, hi int, label string")
-    small = band_join(values, bands, F.col("d"), "lo", "hi")
-    big = band_join(values, bands, F.col("d"), "lo", "hi", max_broadcast_rows=0)
+    plain = values.join(bands, F.col("d").between(F.col("lo"), F.col("hi")), "left")
     as_set = lambda df: sorted((str(r["d"]), str(r["label"])) for r in df.collect())
-    assert as_set(small) == as_set(big)
-    assert len(small.collect()) == 9          # unmatched values are kept once
-    assert sorted(r["label"] for r in small.where("d = 55").collect()) == []
+    for width in (64, 7, 100_000):
+        joined = band_join(values, bands, F.col("d"), "lo", "hi", width=width)
+        assert as_set(joined) == as_set(plain)
+        assert joined.columns == plain.columns
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in text and "Cartesian" not in text
+    assert len(joined.collect()) == 9          # unmatched values are kept once
     five_five = spark.createDataFrame([(55,)], "d int")
     assert sorted(r["label"] for r in band_join(five_five, bands, F.col("d"), "lo", "hi")
                   .collect()) == ["b", "x"]    # overlapping bands fan out
@@ -107,11 +135,3 @@ def test_dynamic_overwrite_replaces_only_written_classes(spark):
         [(2, "B"), (3, "A")]
     write_partitioned(update, path, "cls")   # static: every class replaced
     assert [(r["id"], r["cls"]) for r in read_partitioned(spark, path).collect()] == [(3, "A")]
-
-
-def test_salt_buckets_grow_with_the_hot_key(spark):
-    from billing_guard.operators import skew
-    hot = spark.createDataFrame([("a", 2_000_000), ("b", 5_500_000), ("c", 10**12)],
-                                f"g string, {skew.HOT_ROWS} long")
-    got = {r["g"]: r["b"] for r in hot.select("g", skew._bucket_count(hot, None).alias("b")).collect()}
-    assert got == {"a": 2, "b": 6, "c": skew.MAX_BUCKETS}

@@ -1,5 +1,7 @@
 """Work-folder resolution."""
 
+import pytest
+
 from billing_guard import session
 
 
@@ -13,8 +15,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, folder=None):
-        self.folder = folder
+    def __init__(self, folder=None, master="local[2]"):
+        self.folder, self.master = folder, master
 
     def getCheckpointDir(self):
         return self.folder
@@ -45,3 +47,13 @@ def test_fallback_registers_context_folder_only():
 
 def test_work_paths_are_unique(spark):
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    s = _Session(None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_root(s)
+    s = _Session("/shared/ckpt")
+    s.sparkContext.master = "spark://host:7077"
+    assert session.work_root(s) == "/shared/ckpt"

@@ -231,7 +231,7 @@ def test_sequential_match_and_commission(spark):
     ], payments=[_pay(1, 900, dt.date(2024, 1, 20), "30.00"),
                  _pay(1, 901, dt.date(2024, 1, 5), "15.00"),
                  _pay(1, 902, dt.date(2023, 12, 30), "99.00")])   # other month
-    for strategy in ("auto", "window", "range"):
+    for strategy in ("window", "range"):
         steps = C.settlement_steps(inputs, 516, AS_OF, materialize=False, rank_strategy=strategy)
         matched = {r["invoice_id"]: r["payment_id"] for r in steps.matched.collect()}
         assert matched == {60: 901, 61: 900}, strategy
@@ -258,9 +258,9 @@ def test_hot_case_paths_match_plain_paths(spark):
     rows = [_inv(1, 100 + i, f"NN: {i % 7}\nDPD: {i % 5}", "10.00", "1.00") for i in range(60)]
     pays = [_pay(1, 1000 + i, dt.date(2024, 1, 1 + i % 28), "2.00") for i in range(40)]
     inputs = _inputs(spark, rows, payments=pays)
-    plain = C.settlement_steps(inputs, 516, AS_OF, materialize=False, hot_case_threshold=None,
+    plain = C.settlement_steps(inputs, 516, AS_OF, materialize=False,
                                rank_strategy="window").report
-    salted = C.settlement_steps(inputs, 516, AS_OF, hot_case_threshold=5).report
+    salted = C.settlement_steps(inputs, 516, AS_OF).report
 
     def rows_of(df):
         return sorted(tuple(str(v) for v in r) for r in df.collect())

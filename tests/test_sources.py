@@ -43,14 +43,36 @@ def test_require_valid_raises(spark):
 def test_push_down_query_and_parallel_options():
     q = jdbc.invoice_text_query(516)
     assert "client_id = 516" in q
-    assert "CHARINDEX('Competencia:', i.description) > 0" in q
-    assert "CHARINDEX('Vencimento:', i.description) > 0" in q
-    assert q.endswith("AS invoice_subset")
+    assert "CHARINDEX('Competencia:', src.description) > 0" in q
+    assert "CHARINDEX('Vencimento:', src.description) > 0" in q
+    assert q.startswith("(SELECT src.invoice_id") and q.endswith(") tenant_texts")
     opts = jdbc.jdbc_options("jdbc:x", "u", "p", 516, lower_bound=1, upper_bound=1000,
                              num_partitions=16)
     assert (opts["partitionColumn"], opts["numPartitions"], opts["fetchsize"]) == \
         ("invoice_id", "16", "1000")
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "u", "p", 516, num_partitions=4)
+    with pytest.raises(ValueError):  # bounds are asked for unless one connection is wanted
+        jdbc.jdbc_options("jdbc:x", "u", "p", 516)
+    assert "partitionColumn" not in jdbc.jdbc_options("jdbc:x", "u", "p", 516, num_partitions=1)
     with pytest.raises(TypeError):
         jdbc.invoice_text_query("516 OR 1=1")
+
+
+def test_malformed_cells_are_named(spark):
+    path = work_path(spark, "csv_malformed")
+    spark.createDataFrame([("I1", "C1", "12,5"), ("I2", "C1", "12.50"), ("I3", None, None)],
+                          "invoice_id string, case_id string, amount string") \
+        .write.option("header", True).csv(path)
+    rows = {r["invoice_id"]: r for r in read_invoices_csv(spark, path, mark_malformed=True).collect()}
+    assert {k: r["_malformed"] for k, r in rows.items()} == {"I1": ["amount"], "I2": [], "I3": []}
+    assert rows["I1"]["amount"] is None and str(rows["I2"]["amount"]) == "12.50"
+
+
+def test_files_of_another_column_order_are_not_read_by_position(spark):
+    path = work_path(spark, "csv_mixed")
+    row = spark.createDataFrame([("I1", "C1")], "invoice_id string, case_id string")
+    row.coalesce(1).write.option("header", True).csv(path)
+    row.select("case_id", "invoice_id").coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="header"):
+        read_invoices_csv(spark, path).collect()
