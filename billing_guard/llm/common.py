@@ -11,7 +11,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billing_guard.session import work_path
+from billing_guard.session import written
+
+__all__ = ["WORD", "WordCache", "fold", "share_package", "table", "word_hashes", "words", "written"]
 
 #: A word: a run of letters, digits and underscores of the lower-cased text.
 WORD = re.compile(r"\w+")
@@ -42,14 +44,6 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared work folder and read back (cuts the lineage)."""
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: str | None) -> list[str]:
     """Lower-cased words of a text; none for NULL."""
     return WORD.findall(text.lower()) if text else []
