@@ -217,7 +217,9 @@ def perplexity_column(folder: str, shards: int, text: Column) -> Column:
 def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold, keep for every row of ``docs``."""
     trusted = written(trusted_ids(labels), "trusted_ids")
-    training = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi").select("text")
+    # one plan at every size: a side that is small today is not sent to all tasks
+    training = (docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
+                .select("text"))
     folder, shards = write_shards(train(training))
     scored = written(docs.select("doc_id", "lang", perplexity_column(folder, shards, F.col("text"))
                                  .alias("perplexity")), "perplexities")
