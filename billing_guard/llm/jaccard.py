@@ -5,16 +5,18 @@ fewer; the stripped text where it has no word).  Documents with equal sets are o
 with a multiplicity.  Links (Jaccard >= threshold) between classes are found in four steps:
 
 1. *Candidates.*  ``BANDS`` bands of ``ROWS`` MinHash values; classes that share a band
-   value are tied to the least class of that bucket, so a bucket of m classes gives m - 1
-   ties and never its pairs.  The components of the ties are the candidate groups: two
-   classes that share any band value are in one group.  A pair at the threshold shares
-   none with probability (1 - 0.8^5)^40 = 1.2e-7.
-2. *Tiles.*  A group is cut into blocks by class; a task compares two blocks.  So a group
-   may hold any share of the classes without meeting in one task.
-3. *Bayesian pruning.*  MinHash values are compared ``STEP`` at a time.  After n of them
+   value are candidates.  A pair at the threshold shares none with probability
+   (1 - 0.8^5)^40 = 1.2e-7.
+2. *Bayesian pruning.*  MinHash values are compared ``STEP`` at a time.  After n of them
    with m agreements the similarity has a Beta(m + 1, n - m + 1) posterior (uniform prior);
    a pair is dropped as soon as its probability of reaching the threshold is below
-   ``TOLERANCE``.
+   ``TOLERANCE``.  It runs in the buckets first, on one byte of each value (equal bytes of
+   unequal values only keep more pairs).  A bucket returns a forest of what survives,
+   never its pairs; the forests' components are the groups, so classes that share a band
+   by chance or through a common passage chain no groups together.
+3. *Tiles.*  A bucket or group of any size is cut into blocks by class and a task compares
+   two blocks, so it may hold any share of the classes without meeting in one task.  The
+   pairs of a group are pruned by whole values.
 4. *Exact check.*  The remaining pairs' shingle sets are intersected in full.
 
 A tile returns one row per linked class (links, least partner), so the output is linear.
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from billing_guard.llm.common import word_hashes, words, written
 from billing_guard.llm.embeddings import TILE_ROWS, tile_links, with_components
-from billing_guard.llm.graph import components, tile_places
+from billing_guard.llm.graph import components, local_roots, tile_places
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,35 +194,98 @@ def _tile(threshold: float, tolerance: float):
     return join
 
 
-_FEATURES = "key binary, n int, bands array<long>"
+_FEATURES = "key binary, n int, bands array<long>, bytes binary"
 
 
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, tie (a hash of the text), key (identity of the shingle set; NULL for a
-    blank text), n (shingles), bands."""
+    blank text), n (shingles), bands, bytes (the lowest one of each MinHash value)."""
 
     @F.pandas_udf(_FEATURES)
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            keys, sizes, bands = [], [], []
+            rows = []
             for text in texts:
                 found = shingles(text)
-                sizes.append(len(found))
-                keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                bands.append(band_values(signature(found)) if len(found) else None)
-            yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "n": pd.Series(sizes, dtype="int32"),
-                                "bands": pd.Series(bands, dtype=object)})
+                if not len(found):
+                    rows.append((None, 0, None, None))
+                    continue
+                sig = signature(found)
+                rows.append((hashlib.blake2b(found.tobytes(), digest_size=16).digest(), len(found),
+                             band_values(sig), sig.astype(np.uint8).tobytes()))
+            yield pd.DataFrame({name: pd.Series([r[k] for r in rows], dtype=kind) for k, (name, kind) in enumerate(
+                [("key", object), ("n", "int32"), ("bands", object), ("bytes", object)])})
 
     return docs.select("doc_id", F.xxhash64("text").alias("tie"),
                        describe.asNondeterministic()(F.col("text")).alias("f")).select("doc_id", "tie", "f.*")
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
-    """(node, root) over classes (key, bands) that share a band value with another."""
+def bucket_survivors(tile: np.ndarray, own: np.ndarray, cross: np.ndarray, values: np.ndarray,
+                     least: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of equal ``tile`` (rows in its order) that are not pruned; where
+    ``cross`` is set only those of unequal ``own``."""
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lag in range(1, len(tile)):
+        left = np.flatnonzero(tile[:-lag] == tile[lag:])
+        if not len(left):
+            break  # tiles are runs: no longer one either
+        left = left[~cross[left] | (own[left] != own[left + lag])]
+        count = np.zeros(len(left), np.int64)
+        for n, fewest in least.items():
+            part = slice(n - STEP, n)
+            count += (values[left, part] == values[left + lag, part]).sum(axis=1)
+            keep = count >= fewest
+            left, count = left[keep], count[keep]
+            if not len(left):
+                break
+        lefts.append(left)
+        rights.append(left + lag)
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
+def _bucket_ties(threshold: float, tolerance: float):
+    least = least_agreements(threshold, tolerance, range(STEP, BANDS * ROWS + 1, STEP))
+
+    def ties(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def forest(rows: pd.DataFrame) -> pd.DataFrame:
+            tile = rows.groupby(["band", "i", "j"], sort=False).ngroup().to_numpy()
+            values = np.frombuffer(b"".join(rows["bytes"]), np.uint8).reshape(len(rows), -1)
+            left, right = bucket_survivors(tile, rows["own"].to_numpy(), (rows["i"] != rows["j"]).to_numpy(),
+                                           values, least)
+            roots = local_roots(len(rows), left, right)
+            at = np.flatnonzero(roots != np.arange(len(rows)))
+            keys = rows["key"].to_numpy()
+            return pd.DataFrame({"a": keys[at], "b": keys[roots[at]]})
+
+        rest = None  # the last tile of a batch may go on in the next one
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if not len(rows):
+                continue
+            places = rows[["band", "i", "j"]].to_numpy()
+            changes = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
+            cut = int(changes[-1]) if len(changes) else 0
+            if cut:
+                yield forest(rows.iloc[:cut])
+            rest = rows.iloc[cut:]
+        if rest is not None and len(rest):
+            yield forest(rest)
+    return ties
+
+
+def candidate_groups(classes: DataFrame, threshold: float = THRESHOLD,
+                     tolerance: float = TOLERANCE) -> DataFrame:
+    """(node, root) over classes (key, bands, bytes): groups tied by pairs that share a
+    band value and survive the pruning."""
     banded = classes.select("key", F.explode("bands").alias("band"))
-    centres = (banded.groupBy("band").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("n"))
-               .where("n > 1").select("band", "centre"))
-    ties = banded.join(centres, "band").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    buckets = (banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+               .select("band", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    # the bytes join after the buckets of one class are gone
+    tiles = (banded.join(buckets, "band").join(classes.select("key", "bytes"), "key")
+             .withColumn("t", F.explode(tile_places(F.col("key"), F.col("blocks"))))
+             .select("band", "t.i", "t.j", "t.own", "key", "bytes"))
+    ties = (tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+            .mapInPandas(_bucket_ties(threshold, tolerance), "a binary, b binary"))
     return components(ties)
 
 
@@ -234,9 +299,9 @@ def linked_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
     # copies collapse before the shuffle; a representative row names where the text is
     classes = written(rows.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"), F.min("n").alias("n"),
-        F.min(F.struct("doc_id", "tie")).alias("at"), F.first("bands").alias("bands")), "shingle_classes")
-    groups = candidate_groups(classes)
-    members = written(classes.drop("bands").join(groups.withColumnRenamed("node", "key"), "key"),
+        F.min(F.struct("doc_id", "tie")).alias("at"), F.first(F.struct("bands", "bytes")).alias("f")).select("*", "f.*").drop("f"), "shingle_classes")
+    groups = candidate_groups(classes, threshold, tolerance)
+    members = written(classes.drop("bands", "bytes").join(groups.withColumnRenamed("node", "key"), "key"),
                       "candidate_members")
     blocks = (members.groupBy("root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
               .select("root", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES))

@@ -128,6 +128,33 @@ def test_one_of_each_group_stays(docs, corpus):
     assert len(jaccard.keep_one_of_each_group(nulls).collect()) == 2
 
 
+def test_chance_matches_chain_no_groups(docs):
+    rng = random.Random(5)
+    passage = sentence(rng, 100)
+    texts = [passage + " " + sentence(rng, 45) for _ in range(60)]            # Jaccard about 0.5
+    texts += [texts[0] + " end", texts[1][:-6]]                               # two near copies
+    found = jaccard.features(docs([(i, t, "en") for i, t in enumerate(texts)])).cache()
+    shared = found.selectExpr("explode(bands) AS band").groupBy("band").count().where("count > 1")
+    assert shared.count() > 20
+    key = {r.doc_id: r.key for r in found.collect()}
+    groups = {r.node: r.root for r in jaccard.candidate_groups(found).collect()}
+    assert set(groups) == {key[i] for i in (0, 1, 60, 61)}
+    assert groups[key[0]] == groups[key[60]] != groups[key[1]] == groups[key[61]]
+
+
+def test_buckets_in_tiles_and_batches(docs, corpus, spark, monkeypatch):
+    """A tile that goes on over several batches loses no tie."""
+    found = jaccard.features(docs([(i, t, "en") for i, t in corpus])).where("key IS NOT NULL")
+    classes = found.dropDuplicates(["key"]).cache()
+    want = sorted(map(tuple, jaccard.candidate_groups(classes).collect()))
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert sorted(map(tuple, jaccard.candidate_groups(classes).collect())) == want and want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     least = jaccard.least_agreements(0.8, 1e-7, range(20, 201, 20))
     assert all(0 < least[n] < 0.8 * n for n in least)
