@@ -280,8 +280,10 @@ def candidate_groups(classes: DataFrame, threshold: float = THRESHOLD,
     banded = classes.select("key", F.explode("bands").alias("band"))
     buckets = (banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                .select("band", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    # the bytes join after the buckets of one class are gone
-    tiles = (banded.join(buckets, "band").join(classes.select("key", "bytes"), "key")
+    # Buckets, classes and texts grow with the documents: sort-merge joins at every size.
+    # The bytes join after the buckets of one class are gone.
+    tiles = (banded.join(buckets.hint("merge"), "band")
+             .join(classes.select("key", "bytes").hint("merge"), "key")
              .withColumn("t", F.explode(tile_places(F.col("key"), F.col("blocks"))))
              .select("band", "t.i", "t.j", "t.own", "key", "bytes"))
     ties = (tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
@@ -308,7 +310,7 @@ def linked_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
                       .alias("blocks")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     # repeated rows of one id and text must not repeat a class
-    placed = (members.join(texts, F.col("at.doc_id").eqNullSafe(F.col("doc_id"))
+    placed = (members.join(texts.hint("merge"), F.col("at.doc_id").eqNullSafe(F.col("doc_id"))
                            & (F.col("at.tie") == F.col("tie")))
               .groupBy("key").agg(F.first("root").alias("root"), F.first("size").alias("size"),
                                   F.first("text").alias("text")))
