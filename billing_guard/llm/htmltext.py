@@ -88,6 +88,8 @@ def text_nodes(page: str) -> list[Node]:
         if text and not text.isspace():
             nodes.append(Node(tuple(s[1] for s in stack), tuple(s[2] for s in stack), block, text,
                               bool(stack) and stack[-1][3], links > 0))
+        elif text and nodes and nodes[-1].block == block:
+            nodes[-1].text += " "  # white space between inline elements
 
     while place < len(page):
         found = _TAG.search(page, place)
