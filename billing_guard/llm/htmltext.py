@@ -205,7 +205,7 @@ def main_text(page: str | None) -> str:
 
 
 def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
-    """Nodes inside the deepest element that holds most of the content text.
+    """The content nodes and their neighbours in the element that holds them all.
 
     An ``article`` or ``main`` element that holds a content node is taken as it is.
     """
@@ -222,20 +222,17 @@ def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
                       for n in nodes if any(l.split(".", 1)[0] == tag for l in n.path)}
         if chosen:
             return [bool(chosen.intersection(n.spot)) for n in nodes]
-    total = sum(len(n.text) for n, c in zip(nodes, content) if c)
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
+    common: tuple[int, ...] | None = None
     for n, c in zip(nodes, content):
         if c:
-            for level, (label, number) in enumerate(zip(n.path, n.spot)):
-                if label.split(".", 1)[0] in _CONTAINERS:
-                    held[number] = held.get(number, 0) + len(n.text)
-                    depth[number] = level
-    most = [i for i, size in held.items() if size >= 0.8 * total]
-    if not most:  # no element around the text
-        return [True] * len(nodes)
-    best = max(most, key=lambda i: (depth[i], i))
-    return [best in n.spot for n in nodes]
+            common = n.spot if common is None else common[:next(
+                (k for k, (x, y) in enumerate(zip(common, n.spot)) if x != y), min(len(common), len(n.spot)))]
+    if common and len(common) > 1:  # a lone paragraph's element is the one around it
+        inner = next(n for n, c in zip(nodes, content) if c)
+        while len(common) > 1 and inner.path[len(common) - 1].split(".", 1)[0] not in (*_CONTAINERS, *_ARTICLE_FIRST):
+            common = common[:-1]
+    within = len(common or ())
+    return [c or n.spot[:within] == (common or ()) for n, c in zip(nodes, content)]
 
 
 def main_text_column(page: Column) -> Column:

@@ -7,6 +7,13 @@ from billing_guard.llm.htmltext import main_text
 LONG = "A long paragraph, with many words, commas and more; it goes on and on. It has a second sentence, too."
 
 
+def test_a_lead_beside_the_body_stays():
+    lead, body = LONG, "\n".join([LONG] * 6)
+    page = (f"<body><div class=story><div class=lead><p>{lead}</p></div><div class=body>"
+            + "".join(f"<p>{x}</p>" for x in body.split("\n")) + "</div></div></body>")
+    assert main_text(page) == f"{lead}\n{body}"
+
+
 @pytest.mark.parametrize("page, text", [
     ("<p><b>Hello</b> <i>world</i></p>", "Hello world"), ("<p><b>a</b>\n<i>b</i><u>c</u></p> <p>d</p>", "a bc\nd"),
     ("<article> <p> <b>x</b> </p> </article>", "x")])
