@@ -57,6 +57,7 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 _CONTAINERS = frozenset("html body div section center td dd".split())
 _ARTICLE_FIRST = ("article", "main")
+_FOR = 2.0  # weight of a path in an article element
 
 
 @dataclass
@@ -181,6 +182,7 @@ def path_scores(nodes: list[Node], deviation: float = 0.5, width: float = 1.0) -
         return np.convolve(np.pad(x, 3, mode="edge"), kernel, mode="valid")
 
     fused = smooth(text) * (1 + smooth(punctuation))
+    fused *= [_FOR if any(label.split(".", 1)[0] in _ARTICLE_FIRST for label in n.path) else 1.0 for n in nodes]
     return list(fused >= deviation * fused.std())
 
 
@@ -205,23 +207,7 @@ def main_text(page: str | None) -> str:
 
 
 def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
-    """The content nodes and their neighbours in the element that holds them all.
-
-    An ``article`` or ``main`` element that holds a content node is taken as it is.
-    """
-    for tag in _ARTICLE_FIRST:
-        chosen = set()
-        for n, c in zip(nodes, content):
-            for label, number in zip(n.path, n.spot):
-                if label.split(".", 1)[0] == tag:
-                    if c:
-                        chosen.add(number)
-                    break
-        if not chosen:  # a short article may hold no path above the threshold
-            chosen = {next(i for l, i in zip(n.path, n.spot) if l.split(".", 1)[0] == tag)
-                      for n in nodes if any(l.split(".", 1)[0] == tag for l in n.path)}
-        if chosen:
-            return [bool(chosen.intersection(n.spot)) for n in nodes]
+    """The content nodes and their neighbours in the element that holds them all."""
     common: tuple[int, ...] | None = None
     for n, c in zip(nodes, content):
         if c:

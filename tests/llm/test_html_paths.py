@@ -7,6 +7,19 @@ from billing_guard.llm.htmltext import main_text
 LONG = "A long paragraph, with many words, commas and more; it goes on and on. It has a second sentence, too."
 
 
+def test_scores_select_on_pages_with_articles():
+    teaser = "<article class=card><p>Short.</p></article>"
+    page = f"<body><div><article><p>{LONG}</p><p>End</p></article></div><div><p>{LONG}</p></div><footer>f</footer></body>"
+    assert main_text(page) == f"{LONG}\nEnd\n{LONG}"  # content beside the article
+    two = f"<body><main><article><p>{LONG}</p></article><article><h2>Next</h2></article></main>{teaser}</body>"
+    assert main_text(two).startswith(f"{LONG}\nNext")  # an article without a node above the threshold
+
+
+def test_an_article_below_the_threshold_does_not_hide_the_content():
+    page = f"<body><div class=story><p>{LONG}</p><p>{LONG}</p></div><article><h3>More</h3></article></body>"
+    assert LONG in main_text(page)
+
+
 def test_a_lead_beside_the_body_stays():
     lead, body = LONG, "\n".join([LONG] * 6)
     page = (f"<body><div class=story><div class=lead><p>{lead}</p></div><div class=body>"
