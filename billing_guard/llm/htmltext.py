@@ -3,11 +3,14 @@
 A page is read into text nodes, each with its root-to-leaf tag path.  Per path the
 text length and the punctuation count are divided by the number of its nodes (text-
 to-path and punctuation-to-path ratios); link text counts against its path.  The two
-ratios are smoothed over the page's order with a Gaussian, fused by multiplication,
-and paths above a share of the page's deviation are content.  The element that holds
-most of the content text then bounds the article: its other nodes belong to it too
-(short paragraphs and headings score low by themselves), while nodes in menus,
-sidebars, notices, adverts, forms and reader comments never do.
+ratios are smoothed over the page's order with a Gaussian, fused by multiplication and
+weighted by what the markup says: article and main elements speak for a path, class, id
+and role names of menus, sidebars, notices, adverts and reader comments against it,
+unless the element so named holds most of the page's text and of its articles'.  Nodes above a share of the
+page's deviation are content, on every page and wherever they lie.  The element that
+holds all of them bounds the article: its other nodes belong to it too (short paragraphs
+and headings score low by themselves) unless a name speaks against them.  Nodes in
+elements that never hold an article (nav, footer, aside, forms) are not looked at.
 
 Blocks: a text node run between block tags.  Character references are decoded after
 the tags are gone, white space inside a block becomes one space, empty blocks vanish,
@@ -57,7 +60,10 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 _CONTAINERS = frozenset("html body div section center td dd".split())
 _ARTICLE_FIRST = ("article", "main")
-_FOR = 2.0  # weight of a path in an article element
+#: Class names that say what an element has or lacks, not what it is.
+_HAVING = re.compile(r"(?:^|(?<=\s))(?:no|not|has|have|with|without)[_-]\S+", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_FOR, _AGAINST = 2.0, 0.1  # weights of a path in an article element, and under a furniture name
 
 
 @dataclass
@@ -70,6 +76,7 @@ class Node:
     text: str
     furniture: bool
     link: bool
+    named: tuple[int, ...] = ()  # those of the elements with a furniture name
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -77,10 +84,20 @@ def _label(tag: str, attributes: str) -> str:
     return f"{tag}.{names.lower()}" if names else tag
 
 
+def _named(names: str) -> bool:
+    return _FURNITURE_NAME.search(_HAVING.sub("", names)) is not None
+
+
+def _hidden(attributes: str) -> bool:
+    return bool(_HIDDEN.search(attributes)) and (
+        _HIDDEN.search(_QUOTED.sub('""', attributes)) is not None
+        or re.search(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes, re.I) is not None)
+
+
 def text_nodes(page: str) -> list[Node]:
     """The page's text runs in order."""
     nodes: list[Node] = []
-    stack: list[tuple[str, str, int, bool]] = []   # tag, label, number, furniture
+    stack: list[tuple[str, str, int, bool, bool]] = []   # tag, label, number, furniture, named
     numbers = block = 0
     links = 0
     place = 0
@@ -88,7 +105,7 @@ def text_nodes(page: str) -> list[Node]:
     def add(text: str) -> None:
         if text and not text.isspace():
             nodes.append(Node(tuple(s[1] for s in stack), tuple(s[2] for s in stack), block, text,
-                              bool(stack) and stack[-1][3], links > 0))
+                              bool(stack) and stack[-1][3], links > 0, tuple(s[2] for s in stack if s[4])))
         elif text and nodes and nodes[-1].block == block:
             nodes[-1].text += " "  # white space between inline elements
 
@@ -132,16 +149,14 @@ def text_nodes(page: str) -> list[Node]:
                 outside_article = not any(t in _ARTICLE_FIRST for t in inside)
                 furniture = ((bool(stack) and stack[-1][3]) or tag in _FURNITURE
                              or (tag == "header" and outside_article)
-                             or ("." in label and tag not in ("html", "body", *_ARTICLE_FIRST)
-                                 and _FURNITURE_NAME.search(label.split(".", 1)[1]) is not None)
-                             or (bool(found[3]) and tag not in ("html", "body")
-                                 and _HIDDEN.search(found[3]) is not None))
-                stack.append((tag, label, numbers, furniture))
+                             or (bool(found[3]) and tag not in ("html", "body") and _hidden(found[3])))
+                named = "." in label and tag not in ("html", "body") and _named(label.split(".", 1)[1])
+                stack.append((tag, label, numbers, furniture, named))
                 links = 0
     return nodes
 
 
-def _close_implied(stack: list[tuple[str, str, int, bool]], tag: str) -> None:
+def _close_implied(stack: list[tuple[str, str, int, bool, bool]], tag: str) -> None:
     """Close what the start of a block element ends without an end tag."""
     if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
         ends = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
@@ -162,8 +177,30 @@ def _close_implied(stack: list[tuple[str, str, int, bool]], tag: str) -> None:
                 return
 
 
+def _in_article(n: Node) -> bool:
+    """Whether an article or main element holds the node (one of comments and the like does not count)."""
+    return any(label.split(".", 1)[0] in _ARTICLE_FIRST and number not in n.named
+               for label, number in zip(n.path, n.spot))
+
+
+def spoken_against(nodes: list[Node]) -> list[bool]:
+    """For each node, whether it lies in an element with a furniture name that does not hold
+    most of the page's text and, if there is any, most of that in article elements."""
+    held: dict[tuple[int, bool], int] = {}
+    total = {False: 0, True: 0}
+    for n in nodes:
+        if not n.link:
+            for kind in {False, _in_article(n)}:
+                total[kind] += len(n.text)
+                for number in n.named:
+                    held[number, kind] = held.get((number, kind), 0) + len(n.text)
+    out = [any(2 * held.get((number, kind), 0) <= size for number in n.named
+               for kind, size in total.items() if size) for n in nodes]
+    return [False] * len(nodes) if all(out) else out  # names on everything tell nothing apart
+
+
 def path_scores(nodes: list[Node], deviation: float = 0.5, width: float = 1.0) -> list[bool]:
-    """For each node, whether its smoothed and fused path ratio passes the threshold."""
+    """For each node, whether its smoothed, fused and weighted path ratio passes the threshold."""
     lengths: dict[tuple, float] = {}
     marks: dict[tuple, float] = {}
     counts: dict[tuple, int] = {}
@@ -182,8 +219,13 @@ def path_scores(nodes: list[Node], deviation: float = 0.5, width: float = 1.0) -
         return np.convolve(np.pad(x, 3, mode="edge"), kernel, mode="valid")
 
     fused = smooth(text) * (1 + smooth(punctuation))
-    fused *= [_FOR if any(label.split(".", 1)[0] in _ARTICLE_FIRST for label in n.path) else 1.0 for n in nodes]
-    return list(fused >= deviation * fused.std())
+    fused *= [_FOR if _in_article(n) else 1.0 for n in nodes]
+    own = _AGAINST * np.minimum(fused, text * (1 + punctuation))  # borrows nothing of its neighbours
+    against = np.array(spoken_against(nodes), bool)
+    fused = np.where(against, own, fused)
+    # on an even page the deviation says little: such a path also has to reach a share of the mean
+    least = deviation * np.where(against, max(fused.std(), fused.mean()), fused.std())
+    return list(fused >= least)
 
 
 def main_text(page: str | None) -> str:
@@ -207,7 +249,7 @@ def main_text(page: str | None) -> str:
 
 
 def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
-    """The content nodes and their neighbours in the element that holds them all."""
+    """The content nodes, and what no name speaks against in the element that holds them all."""
     common: tuple[int, ...] | None = None
     for n, c in zip(nodes, content):
         if c:
@@ -218,7 +260,8 @@ def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
         while len(common) > 1 and inner.path[len(common) - 1].split(".", 1)[0] not in (*_CONTAINERS, *_ARTICLE_FIRST):
             common = common[:-1]
     within = len(common or ())
-    return [c or n.spot[:within] == (common or ()) for n, c in zip(nodes, content)]
+    return [c or (not a and n.spot[:within] == (common or ()))
+            for n, c, a in zip(nodes, content, spoken_against(nodes))]
 
 
 def main_text_column(page: Column) -> Column:

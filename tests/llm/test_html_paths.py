@@ -20,6 +20,19 @@ def test_an_article_below_the_threshold_does_not_hide_the_content():
     assert LONG in main_text(page)
 
 
+@pytest.mark.parametrize("names", ["post tag-news", "content no-sidebar", "page-content sidebar-right",
+                                   "entry has-header"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_a_furniture_name_around_the_article_does_not_lose_it(names, tag):
+    page = (f"<body><nav><a href=/>Home</a></nav><div class='{names}'><{tag}><h1>Title</h1><p>{LONG}</p><p>End</p>"
+            f"</{tag}></div><div class=ad>Buy, now!</div></body>")
+    assert main_text(page) == f"Title\n{LONG}\nEnd"
+
+
+def test_a_long_advert_beside_a_short_article_stays_out():
+    assert main_text(f"<body><div class=ad>{LONG}</div><article><h1>T</h1><p>A b.</p></article></body>") == "T\nA b."
+
+
 def test_a_lead_beside_the_body_stays():
     lead, body = LONG, "\n".join([LONG] * 6)
     page = (f"<body><div class=story><div class=lead><p>{lead}</p></div><div class=body>"
