@@ -1,22 +1,27 @@
-"""Quality by an interpolated modified Kneser-Ney model over UTF-8 bytes.
-
-Trained on all trusted documents (quality label 1): byte ``ORDER``-grams are counted in
-the tasks and summed by Spark; the counts of lower orders are continuation counts (in how
-many longer n-grams one ends).  Each order has three discounts from its counts of counts,
-and probabilities are interpolated down to the uniform distribution over bytes; the orders
-meet in joins on the n-gram's suffix and context.
-
-The model - for every n-gram its probability and its back-off weight as a context - is
-dealt by hash into shards of about ``SHARD_ROWS`` rows, written to the shared folder.  A
-scoring task joins the distinct n-grams of its texts with one shard after the other, so
-its memory holds one shard and one batch however large the model is, and no text moves.
+"""Quality by an interpolated modified Kneser-Ney model over words.
+
+Trained on all trusted documents (quality label 1).  A word is a run of bytes up to and
+with its white space, so the words of a text hold all its bytes; it stands for itself as a
+64-bit hash.  Word 3-grams are counted in the tasks and summed by Spark; the counts of
+lower orders are continuation counts (in how many longer n-grams one ends).  Each order
+has three discounts from its counts of counts.  Below the words a modified Kneser-Ney
+model of byte ``ORDER``-grams, trained on the distinct trusted words and interpolated down
+to the uniform distribution over bytes, spells them, so every text has a probability.
+
+The logarithm of a word's probability is a sum over the n-grams that end in it or are its
+context, each with a share of its own (``word_model``).  So a document's distinct n-grams
+meet the model in one sort-merge join on the hash and are summed by document; neither
+the model nor a text is held whole by a task.  The spelling model, which stays small, is
+dealt by hash into shards of about ``SHARD_ROWS`` rows in the shared folder.
+
 A document's perplexity is that of its bytes.  It is kept if its perplexity is at most its
 language's ``quantile`` among trusted documents (all trusted ones, for a language without).
 
 Edge cases: NULL and empty texts have a NULL perplexity and are not kept; without any
 trusted text the model is uniform and every non-empty text is kept; a NULL language is a
 language of its own; conflicting labels trust a document if one does; repeated rows each
-get their row; only doc_id, text, lang and doc_id, quality are read.
+get their row (equal texts, by a 64-bit hash, share their sum); a text without white space
+is one word; only doc_id, text, lang and doc_id, quality are read.
 """
 
 from __future__ import annotations
@@ -32,9 +37,12 @@ from billing_guard.llm.common import written
 from billing_guard.llm.tokenfile import _open
 from billing_guard.session import work_path
 
-ORDER = 4
+ORDER = 4             # of the spelling model
 QUANTILE = 0.99
 SHARD_ROWS = 2_000_000
+WORDS = 3             # word n-grams up to this order
+LEAST = 1e-12         # weight of what no discount leaves anything for
+SCALE = 1e9           # logarithms are summed as whole numbers of this part
 _AT_ONCE = 4_000_000  # bytes scored at a time
 _KEPT_SHARDS = 2      # shards a worker keeps between batches
 
@@ -197,32 +205,229 @@ def log_probabilities(folder: str, shards: int, grams: np.ndarray) -> np.ndarray
     return np.log(below)
 
 
-def perplexity_column(folder: str, shards: int, text: Column) -> Column:
-    """Perplexity per byte of a whole text; NULL for an empty one."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads them."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_ROOT = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _ROOT)
+_INVERSE = np.uint64(pow(int(_ROOT), -1, 1 << 64))
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
+
+
+def word_spans(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The joined texts (none empty); of each word its start, end, 64-bit hash and text."""
+    joint = b"".join(texts)
+    data = np.frombuffer(joint, np.uint8)
+    stops = np.cumsum([len(t) for t in texts])
+    last = _SPACE[data].copy()
+    last[stops - 1] = True
+    ends = np.flatnonzero(last) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    powers = np.cumprod(np.full(len(data), _ROOT, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers)])
+    back = np.cumprod(np.full(len(data), _INVERSE, np.uint64))
+    words = _mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    return joint, starts, ends, words, np.searchsorted(stops, starts, side="right")
+
+
+def before(words: np.ndarray, text: np.ndarray, steps: int) -> np.ndarray:
+    """The hash of the word so many words before each in its text; 0 before the first."""
+    out = np.zeros_like(words)
+    out[steps:] = np.where(text[steps:] == text[:len(text) - steps], words[:len(words) - steps], 0)
+    return out
+
+
+def gram_keys(*words: np.ndarray) -> np.ndarray:
+    """64-bit keys of n-grams, the order in them."""
+    key = np.full(len(words[0]), len(words), np.uint64)
+    for w in words:
+        key = _mixed(key * _ROOT + w)
+    return key
+
+
+def key_column(*words: str) -> Column:
+    """``gram_keys`` of columns of word hashes."""
+
+    @F.pandas_udf("long")
+    def keys(*columns: pd.Series) -> pd.Series:
+        return pd.Series(gram_keys(*(x.to_numpy().view(np.uint64) for x in columns)).view(np.int64))
+
+    return keys(*words)
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct numbers: first places, counts; and the rank of every number."""
+    _, first, rank, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    return first, counts, rank
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for _, group in _chunks(batch["text"].tolist()):
+            _, _, _, words, text = word_spans(group)
+            grams = before(words, text, 2), before(words, text, 1), words
+            first, counts, _ = _distinct(gram_keys(*grams))
+            yield pd.DataFrame({k: g[first].view(np.int64) for k, g in zip("abc", grams)} | {"n": counts})
+
+
+def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for _, group in _chunks(batch["text"].tolist()):
+            joint, starts, ends, words, _ = word_spans(group)
+            first, _, _ = _distinct(words)
+            yield pd.DataFrame({"c": words[first].view(np.int64), "text": [
+                joint[s:e].decode("utf-8", "replace") for s, e in zip(starts[first], ends[first])]})
+
+
+def _spelled(folder: str, shards: int, words: list[bytes]) -> np.ndarray:
+    """Logarithm of each word's probability by the spelling model."""
+    codes, starts = gram_codes(words)
+    grams = np.unique(codes)
+    logs = log_probabilities(folder, shards, grams)[np.searchsorted(grams, codes)]
+    return np.add.reduceat(np.maximum(logs, np.log(LEAST)), starts)
+
+
+def spelling_column(folder: str, shards: int, text: Column) -> Column:
+    """base: the logarithm of the text's probability word by word from their spelling
+    alone; words; size in bytes.  All NULL for an empty text."""
+
+    @F.pandas_udf("base double, words long, size long")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            out = np.full(len(texts), np.nan)
+            out = np.full((len(texts), 3), np.nan)
             for rows, group in _chunks(texts.tolist()):
-                codes, starts = gram_codes(group)
-                grams = np.unique(codes)
-                logs = log_probabilities(folder, shards, grams)[np.searchsorted(grams, codes)]
-                out[rows] = np.exp(-np.add.reduceat(logs, starts) / np.array([len(t) for t in group]))
-            yield pd.Series([None if np.isnan(v) else float(v) for v in out], dtype=object)
+                joint, starts, ends, words, text = word_spans(group)
+                first, _, rank = _distinct(words)
+                logs = _spelled(folder, shards, [joint[s:e] for s, e in zip(starts[first], ends[first])])[rank]
+                out[rows, 0] = np.bincount(text, logs, len(group))
+                out[rows, 1] = np.bincount(text, minlength=len(group))
+                out[rows, 2] = [len(t) for t in group]
+            yield pd.DataFrame({"base": pd.Series(out[:, 0]).astype(object).where(~np.isnan(out[:, 0]), None),
+                                "words": pd.array(out[:, 1], "Int64"), "size": pd.array(out[:, 2], "Int64")})
 
     return score.asNondeterministic()(text)
 
 
+def document_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """t, key, n, m: how often each n-gram ends in a word of the text and is a word's context.
+
+    Texts that are equal in a batch are read once.  The empty context's row, one for each
+    text read, counts the readings.
+    """
+    for batch in batches:
+        batch = batch.drop_duplicates("t")
+        names = batch["t"].to_numpy()
+        for rows, group in _chunks(batch["text"].tolist()):
+            _, _, _, words, text = word_spans(group)
+            b, a = before(words, text, 1), before(words, text, 2)
+            last = np.flatnonzero(np.append(text[1:] != text[:-1], True))
+            own = names[rows]
+            # as a context an n-gram stands once for each time it ends in a word, but for the
+            # last words of the text and the empty places before the first
+            zero = np.zeros(len(group), np.uint64)
+            ends = [(gram_keys(zero), 1), (gram_keys(zero, zero), 1), (gram_keys(words[last]), -1),
+                    (gram_keys(b[last], words[last]), -1)]
+            for keys, m in ends:
+                yield pd.DataFrame({"t": own, "key": keys.view(np.int64), "n": np.int32(0), "m": np.int32(m)})
+            at = _mixed(text.astype(np.uint64) + _ROOT)
+            for k, keys in enumerate((gram_keys(words), gram_keys(b, words), gram_keys(a, b, words)), 1):
+                first, n, _ = _distinct(keys ^ at)
+                yield pd.DataFrame({"t": own[text[first]], "key": keys[first].view(np.int64), "n": n.astype(np.int32),
+                                    "m": (n if k < WORDS else 0 * n).astype(np.int32)})
+
+
+def word_model(texts: DataFrame, folder: str, shards: int, vocabulary: DataFrame) -> tuple[DataFrame | None, float]:
+    """(key, d, g of every n-gram; the logarithm of a word's weight on its spelling).
+
+    With S1(c) = the logarithm of c's probability without context, G(h) that of a context's
+    back-off weight and L that of an n-gram in the model, the logarithm for c after a, b is
+    S1(c) + G(b) + G(ab) + [bc known] (L(bc) - G(b) - L(c)) + [abc known] (L(abc) - G(ab) - L(bc)),
+    as all ends of a known n-gram are known; d is an n-gram's bracket and g its G.  For a
+    single word d is what L(c) is above the weight times the spelling.
+    """
+    tri = written(texts.mapInPandas(_count_words, "a long, b long, c long, n long")
+                  .groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "grams")
+    bi = written(tri.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n")), "grams")
+    uni = written(bi.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "grams")
+
+    def cut(counts: DataFrame) -> Column:
+        d = discounts(counts.select(F.col("n").alias("c")))
+        return F.when(F.col("n") == 1, d["d1"]).when(F.col("n") == 2, d["d2"]).otherwise(d["d3"])
+
+    cuts = {k: cut(x) for k, x in ((1, uni), (2, bi), (3, tri))}
+    whole = uni.agg(F.sum("n").alias("n"), F.sum(cuts[1]).alias("cut")).first()
+    if not whole["n"]:
+        return None, 0.0
+    gamma = max(whole["cut"] / whole["n"], LEAST)
+
+    def merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        return left.join(right.hint("merge"), on, how)
+
+    def contexts(counts: DataFrame, k: int, by: list[str]) -> DataFrame:
+        return counts.groupBy(*by).agg(F.sum("n").alias("total"), F.greatest(F.sum(cuts[k]) / F.sum("n"), F.lit(LEAST)).alias("gamma"))
+
+    spelled = spelling_column(folder, shards, F.col("text"))["base"]
+    words = vocabulary.select("c", F.exp(spelled).alias("p0"))
+    p1 = written(merged(uni, words, ["c"]).select(
+        "c", "p0", ((F.col("n") - cuts[1]) / whole["n"] + gamma * F.col("p0")).alias("p1")), "probabilities")
+    after1 = written(contexts(bi, 2, ["b"]), "contexts")
+    after2 = written(contexts(tri, 3, ["a", "b"]), "contexts")
+    p2 = written(merged(merged(bi, after1, ["b"]), p1.select("c", "p1"), ["c"]).select(
+        "b", "c", "gamma", "p1", ((F.col("n") - cuts[2]) / F.col("total") + F.col("gamma") * F.col("p1"))
+        .alias("p2")), "probabilities")
+    p3 = merged(merged(tri, after2, ["a", "b"]), p2.select("b", "c", "p2"), ["b", "c"])
+    seen = (F.col("n") - cuts[3]) / F.col("total")
+
+    def whole_number(x: Column) -> Column:
+        return F.coalesce(F.round(x * SCALE), F.lit(0.0)).cast("long")
+
+    def above(p: Column, *parts: Column) -> Column:
+        return whole_number(F.log(p) - sum((F.log(x) for x in parts), F.lit(0.0)))
+
+    d3 = p3.select(key_column("a", "b", "c").alias("key"),
+                   above(seen + F.col("gamma") * F.col("p2"), F.col("gamma"), F.col("p2")).alias("d"),
+                   F.lit(0).cast("long").alias("g"))
+    d2 = merged(p2, after2.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("gamma").alias("weight")),
+                ["b", "c"], "full").select(
+        key_column("b", "c").alias("key"), above(F.col("p2"), F.col("gamma"), F.col("p1")).alias("d"),
+        whole_number(F.log("weight")).alias("g"))
+    d1 = merged(p1, after1.select(F.col("b").alias("c"), F.col("gamma").alias("weight")), ["c"], "full").select(
+        key_column("c").alias("key"), above(F.col("p1"), F.col("p0"), F.lit(gamma)).alias("d"),
+        whole_number(F.log("weight")).alias("g"))
+    return written(d1.unionByName(d2).unionByName(d3), "model"), float(np.log(gamma))
+
+
+def perplexities(docs: DataFrame, training: DataFrame) -> DataFrame:
+    """doc_id, lang, perplexity per byte (NULL for an empty text) by the model of ``training`` (text)."""
+    vocabulary = written(training.mapInPandas(_vocabulary, "c long, text string").dropDuplicates(["c"]), "words")
+    folder, shards = write_shards(train(vocabulary.select("text")))
+    model, weight = word_model(training, folder, shards, vocabulary)
+    named = docs.withColumn("t", F.xxhash64("text"))
+    base = named.select("doc_id", "lang", "t", spelling_column(folder, shards, F.col("text")).alias("s"))
+    total = F.col("s.base") + weight * F.col("s.words")
+    if model is not None:
+        start = int(gram_keys(np.zeros(1, np.uint64)).view(np.int64)[0])
+        found = (named.where(F.length("text") > 0).select("t", "text")
+                 .mapInPandas(document_grams, "t long, key long, n int, m int")
+                 .join(model.hint("merge"), "key").groupBy("t")
+                 .agg(F.sum(F.col("n") * F.col("d") + F.col("m") * F.col("g")).alias("more"),
+                      F.sum(((F.col("key") == start) & (F.col("n") == 0)).cast("long")).alias("readings")))
+        base = base.join(found.hint("merge"), "t", "left")
+        total = total + F.coalesce(F.col("more") / F.col("readings") / SCALE, F.lit(0.0))
+    return base.select("doc_id", "lang", F.exp(-total / F.col("s.size")).alias("perplexity"))
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold, keep for every row of ``docs``."""
     trusted = written(trusted_ids(labels), "trusted_ids")
     # one plan at every size: a side that is small today is not sent to all tasks
     training = (docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
                 .select("text"))
-    folder, shards = write_shards(train(training))
-    scored = written(docs.select("doc_id", "lang", perplexity_column(folder, shards, F.col("text"))
-                                 .alias("perplexity")), "perplexities")
+    scored = written(perplexities(docs.select("doc_id", "lang", "text"), training), "perplexities")
     known = scored.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     top = F.percentile_approx("perplexity", quantile, 10_000)
     by_language = known.groupBy(F.col("lang").alias("l")).agg(top.alias("own"))
