@@ -40,7 +40,7 @@ class TrainingPlan:
 
     per_language: int = 400  # documents of each language
     span: int = 384          # bytes of each of them
-    languages: int = 64      # the most frequent ones
+    documents: int = 25_600  # of all languages: fewer of each where there are many
     hidden: int = 6          # state size of each direction
     steps: int = 300
     batch: int = 192
@@ -311,8 +311,8 @@ def language_column(net: Network | None, text: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, keep: Column, plan: TrainingPlan = TrainingPlan()) -> list[tuple[str, bytes]]:
-    """At most ``plan.per_language`` rows of each language, in the order of a hash of
-    the row, each cut to ``plan.span`` characters from a hashed place on."""
+    """At most ``plan.per_language`` rows of each language (at least one, and fewer where
+    the languages would have more than ``plan.documents``), in the order of a hash of the row, each cut to ``plan.span`` characters from a hashed place on."""
     order = F.xxhash64("doc_id", "text", F.lit(plan.seed))
     rows = docs.where(keep & (F.length("text") > 0) & F.col("lang").isNotNull()
                       & (F.col("lang") != UNDETERMINED))
@@ -320,9 +320,10 @@ def training_sample(docs: DataFrame, keep: Column, plan: TrainingPlan = Training
     cut = rows.select("lang", F.substring(F.col("text"), place, F.lit(plan.span)).alias("part"),
                       order.alias("nth"))
     ranked = Window.partitionBy("lang").orderBy("nth", "part")
-    best = cut.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= plan.per_language)
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(plan.languages)
-    sample = best.join(F.broadcast(frequent.select("lang")), "lang", "left_semi").select("lang", "part")
+    languages = rows.select("lang").distinct().count()
+    most = max(1, min(plan.per_language, plan.documents // max(1, languages)))
+    sample = (cut.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most)
+              .select("lang", "part"))
     return [(r["lang"], r["part"].encode("utf-8", "replace")) for r in sample.collect()]
 
 
