@@ -133,7 +133,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
 
 def with_components(rows: DataFrame, classes: DataFrame, found: DataFrame, row_id: str,
                     also: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (``row_id``, key, ``also``) with their links and components, from tile results."""
+    """Rows (``row_id``, key, ``also``) with their links and components, from tile results;
+    ``root`` is the component's own key (NULL without a key), whatever the ids are."""
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     known = written(classes.select("key", "least", "size").join(links, "key", "left")
@@ -141,7 +142,7 @@ def with_components(rows: DataFrame, classes: DataFrame, found: DataFrame, row_i
                     .select("key", "least", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
                             F.coalesce("root", "key").alias("root")), "class_components")
     least = known.groupBy("root").agg(F.min("least").alias("component"))
-    known = known.join(least, "root").select("key", "least", "n", "component")
+    known = known.join(least, "root").select("key", "least", "n", "component", "root")
     joined = rows.where(F.col("key").isNotNull()).join(known, "key")
     result = [F.col(row_id), *also, F.col("n").cast("long").alias("n_links"),
               F.col("component").alias("component_id"),
@@ -149,5 +150,5 @@ def with_components(rows: DataFrame, classes: DataFrame, found: DataFrame, row_i
     alone = rows.where(F.col("key").isNull()).select(
         row_id, *also, F.lit(0).cast("long").alias("n_links"), F.col(row_id).alias("component_id"),
         F.lit(True).alias("kept"))
-    return joined.select(*result, F.col("least").alias("class_id")).unionByName(
-        alone.withColumn("class_id", F.col(row_id)))
+    return joined.select(*result, F.col("least").alias("class_id"), "root").unionByName(
+        alone.withColumn("class_id", F.col(row_id)).withColumn("root", F.lit(None).cast("binary")))

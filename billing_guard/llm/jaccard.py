@@ -292,7 +292,7 @@ def candidate_groups(classes: DataFrame, threshold: float = THRESHOLD,
 
 
 def linked_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, tie, class_id, n_links, group_id, kept for every row of ``docs``.
+    """doc_id, tie, class_id, n_links, group_id, kept, root for every row of ``docs``.
 
     ``class_id`` is the least doc_id with the same shingle set, ``n_links`` counts the
     documents linked directly, ``group_id`` is the least doc_id reachable by links.
@@ -322,14 +322,19 @@ def linked_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
     keyed = rows.select(F.struct("doc_id", "tie").alias("row"), "key", "doc_id")
     linked = with_components(keyed.select("doc_id", "key", "row"), classes, found, "doc_id", ("row",))
     return linked.select("doc_id", "row.tie", "class_id", "n_links",
-                         F.col("component_id").alias("group_id"), "kept")
+                         F.col("component_id").alias("group_id"), "kept", "root")
 
 
 def keep_one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the document with the
-    least id stays, and of repeated rows of that id and text one."""
-    kept = (linked_documents(docs, threshold).where("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct())
+    least id (and text hash) stays, and of repeated rows of that id and text one."""
+    linked = linked_documents(docs, threshold)
+    # by the group's root, not its least id: ids may be NULL or repeated
+    least = (linked.where(F.col("root").isNotNull()).groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")).alias("kept"))
+             .select("kept.doc_id", "kept.tie"))
+    kept = (least.unionByName(linked.where(F.col("root").isNull()).select("doc_id", "tie"))
+            .select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct())
     tied = docs.withColumn("__tie", F.xxhash64("text"))
     return (tied.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
                       & (F.col("__tie") == F.col("kept_tie")), "left_semi")
