@@ -105,9 +105,22 @@ class EliasFano:
 
     def values(self) -> np.ndarray:
         """All values at once."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        out = (ones - np.arange(self.size)).astype(np.uint64) << np.uint64(self.low_bits)
-        bits = np.unpackbits(self.low, bitorder="little")[:self.size * self.low_bits]
+        return self.run(0, self.size)
+
+    def run(self, first: int, last: int) -> np.ndarray:
+        """Values ``first`` to ``last``, read on from the sample before them."""
+        if first >= last:
+            return np.zeros(0, np.int64)
+        sample, after = first // SAMPLE, -(-last // SAMPLE)
+        byte = int(self.samples[sample]) // 8
+        end = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[byte:end], bitorder="little")) + byte * 8
+        skip = int(np.searchsorted(ones, self.samples[sample])) + first - sample * SAMPLE
+        high = ones[skip:skip + last - first] - np.arange(first, last)
+        out = high.astype(np.uint64) << np.uint64(self.low_bits)
+        at = first * self.low_bits
+        bits = np.unpackbits(self.low[at // 8:(last * self.low_bits + 7) // 8], bitorder="little")
+        bits = bits[at % 8:at % 8 + (last - first) * self.low_bits]
         for k in range(self.low_bits):
             out |= bits[k::self.low_bits].astype(np.uint64) << np.uint64(k)
         return (out + np.uint64(self.least % 2**64)).astype(np.int64)
@@ -173,6 +186,16 @@ class TokenFile:
         """Ids of this file before document ``i``."""
         return self.ends.select(i - 1) if i else 0
 
+    def reach(self, first: int, ids: int) -> int:
+        """The document after ``first`` and all that end within so many ids from its start;
+        ``first`` itself is always taken."""
+        most = self.offset(first) + ids
+        low, high = first + 1, self.n_docs
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if self.offset(middle) <= most else (low, middle - 1)
+        return low
+
     def doc_id(self, i: int) -> int | None:
         return None if i < self.nulls else self.doc_ids.select(i - self.nulls)
 
@@ -227,21 +250,18 @@ def read_token_files(manifest: DataFrame, chunk_ids: int = 4_000_000) -> DataFra
         for batch in batches:
             for row in batch.itertuples():
                 file = TokenFile(row.ids_path, row.index_path)
-                ends = file.ends.values()
-                starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
-                known = file.doc_ids.values()
                 doc = 0
                 while doc < file.n_docs:
-                    last = max(doc + 1, int(np.searchsorted(ends, starts[doc] + chunk_ids, side="right")))
-                    ids = file.ids(int(starts[doc]), int(ends[last - 1])).astype("<u4")
-                    shift = starts[doc]
-                    crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in
-                           zip(starts[doc:last] - shift, ends[doc:last] - shift)]
-                    names = [None if k < file.nulls else int(known[k - file.nulls])
-                             for k in range(doc, last)]
+                    last = file.reach(doc, chunk_ids)
+                    shift, ends = file.offset(doc), file.ends.run(doc, last)
+                    starts = np.concatenate([np.array([shift], np.int64), ends[:-1]])
+                    ids = file.ids(shift, int(ends[-1])).astype("<u4")
+                    crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts - shift, ends - shift)]
+                    known = file.doc_ids.run(max(0, doc - file.nulls), max(0, last - file.nulls))
+                    names = [*[None] * (last - doc - len(known)), *known.tolist()]
                     yield pd.DataFrame({
-                        "doc_id": pd.array(names, dtype="Int64"), "start": starts[doc:last] + row.base,
-                        "n_tokens": ends[doc:last] - starts[doc:last], "ids_crc32": crc})
+                        "doc_id": pd.array(names, dtype="Int64"), "start": starts + row.base,
+                        "n_tokens": ends - starts, "ids_crc32": crc})
                     doc = last
 
     return spread.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
