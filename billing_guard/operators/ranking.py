@@ -1,13 +1,17 @@
 """Row numbers within groups that stay distributed when one group is huge.
 
-``row_number() OVER (PARTITION BY g ORDER BY o)`` sends each group to a single
-task.  The range method (default, at every size) does not: range-partition the rows
-by ``(g, o)`` - a hot group, a NULL group included, is cut into several ordered
-partitions by sampled boundaries - number rows locally per (partition, group), and add
-the number of rows the same group has in earlier partitions.  Every step handles at
-most one range partition of one group; the offset table has one row per (partition,
-group) pair.  The locally numbered rows are checkpointed so both uses see one
-partitioning.  ``strategy="window"`` is for groups known to be small.
+``row_number() OVER (PARTITION BY g ORDER BY o)`` sends each group to a single task.  Here
+only groups known to be cold go that way, in one exchange.  Rows of hot groups (named by
+:func:`hot_shares`, at most a bounded number of groups) are range-partitioned by ``(g, o)``
+instead - sampled boundaries cut a hot group, a NULL group included, into ordered pieces -
+and take their place within the sorted partition.  A row's number is its place, less the
+place where its group begins in this partition, plus the group's rows in earlier
+partitions.  Those two facts exist once per (partition, group): each partition boundary adds
+at most one to the number of hot groups, so the table of carried offsets is bounded by
+``partitions + hot groups`` and is broadcast.  Every row is exchanged once.
+
+The hot rows are written in their partitions, because the offsets and the numbers must
+come from the same boundaries.  ``strategy="window"`` is for groups known to be small.
 """
 
 from __future__ import annotations
@@ -18,21 +22,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.session import work_root
+from billing_guard.operators.skew import hot_shares, is_hot
+from billing_guard.operators.skew import partitions as shuffle_partitions
+from billing_guard.session import written
+
+#: the bits of ``monotonically_increasing_id`` below the partition number
+_PLACE_BITS = 33
 
 
 def row_number_in_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                         out_col: str, strategy: str = "range",
-                         partitions: int | None = None) -> DataFrame:
+                         out_col: str, strategy: str = "range", partitions: int | None = None,
+                         hot: dict[int, int] | None = None) -> DataFrame:
     """Append ``out_col`` = 1, 2, ... within each group in ``order`` (ties: as given).
 
-    NULL group values form one group, as in SQL window partitions.
+    NULL group values form one group, as in SQL window partitions.  ``hot`` lists the hot
+    groups (:func:`hot_shares`); by default one pass over the group columns finds them.
     """
     if strategy == "window":
         return _by_window(df, group_cols, order, out_col)
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _by_range(df, group_cols, order, out_col, partitions)
+    if hot is None:
+        hot, = hot_shares(df, group_cols)
+    if not hot:
+        return _by_window(df, group_cols, order, out_col)
+    in_hot = is_hot(group_cols, hot)
+    cold = _by_window(df.where(~in_hot), group_cols, order, out_col)
+    return cold.unionByName(_by_range(df.where(in_hot), group_cols, order, out_col, partitions))
 
 
 def _by_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
@@ -43,27 +59,23 @@ def _by_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column]
 
 def _by_range(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
               out_col: str, partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group = [F.col(c).asc_nulls_first() for c in group_cols]
-    ranged = df.repartitionByRange(n, *group, *order).withColumn("_pid", F.spark_partition_id())
-    local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
-    # The local numbers and the per-partition sizes must come from the same
-    # range boundaries (they are sampled per exchange): a reliable checkpoint
-    # in the shared work folder fixes them once, also across executor loss.
-    work_root(spark)
-    local = ranged.withColumn("_lrn", F.row_number().over(local_w)).checkpoint()
-    sizes = local.groupBy("_pid", *group_cols).agg(F.max("_lrn").alias("_n"))
+    n = partitions or shuffle_partitions(df.sparkSession)
+    keys = [*[F.col(c).asc_nulls_first() for c in group_cols], *order]
+    place = F.monotonically_increasing_id()  # partition number and place in the sorted partition
+    ranged = written(
+        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_at", place)
+        .withColumn("_pid", F.shiftright("_at", _PLACE_BITS)), "ranked_rows")
+    pieces = ranged.groupBy("_pid", *group_cols).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # one row per (partition, hot group): at most n + hot groups
     earlier = (Window.partitionBy(*group_cols).orderBy("_pid")
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(
-        F.col("_pid").alias("_opid"),
-        *[F.col(c).alias(f"_o_{c}") for c in group_cols],
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
-    )
+    carried = pieces.select(
+        F.col("_pid").alias("_opid"), *[F.col(c).alias(f"_o_{c}") for c in group_cols],
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_carry"))
     cond = reduce(lambda a, b: a & b,
                   [F.col("_pid") == F.col("_opid")]
                   + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group_cols])
-    return (local.join(offsets, cond, "inner")
-            .withColumn(out_col, (F.col("_lrn") + F.col("_off")).cast("int"))
-            .drop("_pid", "_lrn", "_opid", "_off", *[f"_o_{c}" for c in group_cols]))
+    return (ranged.join(F.broadcast(carried), cond, "inner")
+            .withColumn(out_col, (F.col("_at") + F.col("_carry")).cast("int"))
+            .drop("_at", "_pid", "_opid", "_carry", *[f"_o_{c}" for c in group_cols]))

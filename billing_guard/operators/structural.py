@@ -15,17 +15,18 @@ the invoice is NULL.
 Strategies
 ----------
 ``aggregate`` (default, skew-safe)
-    Count rows per key with a map-side-combined aggregation, derive the coarser
-    facts from that (much smaller) key table by further aggregations, classify each
-    *key*, then join the rows back to their key's class.  A key holding a third of
-    all rows is collapsed before the shuffle, and every join splits off its hot
-    groups (``operators/skew.py``), NULL groups included.  The key table and its
-    classes are written once.  Reports never need the row-level join: they are
-    weighted sums over keys.
+    One exchange.  A pass over the key columns names the hot invoices, pairs and keys
+    (``operators/skew.py``).  Rows of a cold invoice meet by invoice; those of a hot
+    invoice by (invoice, case); of a hot pair by key; copies of a hot key are dealt over
+    many tasks.  Windows in each of these groups give what the group can tell; what it
+    cannot (a hot invoice's cases, a hot pair's amounts, a hot key's copies) comes from
+    a broadcast table of at most a few rows per hot entry, aggregated in a second pass that
+    only hot rows reach and that is left out when nothing is hot.  So the input is read at
+    most three times and shuffled once, whatever the shares.
+    Reports sum the classified rows per group, where they lie, before anything else moves.
 ``window`` (on request)
-    Three window aggregates sharing one exchange on ``invoice_id``.  One shuffle of
-    the rows, but every invoice's rows meet in one task, so only for inputs known
-    to have no hot invoice.
+    Three window aggregates sharing one exchange on ``invoice_id``.  Every invoice's rows
+    meet in one task, so only for inputs known to have no hot invoice.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import hot_keys, hot_split_join
+from billing_guard.operators.skew import hot_shares, is_hot, key_hash, share_of
 from billing_guard.session import written
 
 INVOICE, CASE, AMOUNT = "invoice_id", "case_id", "amount"
@@ -74,29 +75,102 @@ def anomaly_type(case_flag: Column, amount_flag: Column, exact_flag: Column) ->
             .otherwise(F.lit(CLEAN)))
 
 
-# --------------------------------------------------------------------------
-# single flags (each adds one boolean column to the rows)
-# --------------------------------------------------------------------------
-def _flag_join(df: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
-    """Join rows back to their group's facts; ``_n`` counts the group's rows."""
-    hot = hot_keys(per_group, keys, "_n")
-    return hot_split_join(df, per_group.drop("_n"), keys, "left", hot=hot, null_safe=True)
-
-
 def _use_windows(strategy: str) -> bool:
     if strategy not in ("window", "aggregate"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return strategy == "window"
 
 
+# --------------------------------------------------------------------------
+# groups that no hot entry makes large
+# --------------------------------------------------------------------------
+#: what rows of one exchange group share besides the invoice: a hot invoice's case, a hot
+#: pair's amount, a share of a hot key
+_GROUP = [INVOICE, "_case", "_amount", "_share"]
+_HOT_INVOICE, _HOT_PAIR, _HOT_KEY = "_hot_invoice", "_hot_pair", "_hot_key"
+_EXACT, _AMOUNTS, _CASES = "_exact", "_amounts_differ", "_cases_differ"
+
+
+def _hot_facts(df: DataFrame, hot: list[dict[int, int]], weight: Column) -> tuple[DataFrame, ...]:
+    """Cases of hot invoices, amounts of hot pairs, rows of hot keys: a few rows each.
+
+    The aggregation has one group per hot entry and one for the rest of each level, so
+    its result is bounded by the lists; it is brought to the driver once, because three
+    joins use it.
+    """
+    pair = is_hot([INVOICE, CASE], hot[1])
+    key = pair & is_hot(KEYS, hot[2])
+    rows = (df.where(is_hot([INVOICE], hot[0]))
+            .withColumn(_HOT_PAIR, pair).withColumn(_HOT_KEY, key)
+            .groupBy(INVOICE, _HOT_PAIR, F.when(pair, F.col(CASE)).alias("_case"),
+                     _HOT_KEY, F.when(key, F.col(AMOUNT)).alias("_amount"))
+            .agg(F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"),
+                 F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"),
+                 F.sum(weight).alias("_n")))
+    local = df.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    invoices = local.groupBy(INVOICE).agg(
+        F.min("_case_lo").alias("_hot_case_lo"), F.max("_case_hi").alias("_hot_case_hi"))
+    pairs = local.where(_HOT_PAIR).groupBy(INVOICE, F.col("_case").alias(CASE)).agg(
+        F.min("_amount_lo").alias("_hot_amount_lo"), F.max("_amount_hi").alias("_hot_amount_hi"))
+    keys = local.where(_HOT_KEY).select(
+        INVOICE, F.col("_case").alias(CASE), F.col("_amount").alias(AMOUNT), F.col("_n").alias("_hot_n"))
+    return invoices, pairs, keys
+
+
+def _attach(df: DataFrame, facts: DataFrame, keys: list[str], mark: str) -> DataFrame:
+    """``df`` with a bounded table's facts and a column that marks the rows that have some."""
+    right = facts.withColumnsRenamed({k: f"_f_{k}" for k in keys}).withColumn(mark, F.lit(True))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_f_{k}"))
+    return df.join(F.broadcast(right), same, "left").drop(*[f"_f_{k}" for k in keys])
+
+
+def flagged(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """The rows with three flags, the exchange group's columns and ``_hot_invoice``.
+
+    ``weight`` is how many rows a row stands for (a key table's counts; 1 by default).
+    """
+    n = F.lit(1) if weight is None else weight
+    columns = df.columns
+    hot = hot_shares(df, [INVOICE], [INVOICE, CASE], KEYS)
+    if hot[0]:
+        invoices, pairs, keys = _hot_facts(df, hot, n)
+        rows = _attach(df, invoices, [INVOICE], _HOT_INVOICE)
+        rows = _attach(rows, pairs, [INVOICE, CASE], _HOT_PAIR)
+        rows = _attach(rows, keys, KEYS, _HOT_KEY)
+        shares = F.lit(max(hot[2].values(), default=1))
+        rows = (rows.withColumn("_case", F.when(F.col(_HOT_INVOICE), F.col(CASE)))
+                .withColumn("_amount", F.when(F.col(_HOT_PAIR), F.col(AMOUNT)))
+                .withColumn("_share", F.when(F.col(_HOT_KEY), share_of(columns, shares))))
+        group = _GROUP
+    else:
+        rows, group = df, [INVOICE]
+    rows = rows.repartition(*group)  # clusters all windows below: one exchange in total
+    in_group, in_pair, in_key = (Window.partitionBy(*group, *more) for more in ([], [CASE], [CASE, AMOUNT]))
+    case_lo, case_hi = F.min(CASE).over(in_group), F.max(CASE).over(in_group)
+    amount_lo, amount_hi = F.min(AMOUNT).over(in_pair), F.max(AMOUNT).over(in_pair)
+    copies = F.sum(n).over(in_key)
+    if hot[0]:
+        case_lo = F.when(F.col(_HOT_INVOICE), F.col("_hot_case_lo")).otherwise(case_lo)
+        case_hi = F.when(F.col(_HOT_INVOICE), F.col("_hot_case_hi")).otherwise(case_hi)
+        amount_lo = F.when(F.col(_HOT_PAIR), F.col("_hot_amount_lo")).otherwise(amount_lo)
+        amount_hi = F.when(F.col(_HOT_PAIR), F.col("_hot_amount_hi")).otherwise(amount_hi)
+        copies = F.when(F.col(_HOT_KEY), F.col("_hot_n")).otherwise(copies)
+    hot_invoice = F.coalesce(F.col(_HOT_INVOICE), F.lit(False)) if hot[0] else F.lit(False)
+    return rows.select(*columns, (copies > 1).alias(_EXACT), _amount_flag(amount_lo, amount_hi).alias(_AMOUNTS),
+                       _case_flag(case_lo, case_hi).alias(_CASES), *group[1:], hot_invoice.alias(_HOT_INVOICE))
+
+
+# --------------------------------------------------------------------------
+# single flags (each adds one boolean column to the rows)
+# --------------------------------------------------------------------------
 def detect_exact_duplicates(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """``exact_duplicate_flag``: the row's (invoice, case, amount) occurs twice or more."""
     if _use_windows(strategy):
         return df.withColumn("exact_duplicate_flag",
                              F.count(F.lit(1)).over(Window.partitionBy(*KEYS)) > 1)
-    counts = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, counts.withColumn("_dups", F.col("_n")), KEYS)
-            .withColumn("exact_duplicate_flag", F.col("_dups") > 1).drop("_dups"))
+    return flagged(df).select(*df.columns, F.col(_EXACT).alias(FLAGS[0]))
 
 
 def detect_amount_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
@@ -105,11 +179,7 @@ def detect_amount_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFr
         w = Window.partitionBy(INVOICE, CASE)
         return df.withColumn("amount_mismatch_flag",
                              _amount_flag(F.min(AMOUNT).over(w), F.max(AMOUNT).over(w)))
-    per_pair = df.groupBy(INVOICE, CASE).agg(
-        F.min(AMOUNT).alias("_lo"), F.max(AMOUNT).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, per_pair, [INVOICE, CASE])
-            .withColumn("amount_mismatch_flag", _amount_flag(F.col("_lo"), F.col("_hi")))
-            .drop("_lo", "_hi"))
+    return flagged(df).select(*df.columns, F.col(_AMOUNTS).alias(FLAGS[1]))
 
 
 def detect_case_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
@@ -118,11 +188,7 @@ def detect_case_mismatch(df: DataFrame, strategy: str = "aggregate") -> DataFram
         w = Window.partitionBy(INVOICE)
         return df.withColumn("case_mismatch_flag",
                              _case_flag(F.min(CASE).over(w), F.max(CASE).over(w)))
-    per_invoice = df.groupBy(INVOICE).agg(
-        F.min(CASE).alias("_lo"), F.max(CASE).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    return (_flag_join(df, per_invoice, [INVOICE])
-            .withColumn("case_mismatch_flag", _case_flag(F.col("_lo"), F.col("_hi")))
-            .drop("_lo", "_hi"))
+    return flagged(df).select(*df.columns, F.col(_CASES).alias(FLAGS[2]))
 
 
 def classify_anomaly(df: DataFrame) -> DataFrame:
@@ -134,60 +200,68 @@ def classify_anomaly(df: DataFrame) -> DataFrame:
     ).drop(*FLAGS)
 
 
+def _type_of_flags() -> Column:
+    return anomaly_type(F.col(_CASES), F.col(_AMOUNTS), F.col(_EXACT)).alias("anomaly_type")
+
+
 # --------------------------------------------------------------------------
 # fused classification
 # --------------------------------------------------------------------------
 def key_classes(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """One row per distinct (invoice, case, amount): row count, flags and class.
 
-    The rows are first collapsed per key by a map-side-combined count (all copies
-    of a key, however many, become one row per map task).  Pair- and invoice-level
-    facts then come from that key table: by windows sharing one exchange on
-    ``invoice_id`` (``window``), or by further aggregations joined back with their
-    hot groups split off (``aggregate``: no task ever holds a whole invoice).
+    The rows are first collapsed per key by a map-side-combined count (all copies of a key,
+    however many, become one row per map task); the keys are then flagged like rows.
     """
     per_key = df.groupBy(*KEYS).agg(F.count(F.lit(1)).alias(ROWS))
-    exact = F.col(ROWS) > 1
     if _use_windows(strategy):
         by_pair = Window.partitionBy(INVOICE, CASE)
         by_invoice = Window.partitionBy(INVOICE)
-        amount = _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair))
-        case = _case_flag(F.min(CASE).over(by_invoice), F.max(CASE).over(by_invoice))
-        flagged = per_key.repartition(INVOICE).select(
-            *KEYS, ROWS, exact.alias("exact_duplicate_flag"),
-            amount.alias("amount_mismatch_flag"), case.alias("case_mismatch_flag"))
-        return flagged.withColumn(
-            "anomaly_type",
-            anomaly_type(F.col("case_mismatch_flag"), F.col("amount_mismatch_flag"),
-                         F.col("exact_duplicate_flag")))
-    per_key = written(per_key, "invoice_keys")
-    per_pair = per_key.groupBy(INVOICE, CASE).agg(
-        F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"),
-        F.count(F.lit(1)).alias("_n"))
-    per_invoice = per_pair.groupBy(INVOICE).agg(
-        F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"),
-        F.count(F.lit(1)).alias("_n"))
-    pairs = _flag_join(per_pair.withColumnRenamed("_n", "_keys"), per_invoice, [INVOICE])
-    flagged = _flag_join(per_key, pairs.withColumnRenamed("_keys", "_n"), [INVOICE, CASE])
-    amount = _amount_flag(F.col("_amount_lo"), F.col("_amount_hi"))
-    case = _case_flag(F.col("_case_lo"), F.col("_case_hi"))
-    return flagged.select(
-        *KEYS,
-        ROWS,
-        exact.alias("exact_duplicate_flag"),
-        amount.alias("amount_mismatch_flag"),
-        case.alias("case_mismatch_flag"),
-        anomaly_type(case, amount, exact).alias("anomaly_type"),
-    )
+        rows = per_key.repartition(INVOICE).select(
+            *KEYS, ROWS, (F.col(ROWS) > 1).alias(_EXACT),
+            _amount_flag(F.min(AMOUNT).over(by_pair), F.max(AMOUNT).over(by_pair)).alias(_AMOUNTS),
+            _case_flag(F.min(CASE).over(by_invoice), F.max(CASE).over(by_invoice)).alias(_CASES))
+    else:
+        rows = flagged(written(per_key, "invoice_keys"), F.col(ROWS))
+    marks = [F.col(a).alias(b) for a, b in zip((_EXACT, _AMOUNTS, _CASES), FLAGS)]
+    return rows.select(*KEYS, ROWS, *marks, _type_of_flags())
 
 
 def classify_structural(df: DataFrame, strategy: str = "aggregate") -> DataFrame:
     """Every input row with its ``anomaly_type`` appended (flags not kept)."""
     if _use_windows(strategy):
         return _classify_by_windows(df)
-    classes = written(key_classes(df).select(*KEYS, ROWS, "anomaly_type"), "key_classes")
-    return hot_split_join(df, classes.drop(ROWS), KEYS, "left",
-                          hot=hot_keys(classes, KEYS, ROWS), null_safe=True)
+    return flagged(df).select(*df.columns, _type_of_flags())
+
+
+def class_summary(df: DataFrame) -> DataFrame:
+    """One row per class: rows, rows with an invoice, rows with an amount, distinct invoices
+    and the sum of the amounts.
+
+    Summed per exchange group where the classified rows lie, then per class: the partial
+    sums of a cold invoice stand for it once per class, so distinct invoices need no
+    exchange of their own; hot invoices, of which there are few, are told apart by name.
+    """
+    rows = flagged(df.select(*KEYS))
+    group = [c for c in _GROUP if c in rows.columns]
+    per_group = (rows.select(*rows.columns, _type_of_flags())
+                 .groupBy(*group, _HOT_INVOICE, "anomaly_type")
+                 .agg(F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_with_amount"),
+                      F.sum(AMOUNT).alias("_total")))
+    named = F.col(INVOICE).isNotNull()
+    cold = named & ~F.col(_HOT_INVOICE)
+    per_invoice = (per_group.groupBy("anomaly_type", F.when(F.col(_HOT_INVOICE), F.col(INVOICE)).alias("_name"))
+                   .agg(F.sum("_rows").alias("_rows"),
+                        F.sum(F.when(named, F.col("_rows")).otherwise(0)).alias("_with_invoice"),
+                        F.sum("_with_amount").alias("_with_amount"),
+                        F.sum(F.when(cold, 1).otherwise(0)).alias("_cold"),
+                        F.sum("_total").alias("_total")))
+    return per_invoice.groupBy("anomaly_type").agg(
+        F.sum("_rows").alias("rows"),
+        F.sum("_with_invoice").alias("rows_with_invoice"),
+        F.sum("_with_amount").alias("rows_with_amount"),
+        F.sum(F.col("_cold") + F.col("_name").isNotNull().cast("int")).alias("invoices"),
+        F.sum("_total").alias("total"))
 
 
 def _classify_by_windows(df: DataFrame) -> DataFrame:

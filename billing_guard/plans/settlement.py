@@ -4,8 +4,9 @@ One function per step of the original script; each is a lazy DataFrame, and
 :func:`settle` composes them into a single plan.  Scale notes:
 
 * the case-level side tables are small per case, the invoice tables are not;
-  invoice-to-case joins split off the cases that hold very many invoices
-  (``operators/skew.py``), so no reduce task receives a whole hot case;
+  invoice-to-case joins deal the invoices of cases that hold very many of them over several
+  tasks (``operators/skew.py``); hot cases are looked for once per table (one narrow pass), and
+  every join reads its rows once, however many joins follow each other;
 * the title dedup is a ``row_number() = 1`` filter, planned as a partial
   top-1 before the exchange;
 * the n-th payment ↔ n-th paid invoice match ranks with
@@ -30,7 +31,7 @@ from billing_guard.functions.money import proportional_share, round_to_cents
 from billing_guard.operators.band_join import band_join
 from billing_guard.operators.dedup import keep_first_per_group
 from billing_guard.operators.ranking import row_number_in_groups
-from billing_guard.operators.skew import hot_keys, hot_split_join, row_counts
+from billing_guard.operators.skew import hot_shares, hot_split_join
 from billing_guard.session import written
 from billing_guard.sources.schemas import MONEY
 from billing_guard.sources.testdata import LIVE_DPD_ATTRIBUTE, SettlementInputs
@@ -43,6 +44,7 @@ OPEN = "EM ABERTO"
 
 GROUP_KEYS = ["case_id", "ref_number", "client_ref_number", "invoice_id", "invoice_number"]
 
+# --- fixed values: the columns of the settlement report, in order -------------
 FINAL_COLUMNS = [
     "case_id", "ref_number", "client_ref_number", "invoice_id", "invoice_number",
     "original_capital_total", "actual_capital_total", "valor_pago", "status_pagamento",
@@ -53,6 +55,7 @@ FINAL_COLUMNS = [
     "valor_comissao", "payment_insert_date", "payment_insert_time", "pay_insert_filename",
     "payment_insert_user",
 ]
+# ---------------------------------------------------------------------------
 PAYMENT_DETAIL = ["payment_insert_date", "payment_insert_time", "pay_insert_filename",
                   "payment_insert_user"]
 
@@ -171,11 +174,16 @@ def active_bands(bands: DataFrame, client_id: int, as_of: date = DEFAULT_AS_OF)
 
 
 # 7 -------------------------------------------------------------------------
-def month_payments(payments: DataFrame, cases_t: DataFrame,
-                   as_of: date = DEFAULT_AS_OF) -> DataFrame:
-    """The tenant's payments dated in ``as_of``'s month (range filter, pushable)."""
-    in_month = payments.where(dates.in_month_of(F.col("payment_date"), as_of))
-    return (hot_split_join(in_month, cases_t.select("case_id").distinct(), ["case_id"], "inner")
+def payments_of_month(payments: DataFrame, as_of: date = DEFAULT_AS_OF) -> DataFrame:
+    """The payments dated in ``as_of``'s month (range filter, pushable)."""
+    return payments.where(dates.in_month_of(F.col("payment_date"), as_of))
+
+
+def month_payments(payments: DataFrame, cases_t: DataFrame, as_of: date = DEFAULT_AS_OF,
+                   hot: dict[int, int] | None = None) -> DataFrame:
+    """The tenant's payments of the month; ``hot`` lists the cases with very many."""
+    return (hot_split_join(payments_of_month(payments, as_of), cases_t.select("case_id").distinct(),
+                           ["case_id"], "inner", hot=hot)
             .select("case_id", "payment_id", "payment_date", "payed_capital", *PAYMENT_DETAIL))
 
 
@@ -222,39 +230,49 @@ def paid_per_case_day(agg: DataFrame) -> DataFrame:
 
 
 # 10 ------------------------------------------------------------------------
-def match_payments(payments_m: DataFrame, agg: DataFrame,
-                   rank_strategy: str = "range") -> DataFrame:
+def match_payments(payments_m: DataFrame, agg: DataFrame, rank_strategy: str = "range",
+                   hot_paying: dict[int, int] | None = None,
+                   hot_paid: dict[int, int] | None = None) -> DataFrame:
     """Pair the n-th payment of a case (by date, id) with its n-th paid invoice
-    (by invoice number, id)."""
+    (by invoice number, id).
+
+    ``hot_paying`` and ``hot_paid`` list the cases with very many payments and invoices.
+    """
     pg = row_number_in_groups(
         payments_m, ["case_id"],
         [F.col("payment_date").asc_nulls_first(), F.col("payment_id").asc_nulls_first(),
          F.col("payed_capital").asc_nulls_first()],
-        "rn", strategy=rank_strategy)
+        "rn", strategy=rank_strategy, hot=hot_paying)
     inv = row_number_in_groups(
         agg.where(F.col("valor_pago_invoice") > 0).select("case_id", "invoice_id", "invoice_number"),
         ["case_id"],
         [F.col("invoice_number").asc_nulls_first(), F.col("invoice_id").asc_nulls_first()],
-        "rn", strategy=rank_strategy)
+        "rn", strategy=rank_strategy, hot=hot_paid)
     return (inv.join(pg, ["case_id", "rn"], "inner")
             .select("invoice_id", "case_id", "payment_id", "payment_date", "payed_capital",
                     *PAYMENT_DETAIL))
 
 
 # final ---------------------------------------------------------------------
+DAY_KEYS = ["case_id", "update_date"]
+
+
 def settlement_report(agg: DataFrame, ptp_r: DataFrame, debtors_c: DataFrame,
                       matched: DataFrame, day_totals: DataFrame, bands_a: DataFrame,
-                      as_of: date = DEFAULT_AS_OF) -> DataFrame:
+                      as_of: date = DEFAULT_AS_OF, hot_cases: dict[int, int] | None = None,
+                      hot_days: dict[int, int] | None = None) -> DataFrame:
     """Invoices with paid value that were updated this month or got a payment,
-    with promise, debtor, payment share and commission (34 columns)."""
-    paid = agg.where(F.col("valor_pago") > 0)
-    # Hot keys are counted on the written aggregate, before any join.
-    day_keys = ["case_id", "update_date"]
-    hot_cases = hot_keys(row_counts(paid, ["case_id"]), ["case_id"], "_n")
-    hot_days = hot_keys(row_counts(paid, day_keys), day_keys, "_n")
+    with promise, debtor, payment share and commission (34 columns).
+
+    ``hot_cases`` and ``hot_days`` list the cases and days of a case with very many paid
+    invoices; each join reads its rows once, so their number does not multiply the plan.
+    """
+    rows = agg.where(F.col("valor_pago") > 0)
+    if hot_cases is None or hot_days is None:
+        hot_cases, hot_days = hot_shares(rows, ["case_id"], DAY_KEYS)
     per_case = ptp_r.join(debtors_c, "case_id", "full")
-    rows = hot_split_join(paid, day_totals.withColumnRenamed("update_dia", "update_date"),
-                          day_keys, "left", hot=hot_days)
+    rows = hot_split_join(rows, day_totals.withColumnRenamed("update_dia", "update_date"),
+                          DAY_KEYS, "left", hot=hot_days)
     rows = hot_split_join(rows, per_case, ["case_id"], "left", hot=hot_cases)
     rows = rows.join(matched.drop("case_id"), "invoice_id", "left")
     rows = band_join(rows, bands_a, F.col("dpd_final"),
@@ -320,9 +338,19 @@ class SettlementSteps:
     def bands(self) -> DataFrame:
         return active_bands(self.inputs.bands, self.client_id, self.as_of)
 
+    @cached_property
+    def hot_paying(self) -> dict[int, int]:
+        """Cases with very many payments of the month."""
+        return hot_shares(payments_of_month(self.inputs.payments, self.as_of), ["case_id"])[0]
+
+    @cached_property
+    def hot_paid(self) -> list[dict[int, int]]:
+        """Cases, and days of a case, with very many paid invoices: one pass over the aggregate."""
+        return hot_shares(self.aggregate.where(F.col("valor_pago") > 0), ["case_id"], DAY_KEYS)
+
     @cached_property
     def payments(self) -> DataFrame:
-        return month_payments(self.inputs.payments, self.cases, self.as_of)
+        return month_payments(self.inputs.payments, self.cases, self.as_of, self.hot_paying)
 
     @cached_property
     def aggregate(self) -> DataFrame:
@@ -337,12 +365,13 @@ class SettlementSteps:
 
     @cached_property
     def matched(self) -> DataFrame:
-        return match_payments(self.payments, self.aggregate, self.rank_strategy)
+        return match_payments(self.payments, self.aggregate, self.rank_strategy, self.hot_paying,
+                              self.hot_paid[0])
 
     @cached_property
     def report(self) -> DataFrame:
         return settlement_report(self.aggregate, self.ptp, self.debtors, self.matched,
-                                 self.day_totals, self.bands, self.as_of)
+                                 self.day_totals, self.bands, self.as_of, *self.hot_paid)
 
 
 def settlement_steps(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,

@@ -1,10 +1,8 @@
 """Pipeline A: structural anomalies of invoice imports, reports and alert gate.
 
-Reports (class counts, amount exposure, per-class report, rate) are weighted
-sums over the per-key table of :func:`key_classes`, so they cost one
-map-side-combined aggregation of three columns and never join rows back.
-Only the row-level output (:func:`classify_structural`) joins every row to its
-key's class.
+Reports (class counts, amount exposure, per-class report, rate) are formatted from one
+summary row per class (:func:`class_summary`, one exchange of three columns), or from the
+key table of :func:`key_classes`, or from classified rows that were written.
 """
 
 from __future__ import annotations
@@ -47,56 +45,57 @@ def keys_of_classified(classified: DataFrame) -> DataFrame:
     return classified.groupBy(*KEYS, CLASS_COL).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def _weighted(keys: DataFrame) -> DataFrame:
-    """Per-key rows with the weights the reports sum."""
+def summary_of_keys(keys: DataFrame) -> DataFrame:
+    """The columns of :func:`class_summary` from a key table: weighted sums per invoice and
+    class, then per class (a hot invoice's keys are combined before the shuffle)."""
     n = F.col(ROWS)
-    return keys.select(
-        CLASS_COL,
-        INVOICE,
-        n.alias("_rows"),
-        F.when(F.col(INVOICE).isNotNull(), n).otherwise(0).alias("_rows_with_invoice"),
-        F.when(F.col(AMOUNT).isNotNull(), n).otherwise(0).alias("_rows_with_amount"),
-        (F.col(AMOUNT) * n).alias("_amount_total"),
-    )
+    per_invoice = keys.groupBy(CLASS_COL, INVOICE).agg(
+        F.sum(n).alias("_rows"),
+        F.sum(F.when(F.col(AMOUNT).isNotNull(), n).otherwise(0)).alias("_with_amount"),
+        F.sum(F.col(AMOUNT) * n).alias("_total"))
+    named = F.col(INVOICE).isNotNull()
+    return per_invoice.groupBy(CLASS_COL).agg(
+        F.sum("_rows").alias("rows"),
+        F.sum(F.when(named, F.col("_rows")).otherwise(0)).alias("rows_with_invoice"),
+        F.sum("_with_amount").alias("rows_with_amount"),
+        F.count(INVOICE).alias("invoices"),
+        F.sum("_total").alias("total"))
+
+
+def _summary(source: DataFrame) -> DataFrame:
+    """``source`` is a summary already, or a key table."""
+    return summary_of_keys(source) if ROWS in source.columns else source
 
 
-def class_counts(keys: DataFrame) -> DataFrame:
+def class_counts(source: DataFrame) -> DataFrame:
     """Rows per class (A8)."""
-    return (keys.groupBy(CLASS_COL).agg(F.sum(ROWS).cast("bigint").alias("record_count"))
-            .orderBy(CLASS_COL))
+    return _summary(source).select(CLASS_COL, F.col("rows").cast("bigint").alias("record_count")).orderBy(CLASS_COL)
 
 
-def amount_exposure(keys: DataFrame) -> DataFrame:
+def amount_exposure(source: DataFrame) -> DataFrame:
     """Rows, total and average amount per class, rounded to cents (A9)."""
-    w = _weighted(keys)
-    agg = w.groupBy(CLASS_COL).agg(
-        F.sum("_rows").cast("bigint").alias("record_count"),
-        F.sum("_amount_total").alias("_total"),
-        F.sum("_rows_with_amount").alias("_with_amount"),
-    )
-    return agg.select(
+    return _summary(source).select(
         CLASS_COL,
-        "record_count",
-        F.col("_total").cast(MONEY).alias("total_amount"),
-        round_money_ratio(F.col("_total"), F.col("_with_amount")).alias("avg_amount"),
+        F.col("rows").cast("bigint").alias("record_count"),
+        F.col("total").cast(MONEY).alias("total_amount"),
+        round_money_ratio(F.col("total"), F.col("rows_with_amount")).alias("avg_amount"),
     ).orderBy(CLASS_COL)
 
 
-def class_report(keys: DataFrame) -> DataFrame:
+def class_report(source: DataFrame) -> DataFrame:
     """Per class: rows with an invoice id, distinct invoices, total amount (A11)."""
-    w = _weighted(keys)
-    return w.groupBy(CLASS_COL).agg(
-        F.sum("_rows_with_invoice").cast("bigint").alias("record_count"),
-        F.countDistinct(INVOICE).cast("bigint").alias("unique_invoices"),
-        F.sum("_amount_total").cast(MONEY).alias("total_amount"),
-    )
+    return _summary(source).select(
+        CLASS_COL,
+        F.col("rows_with_invoice").cast("bigint").alias("record_count"),
+        F.col("invoices").cast("bigint").alias("unique_invoices"),
+        F.col("total").cast(MONEY).alias("total_amount"))
 
 
-def run_totals(keys: DataFrame) -> DataFrame:
+def run_totals(source: DataFrame) -> DataFrame:
     """One row: total rows, anomalous rows, anomaly rate (0 for an empty input) (A10)."""
-    agg = keys.agg(
-        F.coalesce(F.sum(ROWS), F.lit(0)).cast("bigint").alias("total_records"),
-        F.coalesce(F.sum(F.when(F.col(CLASS_COL) != CLEAN, F.col(ROWS))), F.lit(0))
+    agg = _summary(source).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_records"),
+        F.coalesce(F.sum(F.when(F.col(CLASS_COL) != CLEAN, F.col("rows"))), F.lit(0))
         .cast("bigint").alias("anomalous_records"),
     )
     return agg.withColumn(
@@ -121,13 +120,14 @@ def _line(no: int, text: Column) -> Column:
     return F.struct(F.lit(no).alias("line_no"), text.alias("line"))
 
 
-def report_lines(keys: DataFrame, run_date: str, client: str = "XYZ") -> DataFrame:
+def report_lines(source: DataFrame, run_date: str, client: str = "XYZ") -> DataFrame:
     """The Markdown report as a DataFrame of (line_no, line) (K3).
 
     Only aggregated rows (one per class) feed it; write it with
     ``.orderBy("line_no").select("line").coalesce(1).write.text(path)``.
     """
-    totals = run_totals(keys)
+    source = _summary(source)
+    totals = run_totals(source)
     head = totals.select(F.explode(F.array(
         _line(0, F.lit(f"# {client} Invoice Anomaly Report")),
         _line(1, F.lit(f"**Client:** {client}  ")),
@@ -142,7 +142,7 @@ def report_lines(keys: DataFrame, run_date: str, client: str = "XYZ") -> DataFra
         _line(7, F.lit("|---|---|---|---|")),
         *[_line(200 + i, F.lit(text)) for i, text in enumerate(DEFINITIONS)],
     )).alias("l")).select("l.line_no", "l.line")
-    rows = class_report(keys).select(
+    rows = class_report(source).select(
         # a window over the (at most four) aggregated class rows, not over data
         (F.lit(100) + F.dense_rank().over(Window.orderBy(CLASS_COL))).alias("line_no"),
         markdown_row(F.col(CLASS_COL), F.col("record_count"), F.col("unique_invoices"),

@@ -150,13 +150,11 @@ def text_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     In the systems this engine serves, ``description`` is a stored column.
     Built on the fly, it would be a ten-expression string that Catalyst
-    inlines into every filter on a parsed field; landing it (under the shared work
-    folder, spread over the session's cores) gives the pipelines the stored column
-    they are meant to read.  Derived by Spark from lineitem ⋈ orders, so it grows
+    inlines into every filter on a parsed field; landing it under the shared work folder
+    gives the pipelines the stored column they are meant to read.  Derived by Spark from lineitem ⋈ orders, so it grows
     with them.  Every call lands it anew.
     """
-    rows = _text_invoice_rows(spark, sf_dir)
-    return written(rows.repartition(spark.sparkContext.defaultParallelism), "text_invoices")
+    return written(_text_invoice_rows(spark, sf_dir), "text_invoices")
 
 
 def description_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +260,7 @@ def commission_bands(spark: SparkSession) -> DataFrame:
 
 
 def settlement_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payment per ``purchase`` event; events of other types are no payments (FIXTURES)."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return ev.select(
         F.col("user_id").alias("case_id"),
