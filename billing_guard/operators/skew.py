@@ -51,7 +51,7 @@ def hot_shares(df: DataFrame, *key_lists: Sequence[str], parts: int | None = Non
     """For every list of key columns: hash of a hot key -> shares its rows are dealt over.
 
     One pass over the key columns for all lists.  A key is hot when it holds at least
-    ``1 / parts`` of all rows.
+    ``1 / parts`` of all rows (within an eighth, as the sketches see it).
     """
     spark = df.sparkSession
     parts = parts or HOT_PARTS * partitions(spark)
@@ -61,11 +61,16 @@ def hot_shares(df: DataFrame, *key_lists: Sequence[str], parts: int | None = Non
                      (F.spark_partition_id() % groups).alias("_group"))
     sketches = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), *[
         F.expr(f"approx_top_k(_h{i}, {entries}, {entries})").alias(f"_t{i}") for i in range(len(key_lists))])
-    listed = [F.transform(f"_t{i}", lambda t, i=i: F.struct(
-        F.lit(i).alias("which"), t["item"].alias("hash"), t["count"].alias("n"))) for i in range(len(key_lists))]
+
+    def candidates(i: int) -> Column:
+        # a hot key has a hot key's share in some groups; elsewhere it may go unseen below an eighth
+        seen = F.filter(f"_t{i}", lambda t: t["count"] * (8 * parts) >= F.col("_n"))
+        return F.transform(seen, lambda t: F.struct(
+            F.lit(i).alias("which"), t["item"].alias("hash"), t["count"].alias("n")))
+
     total = F.array(F.struct(F.lit(-1).alias("which"), F.lit(0).cast("long").alias("hash"),
                              F.col("_n").alias("n")))
-    found = (sketches.select(F.explode(F.concat(total, *listed)).alias("c"))
+    found = (sketches.select(F.explode(F.concat(total, *map(candidates, range(len(key_lists))))).alias("c"))
              .groupBy("c.which", "c.hash").agg(F.sum("c.n").alias("n"))
              .orderBy(F.col("n").desc()).limit(1 + parts * len(key_lists)).collect())
     all_rows = next((r.n for r in found if r.which == -1), 0)

@@ -107,14 +107,30 @@ def _hot_facts(df: DataFrame, hot: list[dict[int, int]], weight: Column) -> tupl
             .agg(F.min(CASE).alias("_case_lo"), F.max(CASE).alias("_case_hi"),
                  F.min(AMOUNT).alias("_amount_lo"), F.max(AMOUNT).alias("_amount_hi"),
                  F.sum(weight).alias("_n")))
-    local = df.sparkSession.createDataFrame(rows.collect(), rows.schema)
-    invoices = local.groupBy(INVOICE).agg(
-        F.min("_case_lo").alias("_hot_case_lo"), F.max("_case_hi").alias("_hot_case_hi"))
-    pairs = local.where(_HOT_PAIR).groupBy(INVOICE, F.col("_case").alias(CASE)).agg(
-        F.min("_amount_lo").alias("_hot_amount_lo"), F.max("_amount_hi").alias("_hot_amount_hi"))
-    keys = local.where(_HOT_KEY).select(
-        INVOICE, F.col("_case").alias(CASE), F.col("_amount").alias(AMOUNT), F.col("_n").alias("_hot_n"))
-    return invoices, pairs, keys
+    invoices, pairs, keys = {}, {}, []
+    for r in rows.collect():
+        _widen(invoices, (r[INVOICE],), r["_case_lo"], r["_case_hi"])
+        if r[_HOT_PAIR]:
+            _widen(pairs, (r[INVOICE], r["_case"]), r["_amount_lo"], r["_amount_hi"])
+        if r[_HOT_KEY]:
+            keys.append((r[INVOICE], r["_case"], r["_amount"], r["_n"]))
+    types = {k: df.schema[k].dataType.simpleString() for k in KEYS}
+
+    def local(held: list, names: list[str], facts: str) -> DataFrame:
+        return df.sparkSession.createDataFrame(held, ", ".join(f"{k} {types[k]}" for k in names) + ", " + facts)
+
+    return (local([k + v for k, v in invoices.items()], [INVOICE],
+                  f"_hot_case_lo {types[CASE]}, _hot_case_hi {types[CASE]}"),
+            local([k + v for k, v in pairs.items()], [INVOICE, CASE],
+                  f"_hot_amount_lo {types[AMOUNT]}, _hot_amount_hi {types[AMOUNT]}"),
+            local(keys, KEYS, "_hot_n long"))
+
+
+def _widen(held: dict, key: tuple, lo, hi) -> None:
+    """Widen a key's (least, greatest) by another pair; None is no value."""
+    before = held.get(key, (None, None))
+    held[key] = tuple(pick((v for v in pair if v is not None), default=None)
+                      for pick, pair in ((min, (before[0], lo)), (max, (before[1], hi))))
 
 
 def _attach(df: DataFrame, facts: DataFrame, keys: list[str], mark: str) -> DataFrame:
@@ -146,7 +162,8 @@ def flagged(df: DataFrame, weight: Column | None = None) -> DataFrame:
         group = _GROUP
     else:
         rows, group = df, [INVOICE]
-    rows = rows.repartition(*group)  # clusters all windows below: one exchange in total
+    # clusters and orders all windows below: one exchange and one sort in total
+    rows = rows.repartition(*group).sortWithinPartitions(*group, CASE, AMOUNT)
     in_group, in_pair, in_key = (Window.partitionBy(*group, *more) for more in ([], [CASE], [CASE, AMOUNT]))
     case_lo, case_hi = F.min(CASE).over(in_group), F.max(CASE).over(in_group)
     amount_lo, amount_hi = F.min(AMOUNT).over(in_pair), F.max(AMOUNT).over(in_pair)

@@ -125,7 +125,8 @@ def _invoice_id() -> Column:
 
 def _text_invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column the text-invoice stand-ins need, one row per lineitem."""
-    rows = _lineitem_orders(spark, sf_dir, ("l_extendedprice", "l_discount", "l_returnflag"))
+    # the given file has few row groups: even parts, sized by the data, before the text is built
+    rows = _lineitem_orders(spark, sf_dir, ("l_extendedprice", "l_discount", "l_returnflag")).hint("rebalance")
     price = _money(F.col("l_extendedprice"))
     net = F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
     actual = (F.when(F.col("l_returnflag") == "R", F.lit(0))
