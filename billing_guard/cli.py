@@ -5,9 +5,9 @@
                   --output DIR [--report-dir DIR] [--client-id N] [--run-date D]
     settlement    --tables-dir DIR --client-id N --as-of D --output DIR
 
-Every job reads with explicit schemas, writes Parquet, and prints its metrics as
-``KEY=value`` lines (the only rows brought to the driver are one-row metrics
-and the few report lines).
+Every job reads with explicit schemas, writes its results beside the old ones and puts
+them in place when they are whole, and prints its metrics as ``KEY=value`` lines.  Counts
+are observed by the jobs that write; only such one-row metrics reach the driver.
 """
 
 from __future__ import annotations
@@ -16,56 +16,68 @@ import argparse
 import sys
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from billing_guard.operators.sinks import read_partitioned, write_partitioned
-from billing_guard.operators.structural import classify_structural
+from billing_guard.operators.band_join import overlapping_bands
+from billing_guard.operators.sinks import read_partitioned, replace_whole, write_partitioned
+from billing_guard.operators.structural import CLEAN, classify_structural
 from billing_guard.plans import descriptions as desc
 from billing_guard.plans import settlement as settle
 from billing_guard.plans import structural as struct
-from billing_guard.session import build_session, delete_work, work_count, written
+from billing_guard.session import build_session, delete_work, work_count, written, written_observed
 from billing_guard.sources import schemas
-from billing_guard.sources.files import MALFORMED, read_invoices_csv
+from billing_guard.sources.files import MALFORMED, RECORD, read_invoices_csv
 from billing_guard.sources.jdbc import read_invoice_text_jdbc
 from billing_guard.sources.testdata import SettlementInputs
 
-SETTLEMENT_TABLES = ("cases", "invoice", "case_attribute", "debtor", "persons", "ptp",
-                     "commission_bands", "payments")
+#: name and schema of the settlement's input tables
+SETTLEMENT_TABLES = {
+    "cases": schemas.CASES, "invoice": schemas.SETTLEMENT_INVOICE, "case_attribute": schemas.CASE_ATTRIBUTE,
+    "debtor": schemas.DEBTOR, "persons": schemas.PERSONS, "ptp": schemas.PTP,
+    "commission_bands": schemas.COMMISSION_BANDS, "payments": schemas.PAYMENTS}
 
 
 def _write_lines(lines: DataFrame, path: str) -> None:
     # a report is a handful of aggregated lines: one file is the readable form
-    lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
+    ordered = lines.orderBy("line_no").select("line").coalesce(1)
+    replace_whole(lines.sparkSession, path, ordered.write.text)
     print(f"REPORT_PATH={path}")
 
 
 def run_structural_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """One pass over the input: it is landed, classified and written once; every report
-    comes from the written classes."""
-    landed = written(read_invoices_csv(spark, args.input, mark_malformed=True), "invoices")
-    malformed = landed.where(F.size(MALFORMED) > 0)
-    df = landed.where(F.size(MALFORMED) == 0).drop(MALFORMED)
-    rows = schemas.require_valid(df)
-    print(f"Total records loaded: {rows}")
-    bad = malformed.count()
-    print(f"MALFORMED_ROWS={bad}")
-    if bad:
-        malformed.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}_malformed")
-    write_partitioned(classify_structural(df, strategy=args.strategy), args.output, struct.CLASS_COL)
-    keys = written(struct.keys_of_classified(read_partitioned(spark, args.output)), "written_keys")
-    struct.class_counts(keys).show()
-    struct.amount_exposure(keys).show()
+    """One pass over the input: it is landed, classified and written once; every count comes
+    from the job that writes, every report from the written classes."""
+    given = read_invoices_csv(spark, args.input, mark_malformed=True)
+    schemas.require_columns(given)
+    landed, seen = written_observed(
+        given, "invoices", rows=F.count_if(F.size(MALFORMED) == 0),
+        malformed=F.count_if(F.size(MALFORMED) > 0), broken=F.count_if(F.array_contains(MALFORMED, RECORD)))
+    print(f"Total records loaded: {schemas.require_rows(seen['rows'])}")
+    print(f"MALFORMED_ROWS={seen['malformed']}")
+    print(f"BROKEN_RECORDS={seen['broken']}")
+    if seen["malformed"]:
+        bad = landed.where(F.size(MALFORMED) > 0)
+        replace_whole(spark, f"{args.output.rstrip('/')}_malformed", bad.write.parquet)
+    df = landed.where(F.size(MALFORMED) == 0).drop(MALFORMED, RECORD)
+    found = Observation("classes")
+    write_partitioned(
+        classify_structural(df, strategy=args.strategy), args.output, struct.CLASS_COL, observation=found,
+        observed=(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(struct.CLASS_COL) != CLEAN).alias("anomalies")))
+    summary = written(struct.summary_of_classified(read_partitioned(spark, args.output)), "class_summary")
+    struct.class_counts(summary).show()
+    struct.amount_exposure(summary).show()
     if args.report_dir:
-        _write_lines(struct.report_lines(keys, args.run_date), f"{args.report_dir}/report_{args.run_date}")
-    alert = struct.rate_alert(struct.run_totals(keys)).first()
-    print(f"ANOMALY_COUNT={alert['anomalous_records']}")
+        _write_lines(struct.report_lines(summary, args.run_date), f"{args.report_dir}/report_{args.run_date}")
+    alert = struct.rate_alert(struct.run_totals(summary)).first()
+    print(f"ANOMALY_COUNT={found.get['anomalies']}")
     print(f"ANOMALY_RATE={alert['anomaly_rate']:.4f}")
     print(f"ALERT={str(alert['alert']).lower()}")
 
 
 def run_descriptions_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """One read of the source: the classified rows are landed once, without the text."""
+    """One read of the source: the classified rows are landed once, without the text, and
+    counted as they are written."""
     if args.parquet:
         texts = spark.read.schema(schemas.INVOICE_TEXT).parquet(args.parquet)
     else:
@@ -73,37 +85,51 @@ def run_descriptions_job(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, url=args.jdbc_url, user=args.db_user, password=args.db_password,
             client_id=args.client_id, lower_bound=args.lower_bound, upper_bound=args.upper_bound,
             num_partitions=args.num_partitions)
-    classified = written(desc.analyse_descriptions(texts), "classified_texts")
+    classified, seen = written_observed(
+        desc.analyse_descriptions(texts), "classified_texts",
+        total_records=F.count(F.lit(1)), anomaly_count=F.count_if(F.col("is_anomaly")))
     desc.reason_counts(classified).show()
     desc.write_anomalies(classified, args.output)
     if args.report_dir:
-        base = f"{args.report_dir}/description_anomalies_{args.run_date}"
-        m = desc.anomaly_metrics(classified).first()
-        detail = f"{base}_detail" if m["anomaly_count"] else None
-        if detail:
-            desc.anomaly_detail(classified).write.mode("overwrite").parquet(detail)
-        _write_lines(desc.report_lines(classified, args.run_date, args.client_id, detail), base)
-    m = desc.anomaly_metrics(classified).first()
+        path = f"{args.report_dir}/description_anomalies_{args.run_date}"
+        desc.write_document(desc.report_document(classified, args.run_date, args.client_id), path)
+        print(f"REPORT_PATH={path}")
+    m = desc.metrics_of_counts(spark.createDataFrame(
+        [(seen["total_records"], seen["anomaly_count"])], "total_records long, anomaly_count long")).first()
     print(f"ANOMALY_COUNT={m['anomaly_count']}")
     print(f"ANOMALY_RATE={m['anomaly_rate_text']}")
     print(f"ALERT={str(m['alert']).lower()}")
 
 
 def run_settlement_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = {name: spark.read.parquet(f"{args.tables_dir}/{name}") for name in SETTLEMENT_TABLES}
+    """Read with explicit schemas, check the data for what would multiply rows, settle."""
+    tables = {name: spark.read.schema(schema).parquet(f"{args.tables_dir}/{name}")
+              for name, schema in SETTLEMENT_TABLES.items()}
     inputs = SettlementInputs(
         cases=tables["cases"], invoices=tables["invoice"],
         case_attributes=tables["case_attribute"], debtors=tables["debtor"],
         persons=tables["persons"], ptp=tables["ptp"], bands=tables["commission_bands"],
         payments=tables["payments"])
     as_of = date.fromisoformat(args.as_of)
-    report = settle.settle(inputs, args.client_id, as_of)
-    report.write.mode("overwrite").parquet(args.output)
-    written = spark.read.parquet(args.output)
-    totals = written.agg(F.count(F.lit(1)).alias("n"),
-                         F.sum("valor_comissao").alias("commission")).first()
-    print(f"SETTLEMENT_ROWS={totals['n']}")
-    print(f"COMMISSION_TOTAL={totals['commission']}")
+    steps = settle.settlement_steps(inputs, args.client_id, as_of)
+    fan_out = settle.duplicate_attributes(inputs.case_attributes)
+    overlaps = overlapping_bands(steps.bands.withColumn("client_id", F.lit(args.client_id)),
+                                 "dpd_on_payment_day_from", "dpd_on_payment_day_to", ["client_id"])
+    print(f"CASES_WITH_SEVERAL_LIVE_DPD={fan_out.count()}")
+    overlapping = overlaps.count()
+    print(f"OVERLAPPING_BANDS={overlapping}")
+    if overlapping and not args.allow_overlaps:
+        raise ValueError("overlapping commission bands would pay a commission twice; see --allow-overlaps")
+    steps.dedup = written(steps.dedup, "settlement_rows")
+    wide = settle.wide_invoices(steps.dedup).first()
+    if wide is not None:
+        raise ValueError(f"invoice {wide['invoice_id']} has {wide['titles']} titles: too many for one list")
+    totals = Observation("settlement")
+    report = settle.ordered(steps.report).observe(
+        totals, F.count(F.lit(1)).alias("n"), F.sum("valor_comissao").alias("commission"))
+    replace_whole(spark, args.output, report.write.parquet)
+    print(f"SETTLEMENT_ROWS={totals.get['n']}")
+    print(f"COMMISSION_TOTAL={totals.get['commission']}")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -126,7 +152,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--lower-bound", type=int)
     d.add_argument("--upper-bound", type=int)
     d.add_argument("--num-partitions", type=int,
-                   help="parallel JDBC reads over invoice_id (needs the bounds); 1 for a single connection")
+                   help="parallel JDBC reads over invoice_id (the session's parallelism by default; "
+                        "bounds that are not given are asked of the database); 1 for a single connection")
     d.add_argument("--client-id", type=int, default=1)
     d.add_argument("--output", required=True, help="Parquet folder of anomalies, one per reason")
     d.add_argument("--report-dir")
@@ -138,6 +165,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--client-id", type=int, required=True)
     c.add_argument("--as-of", required=True, help="settlement date, YYYY-MM-DD")
     c.add_argument("--output", required=True)
+    c.add_argument("--allow-overlaps", action="store_true",
+                   help="settle although commission bands overlap (a value then gets several rates)")
 
     args = parser.parse_args(argv)
     if args.job == "descriptions" and not (args.parquet or args.jdbc_url):

@@ -21,6 +21,12 @@ def fixed_4dp(value: Column) -> Column:
     return F.format_string("%.4f", value)
 
 
+def markdown_cell(value: Column) -> Column:
+    """Text of a table cell: empty for NULL, bars escaped, line breaks as blanks."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), r"[\r\n]+", " ")
+
+
 def markdown_row(*cells: Column) -> Column:
     """``| a | b | c |`` from string-convertible cells."""
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[c.cast("string") for c in cells]),

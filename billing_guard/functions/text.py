@@ -29,6 +29,8 @@ TITLE_FALLBACK_LABEL = "Titulo:"
 POSITIONAL_WINDOW = 50
 #: width of the window read after the DPD label by the positional form
 DPD_WINDOW = 20
+#: what follows a label: the rest of its line, a signed number, a run of digits and signs
+REST_OF_LINE, SIGNED_NUMBER, DIGITS_AND_SIGNS = r"\s*([^\r\n]+)", r"\s*(-?\d+)", r"^[0-9\-]*"
 # ---------------------------------------------------------------------------
 
 
@@ -54,13 +56,13 @@ def _locate(text: Column, label: str, ignore_case: bool) -> Column:
 # --------------------------------------------------------------------------
 def label_line(text: Column, label: str, ignore_case: bool = False) -> Column:
     """Trimmed rest of the line after ``label`` (``''`` when the label is absent)."""
-    pattern = _flags(ignore_case) + re.escape(label) + r"\s*([^\r\n]+)"
+    pattern = _flags(ignore_case) + re.escape(label) + REST_OF_LINE
     return F.trim(F.regexp_extract(text, pattern, 1))
 
 
 def dpd_line(text: Column, ignore_case: bool = False) -> Column:
     """Signed integer after ``DPD:``; NULL when missing or out of int range."""
-    pattern = _flags(ignore_case) + re.escape(DPD_LABEL) + r"\s*(-?\d+)"
+    pattern = _flags(ignore_case) + re.escape(DPD_LABEL) + SIGNED_NUMBER
     return F.regexp_extract(text, pattern, 1).try_cast("int")
 
 
@@ -108,7 +110,7 @@ def dpd_window(text: Column, empty_as_zero: bool = True, ignore_case: bool = Fal
     """
     start = _locate(text, DPD_LABEL, ignore_case) + F.lit(len(DPD_LABEL))
     rest = F.ltrim(text.substr(start, F.lit(DPD_WINDOW)))
-    digits = F.regexp_extract(rest, r"^[0-9\-]*", 0)
+    digits = F.regexp_extract(rest, DIGITS_AND_SIGNS, 0)
     parsed = digits.try_cast("int")
     if not empty_as_zero:
         return parsed

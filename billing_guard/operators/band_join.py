@@ -36,7 +36,8 @@ def overlapping_bands(bands: DataFrame, lo: str, hi: str, keys: list[str] | None
 
     Bands are ordered by start; a band overlaps when its start is not after the
     largest end among the bands before it.  Empty when the table is consistent.
-    A running maximum, so no pairs of bands are formed.
+    A running maximum, so no pairs of bands are formed.  Without ``keys`` all bands meet in
+    one task: name the rate table's keys (the tenant) wherever it has any.
     """
     keys = keys or []
     earlier = (Window.partitionBy(*keys).orderBy(F.col(lo), F.col(hi))

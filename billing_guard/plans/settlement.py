@@ -201,8 +201,8 @@ def invoice_aggregate(dedup: DataFrame, as_of: date = DEFAULT_AS_OF) -> DataFram
         F.max("vencimento_original").alias("vencimento_original"),
         F.max("vencimento_description").alias("data_vencimento"),
         F.max("update_date").alias("update_date"),
-        # titles of the invoice, sorted; NULLs skipped, '' kept (as STRING_AGG)
-        F.array_sort(F.collect_list("codigo_titulo")).alias("_titles"),
+        # titles of the invoice in order; NULLs skipped, '' kept (see wide_invoices for its bound)
+        F.expr("listagg(codigo_titulo, ',') WITHIN GROUP (ORDER BY codigo_titulo)").alias("codigo_titulo"),
     )
     actual, original = F.col("actual_capital_total"), F.col("original_capital_total")
     overdue = dates.days_until(F.col("data_vencimento"), as_of)
@@ -217,11 +217,27 @@ def invoice_aggregate(dedup: DataFrame, as_of: date = DEFAULT_AS_OF) -> DataFram
         F.when(F.col("data_vencimento").isNotNull(), overdue)
         .when(F.col("dpd_invoice").isNull(), F.col("live_dpd"))
         .otherwise(F.col("dpd_invoice")).cast("int").alias("dpd_final"),
-        F.when(F.size("_titles") > 0, F.array_join("_titles", ",")).alias("codigo_titulo"),
+        "codigo_titulo",
         fase_label(overdue).alias("fase"),
     )
 
 
+#: the most characters that one invoice's list of titles may have
+TITLES_LIMIT = 100_000_000
+
+
+def wide_invoices(dedup: DataFrame, limit: int = TITLES_LIMIT) -> DataFrame:
+    """Data check: invoices whose titles are too many for one list of ``limit`` characters.
+
+    A list is as long as its group by definition, and one task holds it; this check is a
+    partial sum per invoice, so it finds such an invoice without building the list.
+    """
+    size = F.sum(F.length("codigo_titulo") + 1)
+    return (dedup.where(F.col("codigo_titulo").isNotNull()).groupBy(*GROUP_KEYS)
+            .agg(F.count(F.lit(1)).alias("titles"), size.alias("title_chars"))
+            .where(F.col("title_chars") > limit))
+
+
 # 9 -------------------------------------------------------------------------
 def paid_per_case_day(agg: DataFrame) -> DataFrame:
     return (agg.where(F.col("valor_pago_invoice") > 0)
@@ -382,7 +398,10 @@ def settlement_steps(inputs: SettlementInputs, client_id: int, as_of: date = DEF
 def settle(inputs: SettlementInputs, client_id: int, as_of: date = DEFAULT_AS_OF,
            **kwargs) -> DataFrame:
     """The settlement report, ordered by case and invoice number."""
-    report = settlement_steps(inputs, client_id, as_of, **kwargs).report
+    return ordered(settlement_steps(inputs, client_id, as_of, **kwargs).report)
+
+
+def ordered(report: DataFrame) -> DataFrame:
     return report.orderBy(F.col("case_id").asc_nulls_first(),
                           F.col("invoice_number").asc_nulls_first(),
                           F.col("invoice_id").asc_nulls_first())

@@ -1,8 +1,8 @@
 """Pipeline A: structural anomalies of invoice imports, reports and alert gate.
 
 Reports (class counts, amount exposure, per-class report, rate) are formatted from one
-summary row per class (:func:`class_summary`, one exchange of three columns), or from the
-key table of :func:`key_classes`, or from classified rows that were written.
+summary row per class: of rows (``class_summary``, one exchange of three columns), of a key
+table (``key_classes``) or of classified rows that were written.
 """
 
 from __future__ import annotations
@@ -22,13 +22,17 @@ from billing_guard.operators.structural import (
     KEYS,
     ROWS,
     classify_structural,
-    key_classes,
 )
+from billing_guard.session import written_observed
 from billing_guard.sources.files import read_invoices_csv
-from billing_guard.sources.schemas import MONEY, require_valid
+from billing_guard.sources.schemas import MONEY, require_columns, require_rows
 
 #: alert when more than this share of rows is anomalous
 ANOMALY_RATE_THRESHOLD = 0.10
+# --- fixed values: headings of the report -----------------------------------
+BREAKDOWN_TITLE = "## Breakdown by Anomaly Type"
+BREAKDOWN_HEAD = ("| Anomaly Type | Records | Unique Invoices | Total Amount |", "|---|---|---|---|")
+# ---------------------------------------------------------------------------
 #: closing section of the report
 DEFINITIONS = (
     "## Anomaly Definitions",
@@ -45,6 +49,12 @@ def keys_of_classified(classified: DataFrame) -> DataFrame:
     return classified.groupBy(*KEYS, CLASS_COL).agg(F.count(F.lit(1)).alias(ROWS))
 
 
+def summary_of_classified(classified: DataFrame) -> DataFrame:
+    """The columns of :func:`class_summary` from rows that carry their class: one partial sum
+    per invoice and class, then per class."""
+    return summary_of_keys(classified.withColumn(ROWS, F.lit(1)))
+
+
 def summary_of_keys(keys: DataFrame) -> DataFrame:
     """The columns of :func:`class_summary` from a key table: weighted sums per invoice and
     class, then per class (a hot invoice's keys are combined before the shuffle)."""
@@ -137,9 +147,9 @@ def report_lines(source: DataFrame, run_date: str, client: str = "XYZ") -> DataF
         _line(4, F.concat(F.lit("**Anomalous records:** "),
                           F.col("anomalous_records").cast("string"), F.lit(" ("),
                           percent_1dp(F.col("anomaly_rate")), F.lit(")  "))),
-        _line(5, F.lit("## Breakdown by Anomaly Type")),
-        _line(6, F.lit("| Anomaly Type | Records | Unique Invoices | Total Amount |")),
-        _line(7, F.lit("|---|---|---|---|")),
+        _line(5, F.lit(BREAKDOWN_TITLE)),
+        _line(6, F.lit(BREAKDOWN_HEAD[0])),
+        _line(7, F.lit(BREAKDOWN_HEAD[1])),
         *[_line(200 + i, F.lit(text)) for i, text in enumerate(DEFINITIONS)],
     )).alias("l")).select("l.line_no", "l.line")
     rows = class_report(source).select(
@@ -163,15 +173,17 @@ class StructuralRun:
 def run_structural(spark: SparkSession, input_csv: str, output_path: str,
                    strategy: str = "aggregate") -> StructuralRun:
     """End-to-end job: validate, classify, write partitioned by class, summarize."""
-    df = read_invoices_csv(spark, input_csv)
-    rows = require_valid(df)
-    keys = key_classes(df)
-    classified = classify_structural(df, strategy=strategy)
-    write_partitioned(classified, output_path, CLASS_COL)
+    given = read_invoices_csv(spark, input_csv)
+    require_columns(given)
+    landed, seen = written_observed(given, "invoices", rows=F.count(F.lit(1)))
+    require_rows(seen["rows"])
+    write_partitioned(classify_structural(landed, strategy=strategy), output_path, CLASS_COL)
+    classified = read_partitioned(spark, output_path)
+    summary = summary_of_classified(classified)
     return StructuralRun(
-        rows_read=rows,
-        classified=read_partitioned(spark, output_path),
-        counts=class_counts(keys),
-        exposure=amount_exposure(keys),
-        alert=rate_alert(run_totals(keys)),
+        rows_read=seen["rows"],
+        classified=classified,
+        counts=class_counts(summary),
+        exposure=amount_exposure(summary),
+        alert=rate_alert(run_totals(summary)),
     )

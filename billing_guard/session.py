@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings a batch run of these pipelines wants.  AQE re-plans joins at runtime
 # (broadcast when a shuffle stage turns out small, split skewed partitions) and
@@ -87,6 +87,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_observed(df: DataFrame, name: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """:func:`written`, with aggregates that the writing job takes of the rows it writes.
+
+    They stand on top of the plan, in the tasks that write, whose figures Spark counts
+    once whatever is retried.
+    """
+    observation = Observation(name)
+    landed = written(df.observe(observation, *[c.alias(k) for k, c in aggregates.items()]), name)
+    return landed, observation.get
+
+
 def work_count() -> int:
     """How many paths :func:`work_path` has given out and not deleted."""
     return len(_MADE)
@@ -113,4 +124,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["build_session", "work_root", "work_path", "written", "delete_work", "work_count", "local_path", "path_exists"]
+__all__ = ["build_session", "work_root", "work_path", "written", "written_observed", "delete_work", "work_count", "local_path", "path_exists"]

@@ -130,12 +130,24 @@ def validate_input(df: DataFrame, required=REQUIRED_INVOICE_COLUMNS) -> DataFram
     )
 
 
-def require_valid(df: DataFrame, required=REQUIRED_INVOICE_COLUMNS) -> int:
-    """Raise on missing columns or an empty input; return the row count."""
+def require_columns(df: DataFrame, required=REQUIRED_INVOICE_COLUMNS) -> None:
+    """Raise on missing columns (no Spark job)."""
     missing = missing_columns(df, required)
     if missing:
         raise ValueError(f"Missing columns in input: {missing}")
-    rows = df.count()
+
+
+def require_rows(rows: int) -> int:
+    """Raise on an empty input."""
     if rows == 0:
         raise ValueError("Input is empty")
     return rows
+
+
+def require_valid(df: DataFrame, required=REQUIRED_INVOICE_COLUMNS) -> int:
+    """Raise on missing columns or an empty input; return the row count.
+
+    Counts with a job of its own; jobs that land their input take the count from there.
+    """
+    require_columns(df, required)
+    return require_rows(df.count())
