@@ -1,16 +1,21 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read into text nodes, each with its root-to-leaf tag path.  Per path the
-text length and the punctuation count are divided by the number of its nodes (text-
-to-path and punctuation-to-path ratios); link text counts against its path.  The two
-ratios are smoothed over the page's order with a Gaussian, fused by multiplication and
-weighted by what the markup says: article and main elements speak for a path, class, id
-and role names of menus, sidebars, notices, adverts and reader comments against it,
-unless the element so named holds most of the page's text and of its articles'.  Nodes above a share of the
-page's deviation are content, on every page and wherever they lie.  The element that
-holds all of them bounds the article: its other nodes belong to it too (short paragraphs
-and headings score low by themselves) unless a name speaks against them.  Nodes in
-elements that never hold an article (nav, footer, aside, forms) are not looked at.
+A page is read into elements, each linked to its parent, and text nodes.  Per path (the
+tags from the root to a text) the text length and the punctuation count are divided by the
+number of its nodes (text-to-path and punctuation-to-path ratios); link text counts
+against its path.  The two ratios are smoothed over the page's order with a Gaussian, fused
+by multiplication and weighted by what the markup says: article and main elements speak
+for a path, class, id and role names of what surrounds an article against it.  Names of
+menus, adverts, dialogs and reader comments always do, unless their element holds the
+page's first article element or its h1.  Names that content carries too (sidebar-right,
+tag-news, legal, related) do not where their element holds most of the page's text and of
+its articles', nor inside an article unless the text agrees: mostly links, or short beside
+the article's.  Nodes above a share of the page's deviation are content, on every page and
+wherever they lie.  The element that holds all of them bounds the article: its other nodes
+belong to it too (short paragraphs and headings score low by themselves) unless a name
+speaks against them.  Nodes in elements that never hold an article (nav, footer, aside,
+forms) are not looked at.  Everything is summed from children to parents and handed down
+again, so time and memory are linear in the page whatever its depth.
 
 Blocks: a text node run between block tags.  Character references are decoded after
 the tags are gone, white space inside a block becomes one space, empty blocks vanish,
@@ -44,14 +49,17 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose text is never the article's.
 _FURNITURE = frozenset("""head nav footer aside form menu dialog button select option label input
 title fieldset legend address""".split())
-#: Names, in class, id or role, of what surrounds an article.
+#: Names, in class, id or role, of what is never an article's text ...
 _FURNITURE_NAME = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|"
-    r"breadcrumbs?|side\w*|footer\w*|foot|header|masthead|comments?\w*|replies|reply|disqus|respond|"
-    r"notices?|cookies?\w*|consent|gdpr|alert|popup|modal|overlay|newsletter|subscribe|signup|login|"
-    r"search\w*|share\w*|sharing|social\w*|related\w*|recommend\w*|widgets?|toolbar|pagination|"
-    r"pager|tags?|copyright|legal|disclaimer|skip\w*|hidden|complementary|contentinfo|navigation)"
+    r"breadcrumbs?|footer\w*|comments?\w*|replies|reply|disqus|respond|"
+    r"cookies?\w*|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|"
+    r"share\w*|sharing|social\w*|pagination|pager|hidden|complementary|contentinfo|navigation)"
     r"(?:$|[\s_-])", re.I)
+#: ... and of what often surrounds one, but may also name a part or a kind of it.
+_DOUBTFUL_NAME = re.compile(
+    r"(?:^|[\s_-])(?:side\w*|foot|header|masthead|notices?|alert|overlay|search\w*|related\w*|"
+    r"recommend\w*|widgets?|toolbar|tags?|copyright|legal|disclaimer|skip\w*)(?:$|[\s_-])", re.I)
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -66,17 +74,37 @@ _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _FOR, _AGAINST = 2.0, 0.1  # weights of a path in an article element, and under a furniture name
 
 
-@dataclass
+@dataclass(eq=False, slots=True)
+class Element:
+    """A block element; the page itself is the one without a parent."""
+
+    parent: "Element | None" = None
+    tag: str = ""
+    path: int = 0             # one number for all elements with the same tags and names up to the root
+    depth: int = 0
+    furniture: bool = False   # in an element whose text is never the article's
+    against: bool = False     # its name always speaks against it
+    doubtful: bool = False    # its name may speak against it
+    article: bool = False     # in an article or main element (one of comments and the like does not count)
+    first: bool = False       # holds the page's first article element or its h1
+    dropped: bool = False     # a name speaks against it or what holds it
+    certain: bool = False     # and without a doubt
+    inside: bool = False      # in the element that holds all content
+    text: int = 0             # characters in it, links left out
+    articles: int = 0         # those of them in article elements
+    links: int = 0            # characters of links in it
+    nodes: int = 0            # text nodes in it
+    content: int = 0          # content nodes in it
+
+
+@dataclass(eq=False, slots=True)
 class Node:
     """A run of text between tags."""
 
-    path: tuple[str, ...]     # tags from the root, inline tags left out
-    spot: tuple[int, ...]     # the same elements by number
+    element: Element
     block: int                # runs of one block share it
     text: str
-    furniture: bool
     link: bool
-    named: tuple[int, ...] = ()  # those of the elements with a furniture name
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -84,31 +112,32 @@ def _label(tag: str, attributes: str) -> str:
     return f"{tag}.{names.lower()}" if names else tag
 
 
-def _named(names: str) -> bool:
-    return _FURNITURE_NAME.search(_HAVING.sub("", names)) is not None
-
-
 def _hidden(attributes: str) -> bool:
     return bool(_HIDDEN.search(attributes)) and (
         _HIDDEN.search(_QUOTED.sub('""', attributes)) is not None
         or re.search(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes, re.I) is not None)
 
 
-def text_nodes(page: str) -> list[Node]:
-    """The page's text runs in order."""
-    nodes: list[Node] = []
-    stack: list[tuple[str, str, int, bool, bool]] = []   # tag, label, number, furniture, named
-    numbers = block = 0
-    links = 0
-    place = 0
+def read_page(page: str) -> tuple[list[Element], list[Node]]:
+    """The page's elements, parents before children, and its text runs in order."""
+    top = Element()
+    elements, nodes, stack = [top], [], [top]
+    paths: dict[tuple[int, str], int] = {}
+    is_open: dict[str, int] = {}           # open elements by tag
+    seen_first: set[str] = set()
+    block = links = place = 0
 
     def add(text: str) -> None:
         if text and not text.isspace():
-            nodes.append(Node(tuple(s[1] for s in stack), tuple(s[2] for s in stack), block, text,
-                              bool(stack) and stack[-1][3], links > 0, tuple(s[2] for s in stack if s[4])))
+            nodes.append(Node(stack[-1], block, text, links > 0))
         elif text and nodes and nodes[-1].block == block:
             nodes[-1].text += " "  # white space between inline elements
 
+    def close(k: int) -> None:
+        for e in stack[k:]:
+            is_open[e.tag] -= 1
+        del stack[k:]
+
     while place < len(page):
         found = _TAG.search(page, place)
         if not found:
@@ -124,9 +153,11 @@ def text_nodes(page: str) -> list[Node]:
                 links = max(0, links - 1)
             elif tag in _BLOCKS:
                 block += 1
-                if any(s[0] == tag for s in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+                if is_open.get(tag):
+                    k = len(stack) - 1
+                    while stack[k].tag != tag:
+                        k -= 1
+                    close(k)
                     links = 0
             continue
         if tag in _RAW:
@@ -141,76 +172,98 @@ def text_nodes(page: str) -> list[Node]:
                 nodes[-1].text += " "  # a line break inside a block is white space
         elif tag in _BLOCKS:
             block += 1
-            _close_implied(stack, tag)
+            close(_implied_end(stack, is_open, tag))
             if tag not in _VOID:
-                numbers += 1
-                inside = [s[0] for s in stack]
+                parent = stack[-1]
                 label = _label(tag, found[3])
-                outside_article = not any(t in _ARTICLE_FIRST for t in inside)
-                furniture = ((bool(stack) and stack[-1][3]) or tag in _FURNITURE
-                             or (tag == "header" and outside_article)
-                             or (bool(found[3]) and tag not in ("html", "body") and _hidden(found[3])))
-                named = "." in label and tag not in ("html", "body") and _named(label.split(".", 1)[1])
-                stack.append((tag, label, numbers, furniture, named))
+                names = _HAVING.sub("", label.split(".", 1)[1]) if "." in label and tag not in ("html", "body") else ""
+                against = bool(names) and _FURNITURE_NAME.search(names) is not None
+                doubtful = bool(names) and not against and _DOUBTFUL_NAME.search(names) is not None
+                outside_article = not any(is_open.get(t) for t in _ARTICLE_FIRST)
+                e = Element(
+                    parent, tag, paths.setdefault((parent.path, label), len(paths) + 1), parent.depth + 1,
+                    (parent.furniture or tag in _FURNITURE or (tag == "header" and outside_article)
+                     or (bool(found[3]) and tag not in ("html", "body") and _hidden(found[3]))),
+                    against, doubtful,
+                    parent.article or (tag in _ARTICLE_FIRST and not against and not doubtful))
+                kind = "article" if tag in _ARTICLE_FIRST else tag
+                if kind in ("article", "h1") and kind not in seen_first and not e.furniture:
+                    seen_first.add(kind)
+                    e.first = not (against and kind == "article")
+                elements.append(e)
+                stack.append(e)
+                is_open[tag] = is_open.get(tag, 0) + 1
                 links = 0
-    return nodes
-
-
-def _close_implied(stack: list[tuple[str, str, int, bool, bool]], tag: str) -> None:
-    """Close what the start of a block element ends without an end tag."""
-    if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-        ends = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
-                "td": ("tr",), "th": ("tr",), "option": ("select",)}[tag]
-        same = ("dt", "dd") if tag in ("dt", "dd") else ("td", "th") if tag in ("td", "th") else (tag,)
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in same:
-                del stack[k:]
-                return
-            if stack[k][0] in ends:
-                return
-    elif stack and stack[-1][0] == "p":
-        stack.pop()
-    if tag == "body":
-        for k, s in enumerate(stack):
-            if s[0] == "head":
-                del stack[k:]
-                return
-
-
-def _in_article(n: Node) -> bool:
-    """Whether an article or main element holds the node (one of comments and the like does not count)."""
-    return any(label.split(".", 1)[0] in _ARTICLE_FIRST and number not in n.named
-               for label, number in zip(n.path, n.spot))
-
-
-def spoken_against(nodes: list[Node]) -> list[bool]:
-    """For each node, whether it lies in an element with a furniture name that does not hold
-    most of the page's text and, if there is any, most of that in article elements."""
-    held: dict[tuple[int, bool], int] = {}
-    total = {False: 0, True: 0}
+    return elements, nodes
+
+
+#: Elements that the start of another of a kind ends, and what they never end beyond.
+_IMPLIED = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+            "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr",)), "th": (("td", "th"), ("tr",)),
+            "option": (("option",), ("select",))}
+
+
+def _implied_end(stack: list[Element], is_open: dict[str, int], tag: str) -> int:
+    """From where on the start of a block element closes the open ones without an end tag."""
+    k = len(stack)
+    if tag in _IMPLIED:
+        same, ends = _IMPLIED[tag]
+        if any(is_open.get(t) for t in same):
+            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in (*same, *ends)), len(stack))
+            if k < len(stack) and stack[k].tag in ends:
+                k = len(stack)
+    elif stack[-1].tag == "p":
+        k -= 1
+    if tag == "body" and is_open.get("head"):
+        k = min(k, next(i for i, e in enumerate(stack) if e.tag == "head"))
+    return k
+
+
+def weigh_names(elements: list[Element], nodes: list[Node]) -> None:
+    """Sets ``dropped`` of every element: a name speaks against it or an element around it."""
     for n in nodes:
-        if not n.link:
-            for kind in {False, _in_article(n)}:
-                total[kind] += len(n.text)
-                for number in n.named:
-                    held[number, kind] = held.get((number, kind), 0) + len(n.text)
-    out = [any(2 * held.get((number, kind), 0) <= size for number in n.named
-               for kind, size in total.items() if size) for n in nodes]
-    return [False] * len(nodes) if all(out) else out  # names on everything tell nothing apart
+        e, size = n.element, len(n.text)
+        e.nodes += 1
+        if n.link:
+            e.links += size
+        else:
+            e.text += size
+            e.articles += size if e.article else 0
+    for e in reversed(elements[1:]):
+        up = e.parent
+        up.text, up.articles, up.links, up.nodes = (
+            up.text + e.text, up.articles + e.articles, up.links + e.links, up.nodes + e.nodes)
+        up.first |= e.first
+    page = elements[0]
+    usual = page.text / max(1, page.nodes)
+    for e in elements[1:]:
+        e.certain = e.parent.certain or (e.against and not e.first)
+        if e.against:
+            spoken = not e.first
+        elif e.doubtful and e.parent.article:
+            spoken = e.links >= e.text or 2 * e.text < usual * e.nodes
+        elif e.doubtful:
+            spoken = 2 * e.text <= page.text or 2 * e.articles < page.articles
+        else:
+            spoken = False
+        e.dropped = e.parent.dropped or spoken
+    if nodes and all(n.element.dropped for n in nodes) and not any(e.against for e in elements):
+        for e in elements:  # doubtful names on everything tell nothing apart
+            e.dropped = False
 
 
 def path_scores(nodes: list[Node], deviation: float = 0.5, width: float = 1.0) -> list[bool]:
     """For each node, whether its smoothed, fused and weighted path ratio passes the threshold."""
-    lengths: dict[tuple, float] = {}
-    marks: dict[tuple, float] = {}
-    counts: dict[tuple, int] = {}
+    lengths: dict[int, float] = {}
+    marks: dict[int, float] = {}
+    counts: dict[int, int] = {}
     for n in nodes:
-        size = len(n.text)
-        lengths[n.path] = lengths.get(n.path, 0.0) + (-size if n.link else size)
-        marks[n.path] = marks.get(n.path, 0.0) + (0 if n.link else len(_PUNCTUATION.findall(n.text)))
-        counts[n.path] = counts.get(n.path, 0) + 1
-    text = np.array([max(0.0, lengths[n.path]) / counts[n.path] for n in nodes])
-    punctuation = np.array([marks[n.path] / counts[n.path] for n in nodes])
+        size, path = len(n.text), n.element.path
+        lengths[path] = lengths.get(path, 0.0) + (-size if n.link else size)
+        marks[path] = marks.get(path, 0.0) + (0 if n.link else len(_PUNCTUATION.findall(n.text)))
+        counts[path] = counts.get(path, 0) + 1
+    text = np.array([max(0.0, lengths[n.element.path]) / counts[n.element.path] for n in nodes])
+    punctuation = np.array([marks[n.element.path] / counts[n.element.path] for n in nodes])
     reach = np.arange(-3, 4)
     kernel = np.exp(-reach ** 2 / (2 * width ** 2))
     kernel /= kernel.sum()
@@ -219,9 +272,9 @@ def path_scores(nodes: list[Node], deviation: float = 0.5, width: float = 1.0) -
         return np.convolve(np.pad(x, 3, mode="edge"), kernel, mode="valid")
 
     fused = smooth(text) * (1 + smooth(punctuation))
-    fused *= [_FOR if _in_article(n) else 1.0 for n in nodes]
+    fused *= [_FOR if n.element.article else 1.0 for n in nodes]
     own = _AGAINST * np.minimum(fused, text * (1 + punctuation))  # borrows nothing of its neighbours
-    against = np.array(spoken_against(nodes), bool)
+    against = np.array([n.element.dropped for n in nodes], bool)
     fused = np.where(against, own, fused)
     # on an even page the deviation says little: such a path also has to reach a share of the mean
     least = deviation * np.where(against, max(fused.std(), fused.mean()), fused.std())
@@ -232,14 +285,16 @@ def main_text(page: str | None) -> str:
     """The article's blocks, joined by line feeds."""
     if not page:
         return ""
-    every = text_nodes(page)
-    nodes = [n for n in every if not n.furniture]
+    elements, every = read_page(page)
+    nodes = [n for n in every if not n.element.furniture]
+    weigh_names(elements, nodes)
+    nodes = [n for n in nodes if not n.element.certain]
     if not nodes:
         return ""
     content = path_scores(nodes)
     if not any(content):
         content = [not n.link for n in nodes]
-    inside = _article(nodes, content)
+    inside = _article(elements, nodes, content)
     blocks: dict[int, list[str]] = {}
     for n, keep in zip(nodes, inside):
         if keep:
@@ -248,20 +303,24 @@ def main_text(page: str | None) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def _article(nodes: list[Node], content: list[bool]) -> list[bool]:
+def _article(elements: list[Element], nodes: list[Node], content: list[bool]) -> list[bool]:
     """The content nodes, and what no name speaks against in the element that holds them all."""
-    common: tuple[int, ...] | None = None
+    total = sum(content)
     for n, c in zip(nodes, content):
-        if c:
-            common = n.spot if common is None else common[:next(
-                (k for k, (x, y) in enumerate(zip(common, n.spot)) if x != y), min(len(common), len(n.spot)))]
-    if common and len(common) > 1:  # a lone paragraph's element is the one around it
-        inner = next(n for n, c in zip(nodes, content) if c)
-        while len(common) > 1 and inner.path[len(common) - 1].split(".", 1)[0] not in (*_CONTAINERS, *_ARTICLE_FIRST):
-            common = common[:-1]
-    within = len(common or ())
-    return [c or (not a and n.spot[:within] == (common or ()))
-            for n, c, a in zip(nodes, content, spoken_against(nodes))]
+        n.element.content += c
+    for e in reversed(elements[1:]):
+        e.parent.content += e.content
+    if total:
+        common = next(n.element for n, c in zip(nodes, content) if c)
+        while common.content < total:
+            common = common.parent
+        while common.depth > 1 and common.tag not in (*_CONTAINERS, *_ARTICLE_FIRST):
+            common = common.parent  # a lone paragraph's element is the one around it
+    else:
+        common = elements[0]
+    for e in elements:
+        e.inside = e is common or (e.parent is not None and e.parent.inside)
+    return [c or (not n.element.dropped and n.element.inside) for n, c in zip(nodes, content)]
 
 
 def main_text_column(page: Column) -> Column:

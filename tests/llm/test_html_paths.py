@@ -1,8 +1,11 @@
 """Pages on which op5_html_extraction has to decide by its path scores."""
 
+import math
+import time
+
 import pytest
 
-from billing_guard.llm.htmltext import main_text
+from billing_guard.llm.htmltext import main_text, path_scores, read_page, weigh_names
 
 LONG = "A long paragraph, with many words, commas and more; it goes on and on. It has a second sentence, too."
 
@@ -45,3 +48,69 @@ def test_a_lead_beside_the_body_stays():
     ("<article> <p> <b>x</b> </p> </article>", "x")])
 def test_white_space_between_inline_elements_stays(page, text):
     assert main_text(page) == text
+
+
+COMMENT = f"<p>{LONG} I said so before!</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div id=content><p>{LONG}</p><p>{LONG}</p><ol class=commentlist>{'<li>' + COMMENT * 4}</ol></div>",
+    f"<body><article><p>{LONG}</p><p>{LONG}</p></article><div class='comments'>{COMMENT * 5}</div>",
+    f"<body><article><p>{LONG}</p><p>{LONG}</p><section class=comments>{COMMENT * 5}</section></article>",
+    f"<body><article><p>{LONG}</p><p>{LONG}</p></article><ol class=commentlist><li><article class=comment>{COMMENT * 5}"
+    "</article></ol>"])
+def test_comments_never_come_in_by_majority(page):
+    assert main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_a_name_of_content_needs_the_texts_support_inside_an_article():
+    page = (f"<body><article><p>{LONG}</p><p class='legal'>{LONG}</p><div class='related-work'><p>{LONG}</p></div>"
+            "<div class='tags'><a href=/x>one tag</a> <a href=/y>another tag</a></div><p class=notice>Short.</p></article>")
+    assert main_text(page) == "\n".join([LONG] * 3)
+
+
+def test_a_menu_name_around_the_heading_does_not_lose_the_article():
+    assert main_text(f"<body class=x><div class='page menu-open'><h1>Title</h1><p>{LONG}</p></div>") == f"Title\n{LONG}"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 4_000 + f"<p>{LONG}</p>" * 4_000, "<div class=side>" * 4_000 + "<li>x" * 4_000,
+                                  "<ul><li>" * 3_000 + f"{LONG}<td>" * 3_000, "<p>" * 20_000 + "x</div>" * 20_000])
+def test_time_is_linear_in_deep_pages(page):
+    start = time.perf_counter()
+    main_text("<body>" + page)
+    assert time.perf_counter() - start < 5  # about a fifth of a second; the square took minutes
+
+
+def test_path_scores_against_their_formula():
+    page = (f"<body><h1>T, a</h1><div class=a><p>{LONG}</p><p>b. c</p></div><div><a href=/>link, text</a> tail</div>"
+            f"<article><p>{LONG}</p></article><div class=related><a href=/x>{LONG}</a></div>")
+    elements, nodes = read_page(page)
+    weigh_names(elements, nodes)
+
+    def path(e):
+        return () if e.parent is None else (*path(e.parent), e.tag, e.path)
+
+    paths = [path(n.element) for n in nodes]
+    assert len({p[-1] for p in paths}) == len(set(paths))
+    ratio, marks = [], []
+    for p in paths:
+        same = [n for n, q in zip(nodes, paths) if q == p]
+        ratio.append(max(0, sum(-len(n.text) if n.link else len(n.text) for n in same)) / len(same))
+        marks.append(sum(sum(c in ".,;:!?" for c in n.text) for n in same if not n.link) / len(same))
+    weights = [math.exp(-d * d / 2) for d in range(-3, 4)]
+
+    def smooth(x, i):
+        near = [x[min(max(i + d, 0), len(x) - 1)] for d in range(-3, 4)]
+        return sum(w * v for w, v in zip(weights, near)) / sum(weights)
+
+    fused = []
+    for i, n in enumerate(nodes):
+        f = smooth(ratio, i) * (1 + smooth(marks, i)) * (2 if n.element.article else 1)
+        if n.element.dropped:
+            f = 0.1 * min(f, ratio[i] * (1 + marks[i]))
+        fused.append(f)
+    mean = sum(fused) / len(fused)
+    deviation = math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused))
+    expected = [f >= 0.5 * (max(deviation, mean) if n.element.dropped else deviation) for f, n in zip(fused, nodes)]
+    assert path_scores(nodes) == expected and any(expected) and not all(expected)
+    assert any(n.element.dropped for n in nodes)
