@@ -80,6 +80,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return _MADE[-1]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority that Spark resolves it against.
+
+    A path without a scheme means the session's default file system to Spark, but the local
+    disk to other libraries: tasks that open files themselves get the qualified form.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    if hpath.isAbsolute() and hpath.toUri().getScheme() is None:
+        default = jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf)
+        return hpath.makeQualified(default, hpath).toString()
+    return hpath.getFileSystem(conf).makeQualified(hpath).toString()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the work folder and read back (cuts the lineage)."""
     path = work_path(df.sparkSession, name)
@@ -124,4 +138,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["build_session", "work_root", "work_path", "written", "written_observed", "delete_work", "work_count", "local_path", "path_exists"]
+__all__ = ["build_session", "qualified", "work_root", "work_path", "written", "written_observed", "delete_work", "work_count", "local_path", "path_exists"]

@@ -57,3 +57,17 @@ def test_a_cluster_needs_a_shared_folder():
     s = _Session("/shared/ckpt")
     s.sparkContext.master = "spark://host:7077"
     assert session.work_root(s) == "/shared/ckpt"
+
+
+def test_paths_are_qualified_like_spark_resolves_them(spark):
+    from billing_guard.session import qualified
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualified(spark, "/user/x") == "file:/user/x" and qualified(spark, "file:/a/b") == "file:/a/b"
+    conf.set("fs.defaultFS", "hdfs://names:8020")
+    try:
+        assert qualified(spark, "/user/x/work") == "hdfs://names:8020/user/x/work"
+        assert qualified(spark, "file:///a/b") == "file:/a/b"
+    finally:
+        conf.set("fs.defaultFS", before)
