@@ -192,8 +192,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, least_words: int =
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` that overlap with no item."""
+    """The rows of ``docs`` that overlap with no item; columns of any name are kept."""
     for index in index_blocks(benchmark):
-        docs = (docs.withColumn("__overlaps", overlap_column(index, F.col("text"), least_words))
-                .where(F.size("__overlaps") == 0).drop("__overlaps"))
+        docs = (docs.select(F.struct("*").alias("row"), overlap_column(index, F.col("text"), least_words).alias("found"))
+                .where(F.size("found") == 0).select("row.*"))
     return docs

@@ -327,7 +327,8 @@ def linked_documents(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
 
 def keep_one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the document with the
-    least id (and text hash) stays, and of repeated rows of that id and text one."""
+    least id (and text hash) stays, and of repeated rows of that id and text the one whose
+    other columns come first in order (they must have an order, which maps have not)."""
     linked = linked_documents(docs, threshold)
     # by the group's root, not its least id: ids may be NULL or repeated
     least = (linked.where(F.col("root").isNotNull()).groupBy("root")
@@ -335,7 +336,9 @@ def keep_one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
              .select("kept.doc_id", "kept.tie"))
     kept = (least.unionByName(linked.where(F.col("root").isNull()).select("doc_id", "tie"))
             .select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct())
-    tied = docs.withColumn("__tie", F.xxhash64("text"))
-    return (tied.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                      & (F.col("__tie") == F.col("kept_tie")), "left_semi")
-            .dropDuplicates(["doc_id", "__tie"]).drop("__tie"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text", (F.struct(*others) if others else F.lit(0)).alias("others"))
+    one = (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("tie") == F.col("kept_tie")),
+                     "left_semi")
+           .groupBy("doc_id", "tie").agg(F.first("text").alias("text"), F.min("others").alias("others")))
+    return one.select(*[c if c in ("doc_id", "text") else F.col("others")[c].alias(c) for c in docs.columns])

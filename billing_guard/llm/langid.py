@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.llm.common import fold
+from billing_guard.llm.common import fold, written
 
 UNDETERMINED = "und"
 WINDOW = 64
@@ -310,6 +310,9 @@ def language_column(net: Network | None, text: Column) -> Column:
     return predict.asNondeterministic()(text)  # evaluated once, never pushed into a filter
 
 
+_SPARE, _THINNED = 4, 64  # rows ranked for one that is taken; languages whose rows are thinned
+
+
 def training_sample(docs: DataFrame, keep: Column, plan: TrainingPlan = TrainingPlan()) -> list[tuple[str, bytes]]:
     """At most ``plan.per_language`` rows of each language (at least one, and fewer where
     the languages would have more than ``plan.documents``), in the order of a hash of the row, each cut to ``plan.span`` characters from a hashed place on."""
@@ -320,8 +323,14 @@ def training_sample(docs: DataFrame, keep: Column, plan: TrainingPlan = Training
     cut = rows.select("lang", F.substring(F.col("text"), place, F.lit(plan.span)).alias("part"),
                       order.alias("nth"))
     ranked = Window.partitionBy("lang").orderBy("nth", "part")
-    languages = rows.select("lang").distinct().count()
-    most = max(1, min(plan.per_language, plan.documents // max(1, languages)))
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    most = max(1, min(plan.per_language, plan.documents // max(1, counts.count())))
+    # of a frequent language only about _SPARE times the rows wanted, those with the least
+    # hashes, go on to its ranking; beyond the first ones no language holds many rows
+    frequent = counts.where(F.col("n") > _SPARE * most).orderBy(F.col("n").desc(), "lang").limit(_THINNED).collect()
+    for r in frequent:
+        below = -2**63 + int(2**64 * _SPARE * most / r["n"])
+        cut = cut.where((F.col("lang") != r["lang"]) | (F.col("nth") < F.lit(below)))
     sample = (cut.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most)
               .select("lang", "part"))
     return [(r["lang"], r["part"].encode("utf-8", "replace")) for r in sample.collect()]

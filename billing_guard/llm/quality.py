@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from billing_guard.llm.common import written
 from billing_guard.llm.tokenfile import _open
-from billing_guard.session import work_path
+from billing_guard.session import qualified, work_path
 
 ORDER = 4             # of the spelling model
 QUANTILE = 0.99
@@ -145,7 +145,7 @@ def write_shards(model: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[str, i
     """The model in hashed shards of a folder; (folder, number of shards)."""
     model = written(model, "model")
     shards = max(1, -(-model.count() // shard_rows))
-    folder = work_path(model.sparkSession, "model_shards")
+    folder = qualified(model.sparkSession, work_path(model.sparkSession, "model_shards"))
     (model.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
      .repartition(shards, "shard").write.partitionBy("shard").parquet(folder))
     return folder, shards

@@ -11,7 +11,8 @@ Documents are range-partitioned by ascending doc_id and sorted inside each parti
 every task streams its documents into files of its own, named for the attempt, and
 returns one manifest row per file.  The manifest is written by Spark's committer: files
 of lost attempts are in no manifest and never read.  Files go through ``pyarrow.fs``
-into the given folder, which all executors must reach.
+into the given folder, which all executors must reach; a folder without a scheme is the
+one that Spark means by it, on the session's default file system.
 
 Edge cases: NULL and empty texts are documents of the end id alone; NULL ids come first;
 repeated ids stand beside each other; an empty table writes no file and reads back as
@@ -32,10 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billing_guard.llm.encode import WORD_BPE, encoder
+from billing_guard.session import qualified
 
 END_ID = 2
 SAMPLE = 256                 # one-bits between select samples
-FILE_IDS = 32_000_000        # a task begins a new file beyond that
+FILE_IDS = 32_000_000        # a task begins a new file beyond so many ids
+FILE_DOCS = 2_000_000        # ... or so many documents
 _MAGIC = b"TOKEF1\0\0"
 _HEAD = struct.Struct("<8sQQQI")  # magic, documents, NULL ids, ids, bytes an id
 _EF_HEAD = struct.Struct("<QQqI")  # values, bytes of high bits, least value, low bits
@@ -208,8 +211,10 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str = WORD_BPE, end_id: int = END_ID,
-                      path: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
+                      path: str | None = None, file_ids: int = FILE_IDS,
+                      file_docs: int = FILE_DOCS) -> DataFrame:
     """Write all documents in ascending doc_id order; the manifest, as a written table."""
+    folder = qualified(docs.sparkSession, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(vocabulary, path)
@@ -220,7 +225,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = WORD_BPE,
         for batch in batches:
             missing = batch["doc_id"].isna().to_numpy()
             for doc_id, null, text in zip(batch["doc_id"], missing, batch["text"]):
-                if writer is None or writer.total >= file_ids:
+                if writer is None or writer.total >= file_ids or len(writer.sizes) >= file_docs:
                     if writer is not None:
                         done.append(writer.close())
                     writer = _Writer(folder, part, len(done), width)

@@ -33,3 +33,12 @@ def test_the_reader_builds_no_table_of_a_whole_file(spark, docs):
         assert sorted(map(repr, read.collect())) == sorted(map(repr, whole))
     finally:
         tokenfile.EliasFano.values = held
+
+
+def test_many_empty_documents_are_dealt_over_files(docs, spark):
+    rows = docs([(i, None if i % 2 else "", "en") for i in range(1_000)])
+    manifest = tokenfile.write_token_files(rows, work_path(spark, "empty_texts"), file_docs=60)
+    files = manifest.collect()
+    assert max(f.n_docs for f in files) == 60 and all(f.ids_path.startswith("file:") for f in files)
+    back = tokenfile.read_token_files(manifest).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in back] == [(i, i, 1) for i in range(1_000)]
