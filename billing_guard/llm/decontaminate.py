@@ -8,10 +8,13 @@ and -1.5 for a substituted word, is the overlap.  An overlap of at least ``least
 equal words (or the whole item, if it is shorter) contaminates the document.  Items
 shorter than the span are sought by all their words.
 
-The join is between all documents and the benchmark as a stated query set: its seeds are
-sent to the tasks in blocks of at most ``BLOCK_WORDS`` words (items are dealt to blocks by
-hash), one pass over the documents for each block, so any size of benchmark is joined in
-bounded memory without moving a document.  Small benchmarks are one block.
+The join is a partitioned hash join between all documents and the benchmark as a stated
+query set.  Items are dealt by hash to blocks of about ``BLOCK_WORDS`` words, written as a
+table in the shared folder.  The documents are scanned once and never moved: a task hashes
+the words of a portion of its documents and holds them against block after block, which
+it reads from that table and indexes; it keeps at most ``_KEPT_BLOCKS`` indexes.  So nothing
+of the benchmark passes through the driver or a broadcast, a benchmark of any size is
+joined in bounded memory by one scan, and a small one is a block that each worker reads once.
 
 Edge cases: NULL, empty and wordless texts, of documents or items, overlap with nothing;
 an empty benchmark contaminates nothing; repeated documents each get their rows; repeated
@@ -30,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billing_guard.llm.common import word_hashes, words
+from billing_guard.llm.tokenfile import open_path
+from billing_guard.session import qualified, work_path
 
 #: Care positions of the masks; their ignored places differ.
 MASKS = ("11011010111", "11101100111", "11110011011")
@@ -37,7 +42,8 @@ SPAN = 11
 LEAST_WORDS = 13
 BLOCK_WORDS = 500_000
 _PENALTY = 1.5
-_AT_ONCE = 400_000  # words hashed at a time
+_AT_ONCE = 400_000  # words held against the blocks at a time
+_KEPT_BLOCKS = 4    # indexes a worker keeps
 _BITS = 20
 
 _rng = np.random.default_rng(4)
@@ -104,96 +110,123 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return first, last
 
 
-def overlaps(index: Index, texts: list[str | None], least_words: int) -> list[list[dict]]:
-    """For each text its overlaps: the best one of every item."""
+def overlaps(index: Index, texts: list[np.ndarray], least_words: int) -> list[list[dict]]:
+    """For each text (its word hashes) its overlaps: the best one of every item."""
     out: list[list[dict]] = [[] for _ in texts]
-    runs: list[np.ndarray] = []
-    owners: list[int] = []
-
-    def flush() -> None:
-        if not runs:
-            return
-        starts = np.cumsum([0, *(len(r) for r in runs)])
-        h = np.concatenate(runs)
-        items, diagonals = index.hits(h)
-        if len(items):
-            # the same words may not reach over the end of a text: the check below
-            # compares inside the text that holds the hit, so name it by a word of the hit
-            pairs = np.unique(np.column_stack([items, diagonals]), axis=0)
-            best: dict[tuple[int, int], tuple] = {}
-            for n, diagonal in pairs.tolist():
-                tokens = index.tokens[n]
-                lo = int(np.searchsorted(starts, max(diagonal, 0), side="right")) - 1
-                while lo < len(runs) and starts[lo] < diagonal + len(tokens):
-                    a = max(diagonal, int(starts[lo]))
-                    b = min(diagonal + len(tokens), int(starts[lo + 1]))
-                    equal = h[a:b] == tokens[a - diagonal:b - diagonal]
-                    if int(equal.sum()) >= min(least_words, len(tokens)):
-                        first, last = best_stretch(equal)
-                        same = int(equal[first:last].sum())
-                        if same >= min(least_words, len(tokens)):
-                            found = (same, -(a + first), last - first, len(tokens), a + first - int(starts[lo]))
-                            key = (owners[lo], n)
-                            best[key] = max(best.get(key, found), found)
-                    lo += 1
-            for (owner, n), (same, _, length, size, place) in sorted(best.items()):
-                out[owner].append({"item_id": index.item_ids[n], "first_word": place, "n_words": length,
-                                   "n_equal": same, "coverage": same / size})
-        runs.clear()
-        owners.clear()
-
-    waiting = 0
-    for k, text in enumerate(texts):
-        h = word_hashes(words(text))
-        if len(h):
-            runs.append(h)
-            owners.append(k)
-            waiting += len(h)
-            if waiting >= _AT_ONCE:
-                flush()
-                waiting = 0
-    flush()
+    owners = [k for k, h in enumerate(texts) if len(h)]
+    if not owners:
+        return out
+    starts = np.cumsum([0, *(len(texts[k]) for k in owners)])
+    h = np.concatenate([texts[k] for k in owners])
+    items, diagonals = index.hits(h)
+    # the same words may not reach over the end of a text: the check below
+    # compares inside the text that holds the hit, so name it by a word of the hit
+    pairs = np.unique(np.column_stack([items, diagonals]), axis=0) if len(items) else np.zeros((0, 2), np.int64)
+    best: dict[tuple[int, int], tuple] = {}
+    for n, diagonal in pairs.tolist():
+        tokens = index.tokens[n]
+        lo = int(np.searchsorted(starts, max(diagonal, 0), side="right")) - 1
+        while lo < len(owners) and starts[lo] < diagonal + len(tokens):
+            a = max(diagonal, int(starts[lo]))
+            b = min(diagonal + len(tokens), int(starts[lo + 1]))
+            equal = h[a:b] == tokens[a - diagonal:b - diagonal]
+            if int(equal.sum()) >= min(least_words, len(tokens)):
+                first, last = best_stretch(equal)
+                same = int(equal[first:last].sum())
+                if same >= min(least_words, len(tokens)):
+                    found = (same, -(a + first), last - first, len(tokens), a + first - int(starts[lo]))
+                    key = (owners[lo], n)
+                    best[key] = max(best.get(key, found), found)
+            lo += 1
+    for (owner, n), (same, _, length, size, place) in sorted(best.items()):
+        out[owner].append({"item_id": index.item_ids[n], "first_word": place, "n_words": length,
+                           "n_equal": same, "coverage": same / size})
     return out
 
 
+def portions(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Word hashes of the texts in portions of about ``_AT_ONCE`` words; where each begins."""
+    first, held, size = 0, [], 0
+    for text in texts:
+        h = word_hashes(words(text))
+        held.append(h)
+        size += len(h)
+        if size >= _AT_ONCE:
+            yield first, held
+            first, held, size = first + len(held), [], 0
+    if held:
+        yield first, held
+
+
 _OVERLAP = "array<struct<item_id: long, first_word: long, n_words: long, n_equal: long, coverage: double>>"
 
 
-def overlap_column(index, text: Column, least_words: int) -> Column:
-    """Overlaps of a whole text with the items of a broadcast index."""
+@dataclass(frozen=True)
+class Blocks:
+    """The benchmark as a table of blocks in the shared folder."""
+
+    folder: str
+    count: int
+
+    @classmethod
+    def write(cls, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Blocks:
+        spark = benchmark.sparkSession
+        items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+        size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+        count = max(1, -(-size // block_words))
+        folder = qualified(spark, work_path(spark, "benchmark_blocks"))
+        (items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
+         .repartition(count, "block").write.partitionBy("block").parquet(folder))
+        return cls(folder, count)
+
+    def index(self, block: int) -> Index:
+        """A block's index, read from its files; a worker keeps the last ones."""
+        if (self.folder, block) not in _INDEXES:
+            while len(_INDEXES) >= _KEPT_BLOCKS:
+                _INDEXES.pop(next(iter(_INDEXES)))
+            _INDEXES[self.folder, block] = Index.of(self._items(block))
+        return _INDEXES[self.folder, block]
+
+    def _items(self, block: int) -> list[tuple[int | None, str]]:
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        store, inner = open_path(f"{self.folder}/block={block}")
+        if store.get_file_info(inner).type == fs.FileType.NotFound:
+            return []
+        rows = ds.dataset(inner, filesystem=store, format="parquet").to_table(["item_id", "text"]).to_pylist()
+        return sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+_INDEXES: dict[tuple[str, int], Index] = {}
+
+
+def overlap_column(blocks: Blocks, text: Column, least_words: int) -> Column:
+    """Overlaps of a whole text with the items of all blocks."""
 
     @F.pandas_udf(_OVERLAP)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(overlaps(index.value, texts.tolist(), least_words), dtype=object)
+            found: list[list[dict]] = [[] for _ in texts]
+            for first, held in portions(texts.tolist()):
+                for block in range(blocks.count):
+                    for k, more in enumerate(overlaps(blocks.index(block), held, least_words), first):
+                        found[k] += more
+            yield pd.Series(found, dtype=object)
 
     return find.asNondeterministic()(text)
 
 
-def index_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator:
-    """Broadcast indexes of blocks of items, each of about ``block_words`` words."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-size // block_words))
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    for block in range(blocks):
-        rows = dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()  # bounded block
-        yield items.sparkSession.sparkContext.broadcast(Index.of([(r["item_id"], r["text"]) for r in rows]))
-
-
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS,
                        block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, item_id, first_word, n_words, n_equal, coverage of every overlap."""
-    found = None
-    for index in index_blocks(benchmark, block_words):
-        part = docs.select("doc_id", F.inline(overlap_column(index, F.col("text"), least_words)))
-        found = part if found is None else found.unionByName(part)
-    return found
+    blocks = Blocks.write(benchmark, block_words)
+    return docs.select("doc_id", F.inline(overlap_column(blocks, F.col("text"), least_words)))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS,
+                      block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that overlap with no item; columns of any name are kept."""
-    for index in index_blocks(benchmark):
-        docs = (docs.select(F.struct("*").alias("row"), overlap_column(index, F.col("text"), least_words).alias("found"))
-                .where(F.size("found") == 0).select("row.*"))
-    return docs
+    found = overlap_column(Blocks.write(benchmark, block_words), F.col("text"), least_words)
+    return (docs.select(F.struct("*").alias("row"), found.alias("found"))
+            .where(F.size("found") == 0).select("row.*"))

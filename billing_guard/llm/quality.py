@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billing_guard.llm.common import written
-from billing_guard.llm.tokenfile import _open
+from billing_guard.llm.tokenfile import open_path
 from billing_guard.session import qualified, work_path
 
 ORDER = 4             # of the spelling model
@@ -160,7 +160,7 @@ def _shard(folder: str, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         import pyarrow.dataset as ds
         from pyarrow import fs
 
-        store, inner = _open(f"{folder}/shard={shard}")
+        store, inner = open_path(f"{folder}/shard={shard}")
         if store.get_file_info(inner).type == fs.FileType.NotFound:
             held = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         else:

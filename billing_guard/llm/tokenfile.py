@@ -129,7 +129,7 @@ class EliasFano:
         return (out + np.uint64(self.least % 2**64)).astype(np.int64)
 
 
-def _open(path: str):
+def open_path(path: str):
     """The file system and the path in it."""
     from pyarrow import fs
 
@@ -145,7 +145,7 @@ class _Writer:
         name = f"{folder.rstrip('/')}/ids-{part:05d}-{roll:03d}-{uuid.uuid4().hex[:12]}"
         self.part, self.roll, self.width = part, roll, width
         self.ids_path, self.index_path = name + ".bin", name + ".idx"
-        self.store, inner = _open(self.ids_path)
+        self.store, inner = open_path(self.ids_path)
         self.store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         self.stream = self.store.open_output_stream(inner)
         self.sizes: list[int] = []
@@ -166,7 +166,7 @@ class _Writer:
         ends = EliasFano.encode(np.cumsum(np.array(self.sizes, np.int64)))
         doc_ids = EliasFano.encode(np.array(self.doc_ids, np.int64))
         head = _HEAD.pack(_MAGIC, len(self.sizes), self.nulls, self.total, self.width)
-        with self.store.open_output_stream(_open(self.index_path)[1]) as out:
+        with self.store.open_output_stream(open_path(self.index_path)[1]) as out:
             out.write(head + ends.to_bytes() + doc_ids.to_bytes())
         return (self.part, self.roll, self.ids_path, self.index_path, len(self.sizes), self.total)
 
@@ -175,7 +175,7 @@ class TokenFile:
     """Random access to a written file: ``offset(i)`` and ``ids(i)``."""
 
     def __init__(self, ids_path: str, index_path: str):
-        store, inner = _open(index_path)
+        store, inner = open_path(index_path)
         with store.open_input_stream(inner) as f:
             data = memoryview(f.read())
         magic, self.n_docs, self.nulls, self.n_ids, self.width = _HEAD.unpack_from(data)
@@ -204,7 +204,7 @@ class TokenFile:
 
     def ids(self, first: int, last: int) -> np.ndarray:
         """Ids from offset ``first`` to ``last`` of this file."""
-        store, inner = _open(self.ids_path)
+        store, inner = open_path(self.ids_path)
         with store.open_input_file(inner) as f:
             return np.frombuffer(f.read_at((last - first) * self.width, first * self.width),
                                  f"<u{self.width}")

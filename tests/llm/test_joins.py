@@ -208,3 +208,26 @@ def test_contaminated_pairs(spark, docs):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(set(range(len(rows))) - {i for i, _ in want})
     assert decontaminate.contaminated_pairs(df, bench.limit(0)).count() == 0
     assert decontaminate.contaminated_pairs(docs([]), bench).count() == 0
+
+
+def test_documents_are_scanned_once_for_any_benchmark(spark, docs, monkeypatch):
+    from billing_guard.session import written
+
+    rng = random.Random(10)
+    items = [(k, sentence(rng, 20)) for k in range(30)]
+    rows = docs([(k, f"{sentence(rng, 30)} {items[k][1]}", "en") for k in range(30)])
+    df = written(rows, "scanned_once")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated_pairs(df, bench, block_words=20)  # about a block an item
+    tree = found._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("FileScan") == 1 and "Exchange" not in tree and "Broadcast" not in tree
+    assert {(k, k) for k in range(30)} <= {(r.doc_id, r.item_id) for r in found.collect()}
+    assert decontaminate.Blocks.write(bench, 20).count >= 25
+
+
+def test_portions_hold_every_text(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_AT_ONCE", 5)
+    texts = ["a b c", None, "", "d e f g h i j", "k", "l m"]
+    held = list(decontaminate.portions(texts))
+    assert [first for first, _ in held] == [0, 4] and [len(h) for _, part in held for h in part] == [3, 0, 0, 7, 1, 2]
+    assert list(decontaminate.portions([])) == []
