@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import hot_shares, is_hot, key_hash, share_of
+from billing_guard.operators.skew import hot_shares, is_hot, share_of
 from billing_guard.session import written
 
 INVOICE, CASE, AMOUNT = "invoice_id", "case_id", "amount"
