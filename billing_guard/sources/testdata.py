@@ -110,11 +110,15 @@ def _description() -> Column:
     )
 
 
-def _lineitem_orders(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def _lineitem_orders(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
+                     even: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
         *extra,
     )
+    if even:
+        # the given file has few row groups: even parts, sized by the data, for what follows
+        li = li.hint("rebalance")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
 
@@ -125,8 +129,7 @@ def _invoice_id() -> Column:
 
 def _text_invoice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column the text-invoice stand-ins need, one row per lineitem."""
-    # the given file has few row groups: even parts, sized by the data, before the text is built
-    rows = _lineitem_orders(spark, sf_dir, ("l_extendedprice", "l_discount", "l_returnflag")).hint("rebalance")
+    rows = _lineitem_orders(spark, sf_dir, ("l_extendedprice", "l_discount", "l_returnflag"), even=True)
     price = _money(F.col("l_extendedprice"))
     net = F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
     actual = (F.when(F.col("l_returnflag") == "R", F.lit(0))
