@@ -8,11 +8,14 @@ has three discounts from its counts of counts.  Below the words a modified Knese
 model of byte ``ORDER``-grams, trained on the distinct trusted words and interpolated down
 to the uniform distribution over bytes, spells them, so every text has a probability.
 
-The logarithm of a word's probability is a sum over the n-grams that end in it or are its
-context, each with a share of its own (``word_model``).  So a document's distinct n-grams
-meet the model in one sort-merge join on the hash and are summed by document; neither
-the model nor a text is held whole by a task.  The spelling model, which stays small, is
-dealt by hash into shards of about ``SHARD_ROWS`` rows in the shared folder.
+The 3-grams are exchanged once to be counted, by their first two words, so the sums of a
+context are taken where its 3-grams lie; texts are never moved.  The logarithm of a word's
+probability is a sum over the n-grams that end in it or are its context, each with a share
+of its own (``word_model``).  So a document's distinct n-grams meet the model in one join
+on the hash and are summed by document; neither the model nor a text is held whole by a
+task.  The spelling model, which stays small, is dealt by hash into shards of about
+``SHARD_ROWS`` rows in the shared folder.  Tables are deleted once their last reader has
+written what it makes of them.
 
 A document's perplexity is that of its bytes.  It is kept if its perplexity is at most its
 language's ``quantile`` among trusted documents (all trusted ones, for a language without).
@@ -27,15 +30,16 @@ is one word; only doc_id, text, lang and doc_id, quality are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billing_guard.llm.common import written
 from billing_guard.llm.tokenfile import open_path
-from billing_guard.session import qualified, work_path
+from billing_guard.session import delete_work, qualified, work_count, work_path
 
 ORDER = 4             # of the spelling model
 QUANTILE = 0.99
@@ -141,11 +145,11 @@ def train(texts: DataFrame) -> DataFrame:
     return model.unionByName(empty)
 
 
-def write_shards(model: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[str, int]:
-    """The model in hashed shards of a folder; (folder, number of shards)."""
+def write_shards(model: DataFrame, shard_rows: int = SHARD_ROWS, path: str | None = None) -> tuple[str, int]:
+    """The model in hashed shards of a folder (by default a new one); (folder, number of shards)."""
     model = written(model, "model")
     shards = max(1, -(-model.count() // shard_rows))
-    folder = qualified(model.sparkSession, work_path(model.sparkSession, "model_shards"))
+    folder = qualified(model.sparkSession, path or work_path(model.sparkSession, "model_shards"))
     (model.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
      .repartition(shards, "shard").write.partitionBy("shard").parquet(folder))
     return folder, shards
@@ -336,51 +340,68 @@ def document_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = _mixed(text.astype(np.uint64) + _ROOT)
             for k, keys in enumerate((gram_keys(words), gram_keys(b, words), gram_keys(a, b, words)), 1):
                 first, n, _ = _distinct(keys ^ at)
+                order = np.argsort(first)  # text by text, which packs better
+                first, n = first[order], n[order]
                 yield pd.DataFrame({"t": own[text[first]], "key": keys[first].view(np.int64), "n": n.astype(np.int32),
                                     "m": (n if k < WORDS else 0 * n).astype(np.int32)})
 
 
+def _sums(over: Window | None = None) -> dict[str, Column]:
+    """A context's sum of counts, and how many of them are 1, 2, and 3 or more."""
+    n = F.col("n")
+    sums = {"total": F.sum("n"), "n1": F.count_if(n == 1), "n2": F.count_if(n == 2), "n3": F.count_if(n > 2)}
+    return sums if over is None else {k: x.over(over) for k, x in sums.items()}
+
+
 def word_model(texts: DataFrame, folder: str, shards: int, vocabulary: DataFrame) -> tuple[DataFrame | None, float]:
-    """(key, d, g of every n-gram; the logarithm of a word's weight on its spelling).
+    """(key, d, g of the n-grams; the logarithm of a word's weight on its spelling).
 
     With S1(c) = the logarithm of c's probability without context, G(h) that of a context's
     back-off weight and L that of an n-gram in the model, the logarithm for c after a, b is
     S1(c) + G(b) + G(ab) + [bc known] (L(bc) - G(b) - L(c)) + [abc known] (L(abc) - G(ab) - L(bc)),
     as all ends of a known n-gram are known; d is an n-gram's bracket and g its G.  For a
-    single word d is what L(c) is above the weight times the spelling.
+    single word d is what L(c) is above the weight times the spelling.  An n-gram that is
+    also a context has a row for each, as the shares are only ever summed.
     """
-    tri = written(texts.mapInPandas(_count_words, "a long, b long, c long, n long")
-                  .groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "grams")
+    spark = texts.sparkSession
+    path, since = work_path(spark, "model"), work_count()
+    context = Window.partitionBy("a", "b")
+    tri = written(
+        texts.mapInPandas(_count_words, "a long, b long, c long, n long").repartition("a", "b")
+        .groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+        .withColumns(_sums(context) | {"first": F.col("c") == F.min("c").over(context)}), "grams")
     bi = written(tri.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n")), "grams")
     uni = written(bi.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "grams")
 
-    def cut(counts: DataFrame) -> Column:
-        d = discounts(counts.select(F.col("n").alias("c")))
-        return F.when(F.col("n") == 1, d["d1"]).when(F.col("n") == 2, d["d2"]).otherwise(d["d3"])
-
-    cuts = {k: cut(x) for k, x in ((1, uni), (2, bi), (3, tri))}
-    whole = uni.agg(F.sum("n").alias("n"), F.sum(cuts[1]).alias("cut")).first()
-    if not whole["n"]:
+    ds = {k: discounts(x.select(F.col("n").alias("c"))) for k, x in ((1, uni), (2, bi), (3, tri))}
+    whole = uni.agg(*(x.alias(k) for k, x in _sums().items())).first()
+    if not whole["total"]:
         return None, 0.0
-    gamma = max(whole["cut"] / whole["n"], LEAST)
+    gamma = max(sum(ds[1][f"d{k}"] * whole[f"n{k}"] for k in (1, 2, 3)) / whole["total"], LEAST)
 
-    def merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-        return left.join(right.hint("merge"), on, how)
+    def left_over(k: int) -> Column:
+        """The back-off weight of a context of order ``k`` by its sums."""
+        cuts = sum((F.col(f"n{i}") * ds[k][f"d{i}"] for i in (1, 2, 3)), F.lit(0.0))
+        return F.greatest(cuts / F.col("total"), F.lit(LEAST))
 
-    def contexts(counts: DataFrame, k: int, by: list[str]) -> DataFrame:
-        return counts.groupBy(*by).agg(F.sum("n").alias("total"), F.greatest(F.sum(cuts[k]) / F.sum("n"), F.lit(LEAST)).alias("gamma"))
+    def seen(k: int) -> Column:
+        d = ds[k]
+        return (F.col("n") - F.when(F.col("n") == 1, d["d1"]).when(F.col("n") == 2, d["d2"])
+                .otherwise(d["d3"])) / F.col("total")
 
     spelled = spelling_column(folder, shards, F.col("text"))["base"]
     words = vocabulary.select("c", F.exp(spelled).alias("p0"))
-    p1 = written(merged(uni, words, ["c"]).select(
-        "c", "p0", ((F.col("n") - cuts[1]) / whole["n"] + gamma * F.col("p0")).alias("p1")), "probabilities")
-    after1 = written(contexts(bi, 2, ["b"]), "contexts")
-    after2 = written(contexts(tri, 3, ["a", "b"]), "contexts")
-    p2 = written(merged(merged(bi, after1, ["b"]), p1.select("c", "p1"), ["c"]).select(
-        "b", "c", "gamma", "p1", ((F.col("n") - cuts[2]) / F.col("total") + F.col("gamma") * F.col("p1"))
-        .alias("p2")), "probabilities")
-    p3 = merged(merged(tri, after2, ["a", "b"]), p2.select("b", "c", "p2"), ["b", "c"])
-    seen = (F.col("n") - cuts[3]) / F.col("total")
+    p1 = written(uni.withColumn("total", F.lit(whole["total"])).join(words, "c").select(
+        "c", "p0", (seen(1) + gamma * F.col("p0")).alias("p1")), "probabilities")
+    after1 = written(bi.groupBy("b").agg(*(x.alias(k) for k, x in _sums().items())), "contexts")
+    p2 = written(bi.join(after1.select("b", "total", left_over(2).alias("gamma")), "b")
+                 .join(p1.select("c", "p1"), "c")
+                 .select("b", "c", "gamma", "p1", (seen(2) + F.col("gamma") * F.col("p1")).alias("p2")),
+                 "probabilities")
+    own = tri.select(key_column("a", "b", "c").alias("key"), F.xxhash64("b", "c").alias("bc"),
+                     "n", "total", "n1", "n2", "n3")
+    p3 = (own.join(p2.select(F.xxhash64("b", "c").alias("bc"), "p2"), "bc")
+          .select("key", "p2", seen(3).alias("seen"), left_over(3).alias("gamma")))
 
     def whole_number(x: Column) -> Column:
         return F.coalesce(F.round(x * SCALE), F.lit(0.0)).cast("long")
@@ -388,23 +409,31 @@ def word_model(texts: DataFrame, folder: str, shards: int, vocabulary: DataFrame
     def above(p: Column, *parts: Column) -> Column:
         return whole_number(F.log(p) - sum((F.log(x) for x in parts), F.lit(0.0)))
 
-    d3 = p3.select(key_column("a", "b", "c").alias("key"),
-                   above(seen + F.col("gamma") * F.col("p2"), F.col("gamma"), F.col("p2")).alias("d"),
-                   F.lit(0).cast("long").alias("g"))
-    d2 = merged(p2, after2.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("gamma").alias("weight")),
-                ["b", "c"], "full").select(
-        key_column("b", "c").alias("key"), above(F.col("p2"), F.col("gamma"), F.col("p1")).alias("d"),
-        whole_number(F.log("weight")).alias("g"))
-    d1 = merged(p1, after1.select(F.col("b").alias("c"), F.col("gamma").alias("weight")), ["c"], "full").select(
-        key_column("c").alias("key"), above(F.col("p1"), F.col("p0"), F.lit(gamma)).alias("d"),
-        whole_number(F.log("weight")).alias("g"))
-    return written(d1.unionByName(d2).unionByName(d3), "model"), float(np.log(gamma))
+    def part(rows: DataFrame, key: Column, d: Column | None = None, g: Column | None = None) -> DataFrame:
+        none = F.lit(0).cast("long")
+        return rows.select(key.alias("key"), (none if d is None else d).alias("d"),
+                           (none if g is None else whole_number(F.log(g))).alias("g"))
+
+    parts = [
+        part(p3, F.col("key"), above(F.col("seen") + F.col("gamma") * F.col("p2"), F.col("gamma"), F.col("p2"))),
+        part(p2, key_column("b", "c"), above(F.col("p2"), F.col("gamma"), F.col("p1"))),
+        part(p1, key_column("c"), above(F.col("p1"), F.col("p0"), F.lit(gamma))),
+        part(tri.where("first"), key_column("a", "b"), g=left_over(3)),
+        part(after1, key_column("b"), g=left_over(2)),
+    ]
+    model = reduce(DataFrame.unionByName, parts)
+    model.write.parquet(path)
+    delete_work(spark, since)
+    return spark.read.schema(model.schema).parquet(path), float(np.log(gamma))
 
 
 def perplexities(docs: DataFrame, training: DataFrame) -> DataFrame:
     """doc_id, lang, perplexity per byte (NULL for an empty text) by the model of ``training`` (text)."""
     vocabulary = written(training.mapInPandas(_vocabulary, "c long, text string").dropDuplicates(["c"]), "words")
-    folder, shards = write_shards(train(vocabulary.select("text")))
+    spark = docs.sparkSession
+    path, since = work_path(spark, "model_shards"), work_count()
+    folder, shards = write_shards(train(vocabulary.select("text")), path=path)
+    delete_work(spark, since)
     model, weight = word_model(training, folder, shards, vocabulary)
     named = docs.withColumn("t", F.xxhash64("text"))
     base = named.select("doc_id", "lang", "t", spelling_column(folder, shards, F.col("text")).alias("s"))
@@ -413,10 +442,10 @@ def perplexities(docs: DataFrame, training: DataFrame) -> DataFrame:
         start = int(gram_keys(np.zeros(1, np.uint64)).view(np.int64)[0])
         found = (named.where(F.length("text") > 0).select("t", "text")
                  .mapInPandas(document_grams, "t long, key long, n int, m int")
-                 .join(model.hint("merge"), "key").groupBy("t")
+                 .join(model, "key").groupBy("t")
                  .agg(F.sum(F.col("n") * F.col("d") + F.col("m") * F.col("g")).alias("more"),
                       F.sum(((F.col("key") == start) & (F.col("n") == 0)).cast("long")).alias("readings")))
-        base = base.join(found.hint("merge"), "t", "left")
+        base = base.join(found, "t", "left")
         total = total + F.coalesce(F.col("more") / F.col("readings") / SCALE, F.lit(0.0))
     return base.select("doc_id", "lang", F.exp(-total / F.col("s.size")).alias("perplexity"))
 
@@ -424,10 +453,13 @@ def perplexities(docs: DataFrame, training: DataFrame) -> DataFrame:
 def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold, keep for every row of ``docs``."""
     trusted = written(trusted_ids(labels), "trusted_ids")
-    # one plan at every size: a side that is small today is not sent to all tasks
-    training = (docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
-                .select("text"))
-    scored = written(perplexities(docs.select("doc_id", "lang", "text"), training), "perplexities")
+    training = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi").select("text")
+    spark = docs.sparkSession
+    path, since = work_path(spark, "perplexities"), work_count()
+    scored = perplexities(docs.select("doc_id", "lang", "text"), training)
+    scored.write.parquet(path)
+    delete_work(spark, since)
+    scored = spark.read.schema(scored.schema).parquet(path)
     known = scored.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     top = F.percentile_approx("perplexity", quantile, 10_000)
     by_language = known.groupBy(F.col("lang").alias("l")).agg(top.alias("own"))
