@@ -9,7 +9,8 @@ model of byte ``ORDER``-grams, trained on the distinct trusted words and interpo
 to the uniform distribution over bytes, spells them, so every text has a probability.
 
 The 3-grams are exchanged once to be counted, by their first two words, so the sums of a
-context are taken where its 3-grams lie; texts are never moved.  The logarithm of a word's
+context are taken where its 3-grams lie.  Trusted ids meet the texts by the join that Spark
+chooses from their size: texts move only if the ids are too many to broadcast.  The logarithm of a word's
 probability is a sum over the n-grams that end in it or are its context, each with a share
 of its own (``word_model``).  So a document's distinct n-grams meet the model in one join
 on the hash and are summed by document; neither the model nor a text is held whole by a
