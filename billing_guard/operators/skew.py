@@ -53,6 +53,12 @@ def hot_shares(df: DataFrame, *key_lists: Sequence[str], parts: int | None = Non
     One pass over the key columns for all lists.  A key is hot when it holds at least
     ``1 / parts`` of all rows (within an eighth, as the sketches see it).
     """
+    return rows_and_hot_shares(df, *key_lists, parts=parts)[1]
+
+
+def rows_and_hot_shares(df: DataFrame, *key_lists: Sequence[str],
+                        parts: int | None = None) -> tuple[int, list[dict[int, int]]]:
+    """:func:`hot_shares`, and before them the number of all rows, from the same pass."""
     spark = df.sparkSession
     parts = parts or HOT_PARTS * partitions(spark)
     entries = min(_SKETCH_LIMIT, SKETCH_ENTRIES * parts)
@@ -75,8 +81,21 @@ def hot_shares(df: DataFrame, *key_lists: Sequence[str], parts: int | None = Non
              .orderBy(F.col("n").desc()).limit(1 + parts * len(key_lists)).collect())
     all_rows = next((r.n for r in found if r.which == -1), 0)
     shares = SHARES * partitions(spark)
-    return [{r.hash: ceil(shares * r.n / all_rows) for r in found if r.which == i and r.n * parts >= all_rows}
-            for i in range(len(key_lists))]
+    return all_rows, [
+        {r.hash: ceil(shares * r.n / all_rows) for r in found if r.which == i and r.n * parts >= all_rows}
+        for i in range(len(key_lists))]
+
+
+def in_tasks(df: DataFrame, rows: int, most: int, keys: Sequence[str]) -> DataFrame:
+    """``df``, of so many rows, exchanged by ``keys`` into tasks of about ``most`` rows at most.
+
+    The shuffle partitions of the session, which Spark may merge, do where they are enough;
+    else the number of tasks grows with the rows, so that no task's memory does.
+    """
+    tasks = ceil(rows / most)
+    if tasks <= df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(*keys)
+    return df.repartition(tasks, *keys)
 
 
 def is_hot(keys: Sequence[str], shares: dict[int, int]) -> Column:

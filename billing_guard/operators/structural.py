@@ -22,8 +22,9 @@ Strategies
     cannot (a hot invoice's cases, a hot pair's amounts, a hot key's copies) comes from
     a broadcast table of at most a few rows per hot entry, aggregated in a second pass that
     only hot rows reach and that is left out when nothing is hot.  So the input is read at
-    most three times and shuffled once, whatever the shares.
-    Reports sum the classified rows per group, where they lie, before anything else moves.
+    most three times and shuffled once, whatever the shares, into tasks of about
+    ``TASK_ROWS`` rows.  Reports sum the classified rows per class, where they lie and as the
+    windows pass them on in order: nothing is held for each invoice.
 ``window`` (on request)
     Three window aggregates sharing one exchange on ``invoice_id``.  Every invoice's rows
     meet in one task, so only for inputs known to have no hot invoice.
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billing_guard.operators.skew import hot_shares, is_hot, share_of
+from billing_guard.operators.skew import in_tasks, is_hot, rows_and_hot_shares, share_of
 from billing_guard.session import written
 
 INVOICE, CASE, AMOUNT = "invoice_id", "case_id", "amount"
@@ -87,6 +88,8 @@ def _use_windows(strategy: str) -> bool:
 #: what rows of one exchange group share besides the invoice: a hot invoice's case, a hot
 #: pair's amount, a share of a hot key
 _GROUP = [INVOICE, "_case", "_amount", "_share"]
+#: rows that one task of the exchange sorts, about
+TASK_ROWS = 2_000_000
 _HOT_INVOICE, _HOT_PAIR, _HOT_KEY = "_hot_invoice", "_hot_pair", "_hot_key"
 _EXACT, _AMOUNTS, _CASES = "_exact", "_amounts_differ", "_cases_differ"
 
@@ -149,7 +152,7 @@ def flagged(df: DataFrame, weight: Column | None = None) -> DataFrame:
     """
     n = F.lit(1) if weight is None else weight
     columns = df.columns
-    hot = hot_shares(df, [INVOICE], [INVOICE, CASE], KEYS)
+    n_rows, hot = rows_and_hot_shares(df, [INVOICE], [INVOICE, CASE], KEYS)
     if hot[0]:
         invoices, pairs, keys = _hot_facts(df, hot, n)
         rows = _attach(df, invoices, [INVOICE], _HOT_INVOICE)
@@ -163,7 +166,7 @@ def flagged(df: DataFrame, weight: Column | None = None) -> DataFrame:
     else:
         rows, group = df, [INVOICE]
     # clusters and orders all windows below: one exchange and one sort in total
-    rows = rows.repartition(*group).sortWithinPartitions(*group, CASE, AMOUNT)
+    rows = in_tasks(rows, n_rows, TASK_ROWS, group).sortWithinPartitions(*group, CASE, AMOUNT)
     in_group, in_pair, in_key = (Window.partitionBy(*group, *more) for more in ([], [CASE], [CASE, AMOUNT]))
     case_lo, case_hi = F.min(CASE).over(in_group), F.max(CASE).over(in_group)
     amount_lo, amount_hi = F.min(AMOUNT).over(in_pair), F.max(AMOUNT).over(in_pair)
@@ -255,24 +258,26 @@ def class_summary(df: DataFrame) -> DataFrame:
     """One row per class: rows, rows with an invoice, rows with an amount, distinct invoices
     and the sum of the amounts.
 
-    Summed per exchange group where the classified rows lie, then per class: the partial
-    sums of a cold invoice stand for it once per class, so distinct invoices need no
-    exchange of their own; hot invoices, of which there are few, are told apart by name.
+    Summed per class where the classified rows lie.  Of a cold invoice, whose rows lie together
+    in order, the first row of each class stands for it, so distinct invoices need neither an
+    exchange nor a table of them; hot invoices, of which there are few, are told apart by name.
     """
     rows = flagged(df.select(*KEYS))
     group = [c for c in _GROUP if c in rows.columns]
-    per_group = (rows.select(*rows.columns, _type_of_flags())
-                 .groupBy(*group, _HOT_INVOICE, "anomaly_type")
-                 .agg(F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_with_amount"),
-                      F.sum(AMOUNT).alias("_total")))
+    earlier = (Window.partitionBy(*group).orderBy(CASE, AMOUNT)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    bit = F.coalesce(*[F.when(F.col("anomaly_type") == c, F.lit(1 << i)) for i, c in enumerate(CLASSES)])
+    seen = F.coalesce(F.bit_or("_bit").over(earlier), F.lit(0))
+    rows = (rows.select(*rows.columns, _type_of_flags()).withColumn("_bit", bit)
+            .withColumn("_first", seen.bitwiseAND(F.col("_bit")) == 0))
     named = F.col(INVOICE).isNotNull()
     cold = named & ~F.col(_HOT_INVOICE)
-    per_invoice = (per_group.groupBy("anomaly_type", F.when(F.col(_HOT_INVOICE), F.col(INVOICE)).alias("_name"))
-                   .agg(F.sum("_rows").alias("_rows"),
-                        F.sum(F.when(named, F.col("_rows")).otherwise(0)).alias("_with_invoice"),
-                        F.sum("_with_amount").alias("_with_amount"),
-                        F.sum(F.when(cold, 1).otherwise(0)).alias("_cold"),
-                        F.sum("_total").alias("_total")))
+    per_invoice = (rows.groupBy("anomaly_type", F.when(F.col(_HOT_INVOICE), F.col(INVOICE)).alias("_name"))
+                   .agg(F.count(F.lit(1)).alias("_rows"),
+                        F.count(INVOICE).alias("_with_invoice"),
+                        F.count(AMOUNT).alias("_with_amount"),
+                        F.count_if(cold & F.col("_first")).alias("_cold"),
+                        F.sum(AMOUNT).alias("_total")))
     return per_invoice.groupBy("anomaly_type").agg(
         F.sum("_rows").alias("rows"),
         F.sum("_with_invoice").alias("rows_with_invoice"),

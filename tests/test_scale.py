@@ -149,3 +149,26 @@ def test_shares_follow_the_size_of_a_key(spark):
     assert by_name["h"] == 4 * p and by_name[None] == p
     assert all(v is None for k, v in by_name.items() if k not in ("h", None))
     assert hot_shares(df.where("false"), ["k"]) == [{}]
+
+
+def test_no_task_sorts_more_rows_as_the_input_grows(spark, monkeypatch):
+    monkeypatch.setattr(ops, "TASK_ROWS", 1_000)
+    df = spark.range(60_000).selectExpr("concat('I', id) AS invoice_id", "'C' AS case_id",
+                                        "CAST(1 AS decimal(19,2)) AS amount")
+    per_task = ops.classify_structural(df).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task <= 1_250  # the session's eight partitions would hold 7,500 each
+
+
+def test_summary_holds_nothing_for_each_invoice(spark):
+    rows = [("I1", None, 5), ("I1", None, 7), ("I1", None, 7), ("I1", None, 8), ("I1", "C", 5), ("I1", "C", 6),
+            ("I2", "C", 5), ("I2", "C", 5), ("I3", "C", 5), ("I3", "D", 5), (None, "C", 5), (None, "C", 5)]
+    few = spark.createDataFrame(rows, "invoice_id string, case_id string, amount int")
+    cold = spark.range(5_000).selectExpr("concat('J', id) AS invoice_id", "'C' AS case_id", "1 AS amount")
+    summary = ops.class_summary(few.unionByName(cold).selectExpr("invoice_id", "case_id",
+                                                                 "CAST(amount AS decimal(19,2)) AS amount"))
+    got = {r["anomaly_type"]: (r["rows"], r["rows_with_invoice"], r["invoices"]) for r in summary.collect()}
+    assert got == {"CLEAN": (5_002, 5_002, 5_001), "EXACT_DUPLICATE": (6, 4, 2),
+                   "AMOUNT_MISMATCH": (2, 2, 1), "CASE_MISMATCH": (2, 2, 1)}
+    plan_text = summary._jdf.queryExecution().executedPlan().toString()
+    aggregates = [line for line in plan_text.splitlines() if "HashAggregate(" in line]
+    assert aggregates and not any("keys=[invoice_id" in line for line in aggregates)
