@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from billing_guard.session import written
 
-__all__ = ["WORD", "WordCache", "fold", "share_package", "table", "word_hashes", "words", "written"]
+__all__ = ["WORD", "RecentWords", "WordCache", "fold", "share_package", "table", "word_hashes", "words", "written"]
 
 #: A word: a run of letters, digits and underscores of the lower-cased text.
 WORD = re.compile(r"\w+")
@@ -67,6 +67,29 @@ class WordCache(dict):
             self.update(zip(missing, values(missing)))
 
 
+class RecentWords(dict):
+    """word -> ``value(word)``, found when it is first asked for; holds ``limit`` words at most.
+
+    When half of them are new the older ones are given up, but for those asked for since:
+    frequent words stay.
+    """
+
+    def __init__(self, limit: int, value: Callable[[str], object]):
+        super().__init__()
+        self.half, self.value = max(1, limit // 2), value
+        self.older: dict[str, object] = {}
+
+    def __missing__(self, word: str):
+        found = self.older.pop(word, None)
+        if found is None:
+            found = self.value(word)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 def _digests(missing: list[str]) -> list[int]:
     return [int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
             for w in missing]

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from billing_guard.llm.common import WordCache
+from billing_guard.llm.common import RecentWords
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -24,8 +24,8 @@ WORD_BPE = "word_bpe_49k.json"
 # first, as no other branch begins with one).
 _LETTERS = "[a-zA-Zªµºß-öø-ÿÀ-ÖØ-ÞĀ-ɏ]"
 _SPLIT = {
-    BYTE_BPE: re.compile(rf" ?{_LETTERS}+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"),
-    WORD_BPE: re.compile(rf"{_LETTERS}+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|(?:[^\s\w]|_)+"),
+    BYTE_BPE: re.compile(rf" ?{_LETTERS}++|'(?:[stmd]|re|ve|ll)| ?[0-9]++| ?(?:[^\s\w]|_)++|\s+(?!\S)|\s+"),
+    WORD_BPE: re.compile(rf"{_LETTERS}++|'(?:[stmd]|re|ve|ll)|[0-9]|(?:[^\s\w]|_)++"),
 }
 # Characters whose class differs between this split and the libraries', and all beyond Latin.
 _UNUSUAL = re.compile("[^\u0000-\u001b -±´-¸º»¿-ɏ‐-‧€]")
@@ -65,22 +65,26 @@ class Splitter:
 class Encoder:
     """text -> little-endian unsigned 32-bit ids, as the library gives them."""
 
-    def __init__(self, name: str, path: str | None = None, cache_words: int = 200_000):
+    def __init__(self, name: str, path: str | None = None, cache_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path or tokenizer_path(name))
         self.merge, self.symbols = self.library.model.tokenize, byte_symbols()
+        self.space = self.symbols[ord(" ")]
         self.four = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.split = Splitter(name, [t.content for t in self.library.get_added_tokens_decoder().values()])
-        self.cache = WordCache(cache_words)
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words: the library's merges on the word's byte symbols."""
-        merge, symbols, four = self.merge, self.symbols, self.four
-        return [b"".join([four[t.id] for t in merge(w.translate(symbols) if w.isascii() else
-                                                    w.encode().decode("latin-1").translate(symbols))])
-                for w in words]
+        self.cache = RecentWords(cache_words, self._word)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a single word: the library's merges on the word's byte symbols."""
+        if word.isascii():
+            # printable ones stand for themselves, but for the space
+            symbols = word.replace(" ", self.space) if word.isprintable() else word.translate(self.symbols)
+        else:
+            symbols = word.encode().decode("latin-1").translate(self.symbols)
+        four = self.four
+        return b"".join([four[t.id] for t in self.merge(symbols)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -92,7 +96,6 @@ class Encoder:
         pieces = self.split(text)
         if pieces is None:
             return self._encode([text])[0]
-        self.cache.fill(pieces, self._words)
         return b"".join(map(self.cache.__getitem__, pieces))
 
 

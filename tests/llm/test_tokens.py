@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from billing_guard.llm import bpecount, packing, tokenfile
-from billing_guard.llm.encode import BYTE_BPE, WORD_BPE, encoder, tokenizer_path
+from billing_guard.llm.encode import BYTE_BPE, WORD_BPE, Encoder, encoder, tokenizer_path
 from billing_guard.session import work_path
 from tests.llm.conftest import by
 
@@ -55,6 +55,21 @@ def test_counts(docs, library):
     assert bpecount.count_documents(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_frequent_words_are_merged_once_however_many_others_come(library, name):
+    encode = Encoder(name, cache_words=200)
+    merge, merged = encode.merge, []
+    encode.merge = lambda symbols: merged.append(symbols) or merge(symbols)
+    rng = random.Random(3)
+    for _ in range(40):
+        text = "".join(f" {w}" for k in range(50) for w in
+                       ("frequent", "".join(rng.choices("abcdefgh", k=9)), f"naïve{k % 5}"))
+        assert encode(text) == np.array(ids(library, name, text), "<u4").tobytes()
+    assert len(set(merged)) > 1_900
+    assert sum("frequent" in symbols for symbols in merged) == 1
+    assert len(encode.cache) + len(encode.cache.older) <= 200
+
+
 # --- packing -------------------------------------------------------------------------
 def test_fullest_is_the_best_subset():
     rng = random.Random(5)
