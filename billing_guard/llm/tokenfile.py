@@ -9,10 +9,11 @@ counts bits from there, so an offset is found without a table of 64-bit offsets:
 
 Documents are range-partitioned by ascending doc_id and sorted inside each partition;
 every task streams its documents into files of its own, named for the attempt, and
-returns one manifest row per file.  The manifest is written by Spark's committer: files
-of lost attempts are in no manifest and never read.  Files go through ``pyarrow.fs``
-into the given folder, which all executors must reach; a folder without a scheme is the
-one that Spark means by it, on the session's default file system.
+returns one manifest row per file.  The rows meet in one task and are written by Spark's
+committer: files of lost attempts are in no manifest and never read.  Files go through
+``pyarrow.fs`` into the given folder, which all executors must reach; a folder without a
+scheme is the one that Spark means by it, on the session's default file system.  Small
+files are read several to a task.
 
 Edge cases: NULL and empty texts are documents of the end id alone; NULL ids come first;
 repeated ids stand beside each other; an empty table writes no file and reads back as
@@ -39,6 +40,7 @@ END_ID = 2
 SAMPLE = 256                 # one-bits between select samples
 FILE_IDS = 32_000_000        # a task begins a new file beyond so many ids
 FILE_DOCS = 2_000_000        # ... or so many documents
+READ_IDS = 4_000_000         # a task reads so many ids, or one file, on average
 _MAGIC = b"TOKEF1\0\0"
 _HEAD = struct.Struct("<8sQQQI")  # magic, documents, NULL ids, ids, bytes an id
 _EF_HEAD = struct.Struct("<QQqI")  # values, bytes of high bits, least value, low bits
@@ -240,16 +242,19 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = WORD_BPE,
             .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
             .select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
     manifest = f"{folder.rstrip('/')}/manifest"
-    rows.mapInPandas(write, MANIFEST).write.parquet(manifest)
+    # one row for each file, met in a single task: not a part file (and its checksum) for each
+    rows.mapInPandas(write, MANIFEST).repartition(1).write.parquet(manifest)
     return docs.sparkSession.read.schema(MANIFEST).parquet(manifest)
 
 
-def read_token_files(manifest: DataFrame, chunk_ids: int = 4_000_000) -> DataFrame:
+def read_token_files(manifest: DataFrame, chunk_ids: int = 4_000_000,
+                     read_ids: int = READ_IDS) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone."""
     # one row for each file: a running sum over the manifest, not over documents
     before = Window.orderBy("part", "roll").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    spread = files.repartition(max(1, manifest.count()))
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.sum("n_ids").alias("ids")).first()
+    spread = files.repartition(max(1, min(size["files"], -(-(size["ids"] or 0) // read_ids))))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

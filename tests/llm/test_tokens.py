@@ -163,3 +163,21 @@ def test_files(spark, docs, library):
     assert file.offset(0) == 0 and file.doc_id(0) is None
     empty = tokenfile.write_token_files(docs([]), work_path(spark, "files"))
     assert tokenfile.read_token_files(empty).count() == 0
+
+
+def test_small_files_share_part_files_and_reading_tasks(spark, docs):
+    rows = [(i, f"word {i}", "en") for i in range(40)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        manifest = tokenfile.write_token_files(docs(rows), work_path(spark, "files"))
+        files, total = manifest.count(), manifest.agg({"n_ids": "sum"}).first()[0]
+        assert files > 2
+        assert len(manifest.inputFiles()) == 1
+        for read_ids, parts in ((tokenfile.READ_IDS, 1), (total // 2, 2), (1, files)):
+            out = tokenfile.read_token_files(manifest, read_ids=read_ids)
+            assert out.rdd.getNumPartitions() == parts
+            assert [r.doc_id for r in sorted(out.collect(), key=lambda r: r.start)] == list(range(40))
+    finally:
+        spark.conf.set(coalesce, held)
