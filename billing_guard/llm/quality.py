@@ -31,41 +31,44 @@ is one word; only doc_id, text, lang and doc_id, quality are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billing_guard.llm.common import written
 from billing_guard.llm.tokenfile import open_path
-from billing_guard.session import delete_work, qualified, work_count, work_path
+from billing_guard.llm.wordmodel import LEAST, PASSES, SCALE, discounts_of, hashed_words, job_settings, mixed, ranked, word_sums
+from billing_guard.session import delete_work, qualified, work_count, work_path, written_observed
 
 ORDER = 4             # of the spelling model
 QUANTILE = 0.99
 SHARD_ROWS = 2_000_000
-WORDS = 3             # word n-grams up to this order
-LEAST = 1e-12         # weight of what no discount leaves anything for
-SCALE = 1e9           # logarithms are summed as whole numbers of this part
 _AT_ONCE = 4_000_000  # bytes scored at a time
 _KEPT_SHARDS = 2      # shards a worker keeps between batches
+_IDS_SENT = 4_000_000  # trusted ids that are sent to all tasks, so that no text moves
 
 
 def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """ORDER-gram codes at every byte of the texts (zero bytes before each), and where
     each text's codes start."""
-    pad = b"\0" * (ORDER - 1)
-    data = np.frombuffer(b"".join(pad + t for t in texts), np.uint8).astype(np.uint32)
-    codes = data[ORDER - 1:].copy()
+    stops = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    starts = np.concatenate([np.zeros(1, np.int64), stops[:-1]]) if len(texts) else stops
+    return _codes(np.frombuffer(b"".join(texts), np.uint8), starts, stops), starts
+
+
+def _codes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """ORDER-gram codes at every byte of some pieces of ``data``, one piece after the other."""
+    sizes = stops - starts
+    firsts = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.sum())
+    own = data[at + np.repeat(starts - firsts, sizes)].astype(np.uint32)
+    codes, place = own.copy(), at - np.repeat(firsts, sizes)
     for k in range(1, ORDER):
-        codes |= data[ORDER - 1 - k:len(data) - k] << np.uint32(8 * k)
-    sizes = np.array([len(t) for t in texts])
-    starts = np.cumsum([0, *(sizes + ORDER - 1)])[:-1]
-    keep = np.ones(len(codes), bool)
-    for s in starts[1:]:
-        keep[s - ORDER + 1:s] = False
-    return codes[keep], np.cumsum([0, *sizes])[:-1]
+        later = np.flatnonzero(place >= k)
+        codes[later] |= own[later - k] << np.uint32(8 * k)
+    return codes
 
 
 def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -98,15 +101,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def discounts(order_counts: DataFrame) -> dict[str, float]:
     """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more."""
-    n = order_counts.agg(*(F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)).alias(f"n{k}")
-                           for k in (1, 2, 3, 4))).first()
-    y = n["n1"] / (n["n1"] + 2 * n["n2"]) if n["n1"] else 0.5
-    out = {}
-    for k in (1, 2, 3):
-        here, more = n[f"n{k}"], n[f"n{k + 1}"]
-        d = k - (k + 1) * y * more / here if here else y * min(k, 1)
-        out[f"d{k}"] = min(max(d, 0.0), float(k))
-    return out
+    return discounts_of(list(order_counts.agg(*(F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0))
+                                                for k in (1, 2, 3, 4))).first()))
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -210,32 +206,12 @@ def log_probabilities(folder: str, shards: int, grams: np.ndarray) -> np.ndarray
     return np.log(below)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads them."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_ROOT = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _ROOT)
-_INVERSE = np.uint64(pow(int(_ROOT), -1, 1 << 64))
-_SPACE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
-
-
 def word_spans(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The joined texts (none empty); of each word its start, end, 64-bit hash and text."""
     joint = b"".join(texts)
-    data = np.frombuffer(joint, np.uint8)
     stops = np.cumsum([len(t) for t in texts])
-    last = _SPACE[data].copy()
-    last[stops - 1] = True
-    ends = np.flatnonzero(last) + 1
+    ends, words = hashed_words(np.frombuffer(joint, np.uint8), stops)
     starts = np.concatenate([[0], ends[:-1]])
-    powers = np.cumprod(np.full(len(data), _ROOT, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers)])
-    back = np.cumprod(np.full(len(data), _INVERSE, np.uint64))
-    words = _mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
     return joint, starts, ends, words, np.searchsorted(stops, starts, side="right")
 
 
@@ -246,54 +222,76 @@ def before(words: np.ndarray, text: np.ndarray, steps: int) -> np.ndarray:
     return out
 
 
-def gram_keys(*words: np.ndarray) -> np.ndarray:
-    """64-bit keys of n-grams, the order in them."""
-    key = np.full(len(words[0]), len(words), np.uint64)
-    for w in words:
-        key = _mixed(key * _ROOT + w)
-    return key
-
-
-def key_column(*words: str) -> Column:
-    """``gram_keys`` of columns of word hashes."""
-
-    @F.pandas_udf("long")
-    def keys(*columns: pd.Series) -> pd.Series:
-        return pd.Series(gram_keys(*(x.to_numpy().view(np.uint64) for x in columns)).view(np.int64))
+class _Recent:
+    """Of words met lately a number each, by their hashes: a word takes the place of another."""
 
-    return keys(*words)
+    def __init__(self, bits: int = 20):
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
+        self.mask = np.uint64((1 << bits) - 1)
 
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' numbers, and where those are that have none."""
+        at = (words & self.mask).astype(np.int64)
+        return self.numbers[at], np.flatnonzero(self.keys[at] != words)
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the distinct numbers: first places, counts; and the rank of every number."""
-    _, first, rank, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-    return first, counts, rank
-
-
-def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for _, group in _chunks(batch["text"].tolist()):
-            _, _, _, words, text = word_spans(group)
-            grams = before(words, text, 2), before(words, text, 1), words
-            first, counts, _ = _distinct(gram_keys(*grams))
-            yield pd.DataFrame({k: g[first].view(np.int64) for k, g in zip("abc", grams)} | {"n": counts})
+    def put(self, words: np.ndarray, numbers: np.ndarray | float) -> None:
+        at = (words & self.mask).astype(np.int64)
+        self.keys[at] = words  # of several for one place the last, here and below
+        self.numbers[at] = numbers
 
 
 def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    met = _Recent()
     for batch in batches:
         for _, group in _chunks(batch["text"].tolist()):
             joint, starts, ends, words, _ = word_spans(group)
-            first, _, _ = _distinct(words)
-            yield pd.DataFrame({"c": words[first].view(np.int64), "text": [
-                joint[s:e].decode("utf-8", "replace") for s, e in zip(starts[first], ends[first])]})
+            new = met.find(words)[1]
+            found, first, _, _ = ranked(words[new])
+            met.put(found, 0.0)
+            first = new[first]
+            yield pd.DataFrame({"c": found.view(np.int64), "text": [
+                joint[s:e].decode("utf-8", "replace") for s, e in zip(starts[first].tolist(), ends[first].tolist())]})
 
 
 def _spelled(folder: str, shards: int, words: list[bytes]) -> np.ndarray:
     """Logarithm of each word's probability by the spelling model."""
     codes, starts = gram_codes(words)
-    grams = np.unique(codes)
-    logs = log_probabilities(folder, shards, grams)[np.searchsorted(grams, codes)]
-    return np.add.reduceat(np.maximum(logs, np.log(LEAST)), starts)
+    return _spelled_codes(folder, shards, codes, starts)
+
+
+#: Spelling of the words and byte n-grams a Python worker met lately, of one model.
+_SPELLED: dict[str, tuple[_Recent, _Recent]] = {}
+
+
+def _recent(folder: str) -> tuple[_Recent, _Recent]:
+    if folder not in _SPELLED:
+        _SPELLED.clear()
+        _SPELLED[folder] = _Recent(), _Recent()
+    return _SPELLED[folder]
+
+
+def _spelled_codes(folder: str, shards: int, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    keys = mixed(codes.astype(np.uint64) + np.uint64(1))
+    logs, new = _recent(folder)[1].find(keys)
+    if len(new):
+        grams, first, _, rank = ranked(codes[new])
+        found = np.maximum(log_probabilities(folder, shards, grams), np.log(LEAST))
+        logs[new] = found[rank]
+        _recent(folder)[1].put(keys[new[first]], found)
+    return np.add.reduceat(logs, starts)
+
+
+def _word_logs(folder: str, shards: int, joint: bytes, starts: np.ndarray, ends: np.ndarray,
+               words: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of each word of the texts by its spelling."""
+    logs, new = _recent(folder)[0].find(words)
+    if len(new):
+        found, first, _, rank = ranked(words[new])
+        s, e = starts[new[first]], ends[new[first]]
+        spelled = _spelled_codes(folder, shards, _codes(np.frombuffer(joint, np.uint8), s, e), np.cumsum(e - s) - (e - s))
+        logs[new] = spelled[rank]
+        _recent(folder)[0].put(found, spelled)
+    return logs
 
 
 def spelling_column(folder: str, shards: int, text: Column) -> Column:
@@ -306,9 +304,7 @@ def spelling_column(folder: str, shards: int, text: Column) -> Column:
             out = np.full((len(texts), 3), np.nan)
             for rows, group in _chunks(texts.tolist()):
                 joint, starts, ends, words, text = word_spans(group)
-                first, _, rank = _distinct(words)
-                logs = _spelled(folder, shards, [joint[s:e] for s, e in zip(starts[first], ends[first])])[rank]
-                out[rows, 0] = np.bincount(text, logs, len(group))
+                out[rows, 0] = np.bincount(text, _word_logs(folder, shards, joint, starts, ends, words), len(group))
                 out[rows, 1] = np.bincount(text, minlength=len(group))
                 out[rows, 2] = [len(t) for t in group]
             yield pd.DataFrame({"base": pd.Series(out[:, 0]).astype(object).where(~np.isnan(out[:, 0]), None),
@@ -317,149 +313,55 @@ def spelling_column(folder: str, shards: int, text: Column) -> Column:
     return score.asNondeterministic()(text)
 
 
-def document_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """t, key, n, m: how often each n-gram ends in a word of the text and is a word's context.
-
-    Texts that are equal in a batch are read once.  The empty context's row, one for each
-    text read, counts the readings.
-    """
-    for batch in batches:
-        batch = batch.drop_duplicates("t")
-        names = batch["t"].to_numpy()
-        for rows, group in _chunks(batch["text"].tolist()):
-            _, _, _, words, text = word_spans(group)
-            b, a = before(words, text, 1), before(words, text, 2)
-            last = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-            own = names[rows]
-            # as a context an n-gram stands once for each time it ends in a word, but for the
-            # last words of the text and the empty places before the first
-            zero = np.zeros(len(group), np.uint64)
-            ends = [(gram_keys(zero), 1), (gram_keys(zero, zero), 1), (gram_keys(words[last]), -1),
-                    (gram_keys(b[last], words[last]), -1)]
-            for keys, m in ends:
-                yield pd.DataFrame({"t": own, "key": keys.view(np.int64), "n": np.int32(0), "m": np.int32(m)})
-            at = _mixed(text.astype(np.uint64) + _ROOT)
-            for k, keys in enumerate((gram_keys(words), gram_keys(b, words), gram_keys(a, b, words)), 1):
-                first, n, _ = _distinct(keys ^ at)
-                order = np.argsort(first)  # text by text, which packs better
-                first, n = first[order], n[order]
-                yield pd.DataFrame({"t": own[text[first]], "key": keys[first].view(np.int64), "n": n.astype(np.int32),
-                                    "m": (n if k < WORDS else 0 * n).astype(np.int32)})
-
-
-def _sums(over: Window | None = None) -> dict[str, Column]:
-    """A context's sum of counts, and how many of them are 1, 2, and 3 or more."""
-    n = F.col("n")
-    sums = {"total": F.sum("n"), "n1": F.count_if(n == 1), "n2": F.count_if(n == 2), "n3": F.count_if(n > 2)}
-    return sums if over is None else {k: x.over(over) for k, x in sums.items()}
-
-
-def word_model(texts: DataFrame, folder: str, shards: int, vocabulary: DataFrame) -> tuple[DataFrame | None, float]:
-    """(key, d, g of the n-grams; the logarithm of a word's weight on its spelling).
-
-    With S1(c) = the logarithm of c's probability without context, G(h) that of a context's
-    back-off weight and L that of an n-gram in the model, the logarithm for c after a, b is
-    S1(c) + G(b) + G(ab) + [bc known] (L(bc) - G(b) - L(c)) + [abc known] (L(abc) - G(ab) - L(bc)),
-    as all ends of a known n-gram are known; d is an n-gram's bracket and g its G.  For a
-    single word d is what L(c) is above the weight times the spelling.  An n-gram that is
-    also a context has a row for each, as the shares are only ever summed.
-    """
-    spark = texts.sparkSession
-    path, since = work_path(spark, "model"), work_count()
-    context = Window.partitionBy("a", "b")
-    tri = written(
-        texts.mapInPandas(_count_words, "a long, b long, c long, n long").repartition("a", "b")
-        .groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-        .withColumns(_sums(context) | {"first": F.col("c") == F.min("c").over(context)}), "grams")
-    bi = written(tri.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n")), "grams")
-    uni = written(bi.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "grams")
-
-    ds = {k: discounts(x.select(F.col("n").alias("c"))) for k, x in ((1, uni), (2, bi), (3, tri))}
-    whole = uni.agg(*(x.alias(k) for k, x in _sums().items())).first()
-    if not whole["total"]:
-        return None, 0.0
-    gamma = max(sum(ds[1][f"d{k}"] * whole[f"n{k}"] for k in (1, 2, 3)) / whole["total"], LEAST)
-
-    def left_over(k: int) -> Column:
-        """The back-off weight of a context of order ``k`` by its sums."""
-        cuts = sum((F.col(f"n{i}") * ds[k][f"d{i}"] for i in (1, 2, 3)), F.lit(0.0))
-        return F.greatest(cuts / F.col("total"), F.lit(LEAST))
-
-    def seen(k: int) -> Column:
-        d = ds[k]
-        return (F.col("n") - F.when(F.col("n") == 1, d["d1"]).when(F.col("n") == 2, d["d2"])
-                .otherwise(d["d3"])) / F.col("total")
-
-    spelled = spelling_column(folder, shards, F.col("text"))["base"]
-    words = vocabulary.select("c", F.exp(spelled).alias("p0"))
-    p1 = written(uni.withColumn("total", F.lit(whole["total"])).join(words, "c").select(
-        "c", "p0", (seen(1) + gamma * F.col("p0")).alias("p1")), "probabilities")
-    after1 = written(bi.groupBy("b").agg(*(x.alias(k) for k, x in _sums().items())), "contexts")
-    p2 = written(bi.join(after1.select("b", "total", left_over(2).alias("gamma")), "b")
-                 .join(p1.select("c", "p1"), "c")
-                 .select("b", "c", "gamma", "p1", (seen(2) + F.col("gamma") * F.col("p1")).alias("p2")),
-                 "probabilities")
-    own = tri.select(key_column("a", "b", "c").alias("key"), F.xxhash64("b", "c").alias("bc"),
-                     "n", "total", "n1", "n2", "n3")
-    p3 = (own.join(p2.select(F.xxhash64("b", "c").alias("bc"), "p2"), "bc")
-          .select("key", "p2", seen(3).alias("seen"), left_over(3).alias("gamma")))
-
-    def whole_number(x: Column) -> Column:
-        return F.coalesce(F.round(x * SCALE), F.lit(0.0)).cast("long")
-
-    def above(p: Column, *parts: Column) -> Column:
-        return whole_number(F.log(p) - sum((F.log(x) for x in parts), F.lit(0.0)))
-
-    def part(rows: DataFrame, key: Column, d: Column | None = None, g: Column | None = None) -> DataFrame:
-        none = F.lit(0).cast("long")
-        return rows.select(key.alias("key"), (none if d is None else d).alias("d"),
-                           (none if g is None else whole_number(F.log(g))).alias("g"))
-
-    parts = [
-        part(p3, F.col("key"), above(F.col("seen") + F.col("gamma") * F.col("p2"), F.col("gamma"), F.col("p2"))),
-        part(p2, key_column("b", "c"), above(F.col("p2"), F.col("gamma"), F.col("p1"))),
-        part(p1, key_column("c"), above(F.col("p1"), F.col("p0"), F.lit(gamma))),
-        part(tri.where("first"), key_column("a", "b"), g=left_over(3)),
-        part(after1, key_column("b"), g=left_over(2)),
-    ]
-    model = reduce(DataFrame.unionByName, parts)
-    model.write.parquet(path)
-    delete_work(spark, since)
-    return spark.read.schema(model.schema).parquet(path), float(np.log(gamma))
-
-
 def perplexities(docs: DataFrame, training: DataFrame) -> DataFrame:
     """doc_id, lang, perplexity per byte (NULL for an empty text) by the model of ``training`` (text)."""
-    vocabulary = written(training.mapInPandas(_vocabulary, "c long, text string").dropDuplicates(["c"]), "words")
+    texts = [x.select("text", F.lit(k).alias("trusted"), F.lit(not k).alias("wanted"))
+             for x, k in ((docs, False), (training, True))]
+    return _perplexities(docs, texts[0].unionByName(texts[1]))
+
+
+def _perplexities(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``perplexities`` of ``docs``, which are the wanted ones of ``texts`` (text, trusted, wanted)."""
     spark = docs.sparkSession
-    path, since = work_path(spark, "model_shards"), work_count()
-    folder, shards = write_shards(train(vocabulary.select("text")), path=path)
+    shards_path, sums_path = work_path(spark, "model_shards"), work_path(spark, "sums")
+    spelled_path, since = work_path(spark, "spelled"), work_count()
+    vocabulary = written(texts.where("trusted").select("text").mapInPandas(_vocabulary, "c long, text string")
+                         .dropDuplicates(["c"]), "words")
+    folder, shards = write_shards(train(vocabulary.select("text")), path=shards_path)
+    spelled = vocabulary.select("c", F.exp(spelling_column(folder, shards, F.col("text"))["base"]).alias("p0"))
+    with job_settings(spark, rows=50_000):
+        spelled.write.parquet(spelled_path)
     delete_work(spark, since)
-    model, weight = word_model(training, folder, shards, vocabulary)
+    spelled = spark.read.schema("c long, p0 double").parquet(spelled_path)
     named = docs.withColumn("t", F.xxhash64("text"))
+    weight = word_sums(texts.withColumn("t", F.xxhash64("text")), spelled, sums_path)
     base = named.select("doc_id", "lang", "t", spelling_column(folder, shards, F.col("text")).alias("s"))
-    total = F.col("s.base") + weight * F.col("s.words")
-    if model is not None:
-        start = int(gram_keys(np.zeros(1, np.uint64)).view(np.int64)[0])
-        found = (named.where(F.length("text") > 0).select("t", "text")
-                 .mapInPandas(document_grams, "t long, key long, n int, m int")
-                 .join(model, "key").groupBy("t")
-                 .agg(F.sum(F.col("n") * F.col("d") + F.col("m") * F.col("g")).alias("more"),
-                      F.sum(((F.col("key") == start) & (F.col("n") == 0)).cast("long")).alias("readings")))
+    total = F.col("s.base")
+    if weight is not None:
+        # equal texts have a row each in every pass
+        found = (spark.read.schema("t long, more long").parquet(sums_path).groupBy("t")
+                 .agg((F.sum("more") / (F.count(F.lit(1)) / PASSES)).alias("more")))
         base = base.join(found, "t", "left")
-        total = total + F.coalesce(F.col("more") / F.col("readings") / SCALE, F.lit(0.0))
+        total = total + weight * F.col("s.words") + F.coalesce(F.col("more") / SCALE, F.lit(0.0))
     return base.select("doc_id", "lang", F.exp(-total / F.col("s.size")).alias("perplexity"))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold, keep for every row of ``docs``."""
-    trusted = written(trusted_ids(labels), "trusted_ids")
-    training = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi").select("text")
     spark = docs.sparkSession
-    path, since = work_path(spark, "perplexities"), work_count()
-    scored = perplexities(docs.select("doc_id", "lang", "text"), training)
-    scored.write.parquet(path)
-    delete_work(spark, since)
+    with job_settings(spark):
+        trusted, seen = written_observed(trusted_ids(labels), "trusted_ids", ids=F.count(F.lit(1)))
+        path, since = work_path(spark, "perplexities"), work_count()
+        given = docs.select("doc_id", "lang", "text")
+        if (seen["ids"] or 0) <= _IDS_SENT:
+            marked = given.join(F.broadcast(trusted.withColumn("trusted", F.lit(True))), "doc_id", "left")
+            scored = _perplexities(given, marked.select(
+                "text", F.coalesce("trusted", F.lit(False)).alias("trusted"), F.lit(True).alias("wanted")))
+        else:
+            training = given.join(trusted, "doc_id", "left_semi").select("text")
+            scored = perplexities(given, written(training, "training"))
+        scored.write.parquet(path)
+        delete_work(spark, since)
     scored = spark.read.schema(scored.schema).parquet(path)
     known = scored.where(F.col("perplexity").isNotNull()).join(trusted, "doc_id", "left_semi")
     top = F.percentile_approx("perplexity", quantile, 10_000)
