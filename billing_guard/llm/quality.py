@@ -2,21 +2,19 @@
 
 Trained on all trusted documents (quality label 1).  A word is a run of bytes up to and
 with its white space, so the words of a text hold all its bytes; it stands for itself as a
-64-bit hash.  Word 3-grams are counted in the tasks and summed by Spark; the counts of
-lower orders are continuation counts (in how many longer n-grams one ends).  Each order
-has three discounts from its counts of counts.  Below the words a modified Kneser-Ney
-model of byte ``ORDER``-grams, trained on the distinct trusted words and interpolated down
-to the uniform distribution over bytes, spells them, so every text has a probability.
-
-The 3-grams are exchanged once to be counted, by their first two words, so the sums of a
-context are taken where its 3-grams lie.  Trusted ids meet the texts by the join that Spark
-chooses from their size: texts move only if the ids are too many to broadcast.  The logarithm of a word's
-probability is a sum over the n-grams that end in it or are its context, each with a share
-of its own (``word_model``).  So a document's distinct n-grams meet the model in one join
-on the hash and are summed by document; neither the model nor a text is held whole by a
-task.  The spelling model, which stays small, is dealt by hash into shards of about
-``SHARD_ROWS`` rows in the shared folder.  Tables are deleted once their last reader has
-written what it makes of them.
+64-bit hash.  The counts of lower orders are continuation counts (in how many longer
+n-grams one ends).  Each order has three discounts from its counts of counts.  Below the words
+a modified Kneser-Ney model of byte ``ORDER``-grams, trained on the distinct trusted words and
+interpolated down to the uniform distribution over bytes, spells them, so every text has a
+probability.
+
+The word model and what it adds to each text are taken bucket by bucket, in passes over the
+texts (``wordmodel``): neither the model nor a text is held whole by a task, and no table has
+the texts' n-grams.  Texts are marked as trusted where they lie as long as the trusted ids are
+at most ``_IDS_SENT``; beyond, trusted texts meet their ids in a join and are written once.
+The spelling model, which stays small, is dealt by hash into shards of about ``SHARD_ROWS``
+rows in the shared folder.  Tables are deleted once their last reader has written what it
+makes of them.
 
 A document's perplexity is that of its bytes.  It is kept if its perplexity is at most its
 language's ``quantile`` among trusted documents (all trusted ones, for a language without).
@@ -326,15 +324,14 @@ def _perplexities(docs: DataFrame, texts: DataFrame) -> DataFrame:
     shards_path, sums_path = work_path(spark, "model_shards"), work_path(spark, "sums")
     spelled_path, since = work_path(spark, "spelled"), work_count()
     vocabulary = written(texts.where("trusted").select("text").mapInPandas(_vocabulary, "c long, text string")
-                         .dropDuplicates(["c"]), "words")
+                         .distinct(), "words")
     folder, shards = write_shards(train(vocabulary.select("text")), path=shards_path)
     spelled = vocabulary.select("c", F.exp(spelling_column(folder, shards, F.col("text"))["base"]).alias("p0"))
     with job_settings(spark, rows=50_000):
         spelled.write.parquet(spelled_path)
     delete_work(spark, since)
-    spelled = spark.read.schema("c long, p0 double").parquet(spelled_path)
     named = docs.withColumn("t", F.xxhash64("text"))
-    weight = word_sums(texts.withColumn("t", F.xxhash64("text")), spelled, sums_path)
+    weight = word_sums(texts.withColumn("t", F.xxhash64("text")), spelled_path, sums_path)
     base = named.select("doc_id", "lang", "t", spelling_column(folder, shards, F.col("text")).alias("s"))
     total = F.col("s.base")
     if weight is not None:

@@ -34,9 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billing_guard.session import delete_work, work_count, work_path, written
+from billing_guard.session import delete_path, delete_work, work_count, work_path, written
 
-PASSES = 7
+PASSES = 6
 COUNT_AT_ONCE = 3     # passes counted together: only trusted rows, without their texts
 PIECE = 8_000_000     # bytes of text made into blocks at a time
 ROWS_AT_ONCE = 1 << 16
@@ -148,16 +148,17 @@ class Deal(NamedTuple):
     hot: np.ndarray
     shares: np.ndarray
     marks: np.ndarray  # by a word's lowest 16 bits: may it be hot?
+    stride: int        # from one of a hot word's buckets to the next
 
     @classmethod
-    def of(cls, buckets: int, counts: dict[int, int], total: int) -> Deal:
+    def of(cls, buckets: int, counts: dict[int, int], total: int, stride: int = 1) -> Deal:
         """``counts``: of words that may be hot."""
         most = -(-total // buckets)
         found = sorted((w, -(-n // most)) for w, n in counts.items() if n > HOT_BUCKETS * most)
         hot = np.array([w for w, _ in found], np.uint64)
         marks = np.zeros(1 << 16, bool)
         marks[(hot & np.uint64(0xFFFF)).astype(np.int64)] = True
-        return cls(buckets, hot, np.array([min(s, buckets) for _, s in found], np.uint64), marks)
+        return cls(buckets, hot, np.array([min(s, buckets) for _, s in found], np.uint64), marks, stride)
 
     def place(self, words: np.ndarray) -> np.ndarray:
         """The place of each word in ``hot``, -1 of others."""
@@ -171,7 +172,7 @@ class Deal(NamedTuple):
     def share(self, place: np.ndarray, beside: np.ndarray) -> np.ndarray:
         """The buckets of hot words by their places and the words beside them."""
         share = ((mixed(beside + _ROOT) >> np.uint64(32)) * self.shares[place]) >> np.uint64(32)
-        return (_part(self.hot[place], self.buckets) + share.astype(np.int64)) % self.buckets
+        return (_part(self.hot[place], self.buckets) + share.astype(np.int64) * self.stride) % self.buckets
 
     def chosen(self, words: np.ndarray, starts: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
         """Places of the middle words with rows for these buckets, and the buckets; the same
@@ -266,21 +267,24 @@ def word_counts(buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, stops in pieces(batch.column("text")):
-                words, n = np.unique(middles(data, stops)[0], return_counts=True)
-                total = n.sum()
-                often = n > total / (2 * buckets)
-                words, n = np.append(words[often], END), np.append(n[often], total)
+                words = middles(data, stops)[0]
+                total, ends = len(words), (words & np.uint64(0xFFFF)).astype(np.int64)
+                least = total / (2 * buckets)
+                words, n = np.unique(words[(np.bincount(ends) > least)[ends]], return_counts=True)
+                words, n = np.append(words[n > least], END), np.append(n[n > least], total)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["w", "n"])
 
     return count
 
 
-def deal_of(docs: DataFrame, buckets: int) -> Deal:
+def deal_of(docs: DataFrame, each: int) -> Deal:
+    """Buckets for PASSES passes of ``each``; those of a hot word lie in different passes."""
+    buckets = each * PASSES
     found = written(docs.select("text").mapInArrow(word_counts(buckets), "w long, n long").groupBy("w")
                     .agg(F.sum("n").alias("n")), "frequent")
     n = found.where(F.col("w") == -1).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rows = found.where((F.col("w") != -1) & (F.col("n") * buckets > n)).collect()
-    return Deal.of(buckets, {r.w % (1 << 64): r.n for r in rows}, n)
+    return Deal.of(buckets, {r.w % (1 << 64): r.n for r in rows}, n, each + 1)
 
 
 def blocks(deal: Deal, low: int, high: int, scored: bool):
@@ -391,7 +395,7 @@ class Held:
         self.ab, _, _, self.of_ab = ranked(gram_keys(a, b))
         self.bc, first, self.n2, self.of_bc = ranked(gram_keys(b, c))
         self.b, _, _, self.of_b = ranked(b[first])
-        self.c = np.searchsorted(self.words, c[first])
+        self.c = Found(self.words, np.arange(len(self.words)))(c[first])[0]
         place = deal.place(b[first])
         hot = np.flatnonzero(place >= 0)
         self.hot = hot[np.lexsort((place[hot], self.c[hot]))]  # 2-grams of hot words, by their second word
@@ -629,7 +633,8 @@ class Found:
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         bits = max(1, len(keys)).bit_length() + 1
         self.shift = np.uint64(64 - bits)
-        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        counts = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.cumsum(counts) - counts
         self.keys, self.values, self.count = np.append(keys, END), np.append(values, 0), len(keys)
 
     def __call__(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -759,18 +764,18 @@ def _added_by_id(rows: pa.Table) -> pa.Table:
     return pa.table({"id": rows.column("id").slice(0, 1), "sums": pa.array([total.tolist()], pa.list_(pa.int64()))})
 
 
-def word_sums(texts: DataFrame, spelled: DataFrame, path: str) -> float | None:
+def word_sums(texts: DataFrame, spelled_path: str, path: str) -> float | None:
     """Writes t, more to ``path``, PASSES rows for each row of ``texts`` with a text that is wanted.
 
     ``texts`` has t, text, trusted, wanted.  ``more`` is what the n-grams of the trusted ones
-    add to the logarithm of the text's probability, in parts of 1 / SCALE; ``spelled`` has the
-    hash c of each trusted word and its probability p0.  Returns the logarithm of a word's
+    add to the logarithm of the text's probability, in parts of 1 / SCALE; ``spelled_path`` has
+    the hash c of each trusted word and its probability p0, and is deleted.  Returns the logarithm of a word's
     weight on its spelling; None, and nothing is written, without any trusted word.
     """
     spark = texts.sparkSession
     each = int(spark.conf.get("spark.sql.shuffle.partitions"))
     since, answered = work_count(), work_path(spark, "answers")
-    deal = deal_of(texts, each * PASSES)
+    deal = deal_of(texts, each)
     asked = work_path(spark, "requests")
     training = texts.where("trusted").select("text")
     for low in range(0, deal.buckets, each * COUNT_AT_ONCE):
@@ -783,10 +788,11 @@ def word_sums(texts: DataFrame, spelled: DataFrame, path: str) -> float | None:
         return None
     parts = -(-int(counts[8]) // ASKED_AT_ONCE)
     rows = (requests.where(F.col("kind") == ASKED).mapInArrow(asked_blocks(parts), BLOCKS)
-            .unionByName(spelled.mapInArrow(spelled_blocks(parts), BLOCKS)))
+            .unionByName(spark.read.schema("c long, p0 double").parquet(spelled_path).mapInArrow(spelled_blocks(parts), BLOCKS)))
     (_dealt(rows, 0, parts).mapInArrow(answers(deal), BLOCKS)
      .withColumn("turn", F.floor(F.col("bucket") / each).cast("int")).write.partitionBy("turn").parquet(answered))
     delete_work(spark, since + 1)
+    delete_path(spark, spelled_path)
     found = spark.read.schema(f"{BLOCKS}, turn int").parquet(answered)
     ones = _added(found.where((F.col("turn") == -1) & (F.col("kind") == STATS)))
     cuts = {1: discounts_of(ones[:4].tolist()), 2: discounts_of((counts[4:8] + ones[6:]).tolist()),

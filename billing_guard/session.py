@@ -119,10 +119,15 @@ def work_count() -> int:
 
 def delete_work(spark: SparkSession, since: int = 0) -> None:
     """Delete the written tables that this process has made from number ``since`` on."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while len(_MADE) > since:
-        hpath = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        hpath.getFileSystem(conf).delete(hpath, True)
+        delete_path(spark, _MADE.pop())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one written table, if it is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(conf).delete(hpath, True)
 
 
 def local_path(path: str) -> str:
@@ -138,4 +143,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-__all__ = ["build_session", "qualified", "work_root", "work_path", "written", "written_observed", "delete_work", "work_count", "local_path", "path_exists"]
+__all__ = ["build_session", "qualified", "work_root", "work_path", "written", "written_observed", "delete_path", "delete_work", "work_count", "local_path", "path_exists"]
