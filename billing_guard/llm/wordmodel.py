@@ -104,21 +104,18 @@ def _hashes(data: np.ndarray, padded: np.ndarray, starts: np.ndarray, sizes: np.
         place, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
         piece = (padded[place] >> shift) | ((padded[place + 1] << np.uint64(1)) << (np.uint64(63) - shift))
         piece &= _MASKS[np.minimum(sizes, 8)]
-        return mixed((words ^ piece) * _ROOT + piece)
+        return mixed((words ^ piece) * _ROOT)  # another number for each piece
 
-    words = sizes.astype(np.uint64) * _ROOT
-    long = np.flatnonzero(sizes > _LONG)
-    if long.size:
-        found = mixed(words[long] + _long_hashes(data, starts[long], sizes[long]))
-    words = step(words, starts, sizes)
+    words = step(np.zeros(len(sizes), np.uint64), starts, sizes)
     rest, at = np.flatnonzero((sizes > 8) & (sizes <= _LONG)), 8
     while len(rest):
         words[rest] = step(words[rest], starts[rest] + at, sizes[rest] - at)
         at += 8
         rest = rest[sizes[rest] > at]
+    long = np.flatnonzero(sizes > _LONG)
     if long.size:
-        words[long] = found
-    return words
+        words[long] = _long_hashes(data, starts[long], sizes[long])
+    return mixed(words + sizes.astype(np.uint64) * _ROOT)
 
 
 def gram_keys(*words: np.ndarray) -> np.ndarray:

@@ -92,6 +92,14 @@ def test_hashes_depend_on_the_words_alone():
         assert moved[1] == found[k]
 
 
+def test_hashes_of_words_that_differ_in_any_byte():
+    for size in (1, 2, 7, 8, 9, 15, 16, 17, 64, 65, 80):
+        word, texts = b"abcdefghijklmnop" * 5, []
+        for k in range(size):
+            texts += [word[:k] + bytes([x]) + word[k + 1:size] for x in range(33, 256)]
+        assert len(set(hashes(texts)[1].tolist())) == len(set(texts))
+
+
 def test_rows_of_a_hot_word_are_dealt_over_buckets_once_each():
     for rows, data, stops in wordmodel.pieces(pa.array([prose(3000), None, "", "the", "the the the"])):
         assert rows.tolist() == [0, 3, 4]
